@@ -72,10 +72,15 @@ def typed_value(raw: Column) -> Column:
     )
 
 
-def numeric_value(typed: Column) -> Column:
-    """Number of a typed value as double; booleans count 1/0, text is null."""
-    return (
-        F.when(typed["kind"] == "int", typed["v_long"].cast("double"))
-        .when(typed["kind"] == "float", typed["v_double"])
-        .when(typed["kind"] == "bool", typed["v_bool"].cast("int").cast("double"))
-    )
+def numeric_value(raw: Column) -> Column:
+    """Number of a raw text as double; booleans count 1/0, other text is null.
+
+    The same result as going through ``typed_value``, but each shape is tested
+    once: integers read as doubles give the nearest double either way.
+    """
+    flag = F.when(raw.isin(*_TRUE), 1.0).when(raw.isin(*_FALSE), 0.0)
+    return F.coalesce(_decimal_value(raw), flag, _special_value(raw), _hex_value(raw))
+
+
+def is_text(raw: Column) -> Column:
+    return raw.isNotNull() & numeric_value(raw).isNull()

@@ -1,2 +1,2 @@
-from tidegauge.queries import statements  # noqa: F401
+from tidegauge.queries import metrics, statements  # noqa: F401
 from tidegauge.queries.registry import ORACLES, QUERIES  # noqa: F401

@@ -29,7 +29,7 @@ def main() -> None:
             else:
                 message, rows = None, df.count()
         except Exception as error:
-            message, rows = f"{type(error).__name__}: {str(error)[:1500]}", -1
+            message, rows = f"{type(error).__name__}: {str(error)[:700]}", -1
         bad += message is not None
         state = "ok" if message is None else "FAIL"
         print(f"\r{key:28s} {state:5s} rows={rows} {time.time() - start:.1f}s {message or ''}", flush=True)
