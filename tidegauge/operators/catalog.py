@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -270,14 +271,21 @@ def fits_version(versions: Column) -> Column:
     )
 
 
+def metric_applies(m: Metric) -> Column:
+    """The rules of one metric, for a row with version flags and node_type."""
+    span = {"any": F.lit(True), "<8": F.col("below_8"), "<8.4": F.col("below_8_4"), ">=8.4": ~F.col("below_8_4")}
+    return span[m.versions] & (fits_role(F.lit(m.role), F.col("node_type")) if m.role else F.lit(True))
+
+
 def fits_role(role: Column, node_type: Column) -> Column:
     return role.isNull() | F.coalesce(role == node_type, F.lit(False))
 
 
 def _entries(groups: tuple[str, ...]) -> Column:
+    """The catalogue as one array constant."""
     fields = SCHEMA.replace(" string", "").split(", ")
-    rows = [F.struct(*[F.lit(getattr(m, f)).cast("string").alias(f) for f in fields]) for m in METRICS if m.metric_group in groups]
-    return F.array(*rows)
+    rows = [{f: getattr(m, f) for f in fields} for m in METRICS if m.metric_group in groups]
+    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{SCHEMA.replace(' ', ':').replace(',:', ',')}>>")
 
 
 def catalog_by_version(collections: DataFrame, groups: tuple[str, ...] = GROUPS) -> DataFrame:

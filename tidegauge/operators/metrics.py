@@ -31,8 +31,37 @@ def attribute_metrics(entries: DataFrame) -> DataFrame:
     return entries.filter(F.col("source_type") == "attribute").select(*KEYS, "metric", F.col("raw").alias("text"))
 
 
-def _micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
+def _paired(rows: DataFrame, series: Sequence[str], time: str, value: str, max_gap: int, tie: Sequence[str]) -> DataFrame:
+    """Each row with ``_before`` and ``_us``, the previous value of its series
+    and the microseconds since; both null without one within ``max_gap``.
+
+    A series is cut into time buckets, so no task holds a whole series. Only
+    rows in the last ``max_gap`` of a bucket can precede a row of the next one:
+    those few are repeated there, and dropped again.
+    """
+    width, gap = max(12 * max_gap, 3600) * 1_000_000, max_gap * 1_000_000
+    at = F.unix_micros(F.col(time).cast("timestamp"))
+    bucket = F.floor(F.col("_at") / F.lit(width))
+    near_end = F.col("_at") >= (F.col("_bucket") + 1) * F.lit(width) - F.lit(gap)
+    copies = F.when(near_end, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    placed = rows.withColumn("_at", at).withColumn("_bucket", bucket)
+    placed = placed.withColumn("_copy", F.explode(copies))
+    placed = placed.withColumn("_bucket", F.col("_bucket") + F.col("_copy").cast("long"))
+    line = W.partitionBy(*series, "_bucket").orderBy("_at", *tie)
+    paired = placed.withColumns({"_before": F.lag(value).over(line), "_us": F.col("_at") - F.lag("_at").over(line)})
+    far = F.col("_us") > gap
+    return (
+        paired.filter(~F.col("_copy"))
+        .withColumns({"_before": F.when(~far, F.col("_before")), "_us": F.when(~far, F.col("_us"))})
+        .drop("_at", "_bucket", "_copy")
+    )
+
+
+def _per_second(value: str) -> tuple[Column, Column]:
+    """(rate, whether the sample counts) of a paired row."""
+    first, change = F.col("_us").isNull(), F.col(value) - F.col("_before")
+    rate = change.cast("double") / (F.col("_us").cast("double") / F.lit(1e6))
+    return F.when(first, F.lit(0.0)).when(F.col("_us") > 0, rate), first | ((F.col("_us") > 0) & (change >= 0))
 
 
 def rates(
@@ -43,38 +72,14 @@ def rates(
     max_gap: int = settings.DEFAULT_MAX_RATE_GAP_SECONDS,
     tie: Sequence[str] = (),
 ) -> DataFrame:
-    """Per-second change of a counter, with the rows of ``samples`` it keeps.
+    """Adds ``rate``, the per-second change of a counter (``value`` not null).
 
     First sample of a series, or one after a gap over ``max_gap``: 0. A counter
     that went down, or no time passed: row dropped.
-
-    A sample needs at most the last one of the previous time bucket, because
-    buckets are no shorter than ``max_gap``. So a series is cut into buckets,
-    each bucket's last sample is handed to the next one, and no task ever holds
-    a whole series.
     """
-    width = max(max_gap, 3600)
-    rows = samples.withColumn("_bucket", F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / width))
-    rows = rows.withColumn("_carried", F.lit(False))
-    last = rows.groupBy(*series, "_bucket").agg(F.max(F.struct(time, *tie, value)).alias("_last"))
-    carried = last.select(
-        *series,
-        *[F.col("_last")[c].alias(c) for c in (time, *tie, value)],
-        (F.col("_bucket") + 1).alias("_bucket"),
-        F.lit(True).alias("_carried"),
-    )
-    line = W.partitionBy(*series, "_bucket").orderBy(time, *tie)
-    paired = rows.unionByName(carried, allowMissingColumns=True).withColumns(
-        {"_before": F.lag(value).over(line), "_before_at": F.lag(time).over(line)}
-    )
-    micros = _micros(F.col(time)) - _micros(F.col("_before_at"))
-    change = F.col(value) - F.col("_before")
-    starts = F.col("_before_at").isNull() | (micros > max_gap * 1_000_000)
-    usable = starts | ((micros > 0) & (change >= 0))
-    per_second = change.cast("double") / (micros.cast("double") / F.lit(1e6))
-    kept = paired.filter(~F.col("_carried")).filter(usable)
-    rate = F.when(starts, F.lit(0.0)).otherwise(per_second)
-    return kept.withColumn("rate", rate).drop("_bucket", "_carried", "_before", "_before_at")
+    rate, counts = _per_second(value)
+    paired = _paired(samples, series, time, value, max_gap, tie)
+    return paired.filter(counts).withColumn("rate", rate).drop("_before", "_us")
 
 
 def prate_metrics(entries: DataFrame, max_gap: int = settings.DEFAULT_MAX_RATE_GAP_SECONDS) -> DataFrame:
@@ -101,15 +106,19 @@ _INTEGER_KEYS = (
 _STATE_KEYS = ("Slave_IO_Running", "Slave_SQL_Running", "Replica_IO_Running", "Replica_SQL_Running")
 
 
-def raw_wide(bag: DataFrame) -> DataFrame:
-    """What derived metrics read, one row per collection: integers (null when
-    the raw value is none) and thread states (0 text, 1 "Yes", null no text)."""
-    name, raw = F.col("name"), F.col("raw")
+def _derived_input(name: Column, raw: Column) -> Column:
+    """What derived metrics read of a raw value: the integer (null when it is
+    none), or 1/0 for a thread state that is or is not "Yes" (null: no text)."""
     integer = F.when(name.isin(*_INTEGER_KEYS), go_int(raw))
     state = F.when(name.isin(*_STATE_KEYS) & is_text(raw), (raw == "Yes").cast("long"))
-    wanted = bag.filter(name.isin(*_INTEGER_KEYS, *_STATE_KEYS))
-    typed = wanted.select(*KEYS, "name", F.coalesce(integer, state).alias("v"))
-    picked = [F.max(F.when(name == key, F.col("v"))).alias(key) for key in (*_INTEGER_KEYS, *_STATE_KEYS)]
+    return F.coalesce(integer, state)
+
+
+def raw_wide(bag: DataFrame) -> DataFrame:
+    """The inputs of the derived metrics, one row per collection."""
+    wanted = bag.filter(F.col("name").isin(*_INTEGER_KEYS, *_STATE_KEYS))
+    typed = wanted.select(*KEYS, "name", _derived_input(F.col("name"), F.col("raw")).alias("v"))
+    picked = [F.max(F.when(F.col("name") == key, F.col("v"))).alias(key) for key in (*_INTEGER_KEYS, *_STATE_KEYS)]
     return typed.groupBy(*KEYS).agg(*picked)
 
 
@@ -150,51 +159,26 @@ def replica_running() -> Column:
     return F.when(F.col("below_8_4"), F.when(known("Slave"), old)).otherwise(F.when(known("Replica"), new)).cast("double")
 
 
-def derived_metrics(collections: DataFrame, bag: DataFrame, groups: Sequence[str] = C.GROUPS) -> DataFrame:
-    """The five computed metrics, where version, role and group allow them.
+DERIVED = {
+    "<qcache_utilization>": ratio_qcache_utilization,
+    "<qcache_hit>": ratio_qcache_hit,
+    "<thread_cache_miss>": ratio_thread_cache_miss,
+    "<key_cache_utilization>": ratio_key_cache_utilization,
+    "<replica_running>": replica_running,
+}
 
-    ``collections`` has node_type and the version flags; a collection with an
-    empty bag still gets the ratios, which are 0 without a denominator.
-    """
-    formulas = {
-        "<qcache_utilization>": ratio_qcache_utilization(),
-        "<qcache_hit>": ratio_qcache_hit(),
-        "<thread_cache_miss>": ratio_thread_cache_miss(),
-        "<key_cache_utilization>": ratio_key_cache_utilization(),
-        "<replica_running>": replica_running(),
-    }
-    wide = collections.join(raw_wide(bag), list(KEYS), "left")
-    items = []
-    for m in C.METRICS:
-        if m.derived and m.metric_group in groups:
-            fits = C.fits_version(F.lit(m.versions)) & C.fits_role(F.lit(m.role).cast("string"), F.col("node_type"))
-            items.append(F.struct(F.lit(m.metric).alias("metric"), F.when(fits, formulas[m.source]).alias("value")))
-    if not items:
-        items = [F.struct(F.lit("").alias("metric"), F.lit(None).cast("double").alias("value"))]
-    return wide.select(*KEYS, F.inline(F.array(*items))).filter(F.col("value").isNotNull())
-
-
-def server_metrics(
-    collections: DataFrame,
-    bag: DataFrame,
-    groups: Sequence[str] = ("default",),
-    max_gap: int = settings.DEFAULT_MAX_RATE_GAP_SECONDS,
-) -> tuple[DataFrame, DataFrame]:
-    """Metrics of the server sample in long form: (numbers, attributes).
 
-    ``groups`` are the switched-on parts; only "default" is on by default.
-    """
-    catalog = C.metric_catalog(bag.sparkSession, tuple(groups))
-    dims = C.version_flags(collections.select(*KEYS, "version", "node_type")).drop("version")
-    roles = dims.select(*KEYS, F.lit("node_type").alias("name"), F.col("node_type").alias("raw"))
-    full = bag.unionByName(roles.filter(F.col("raw").isNotNull()))
-    entries = applicable(full.join(dims, list(KEYS)), catalog)
-    numbers = (
-        gauge_metrics(entries)
-        .unionByName(prate_metrics(entries, max_gap))
-        .unionByName(derived_metrics(dims, bag, groups))
-    )
-    return numbers, attribute_metrics(entries)
+def _metric_values(entries: DataFrame, max_gap: int) -> DataFrame:
+    """``metric, value`` of gauges, rates and inputs of derived metrics, in one
+    pass: only rows of rate metrics take part in pairing results."""
+    plain = F.when(F.col("source_type") == "input", _derived_input(F.col("name"), F.col("raw")).cast("double"))
+    number = plain.otherwise(numeric_value(F.col("raw")))
+    rows = entries.select(*KEYS, "metric", "source_type", number.alias("_v")).filter(F.col("_v").isNotNull())
+    paired = _paired(rows, ("instance", "metric"), "collected_at", "_v", max_gap, ())
+    rate, counts = _per_second("_v")
+    is_rate = F.col("source_type") == "prate"
+    value = F.when(is_rate, rate).otherwise(F.col("_v"))
+    return paired.filter(~is_rate | counts).select(*KEYS, "metric", value.alias("value"))
 
 
 def server_sample(
@@ -205,17 +189,41 @@ def server_sample(
 ) -> DataFrame:
     """The wide sample: one row per instance and collection.
 
-    Columns are the catalogue's names with underscores for dots. Each metric
-    occurs once per collection, so ``first`` only picks it.
+    ``collections`` has version and node_type. ``groups`` are the switched-on
+    parts; only "default" is on by default. Columns are the catalogue's names
+    with underscores for dots. Inputs of derived metrics are pivoted along and
+    the formulas run on the wide row, so a collection without its inputs still
+    gets the ratios (0 without a denominator).
     """
-    numbers, attributes = server_metrics(collections, bag, groups, max_gap)
-    kinds = {m.metric: m for m in C.METRICS if m.metric_group in groups}
-    of_kind = lambda attribute: [n for n, m in kinds.items() if (m.source_type == "attribute") == attribute]
-    column = lambda name: kinds[name].column
+    dims = C.version_flags(collections.select(*KEYS, "version", "node_type")).drop("version")
+    chosen = {m.column: m for m in C.METRICS if m.metric_group in groups}
+    landed = [c for c, m in chosen.items() if not m.derived and m.source_type != "attribute"]
+    inputs = [f"_{key}" for key in (*_INTEGER_KEYS, *_STATE_KEYS)]
+
+    catalog = C.metric_catalog(bag.sparkSession, tuple(groups))
+    extra = [(f"_{key}", key, "input", "default", "any", None) for key in (*_INTEGER_KEYS, *_STATE_KEYS)]
+    catalog = catalog.unionByName(bag.sparkSession.createDataFrame(extra, C.SCHEMA))
+    with_dims = bag.join(dims, list(KEYS))
+    numbers = _metric_values(applicable(with_dims, catalog.filter("source_type <> 'attribute'")), max_gap)
     named = numbers.withColumn("metric", F.replace("metric", F.lit("."), F.lit("_")))
-    wide = named.groupBy(*KEYS).pivot("metric", [column(n) for n in of_kind(False)]).agg(F.first("value"))
-    texts = attributes.groupBy(*KEYS).agg(
-        *[F.max(F.when(F.col("metric") == n, F.col("text"))).alias(column(n)) for n in of_kind(True)]
+    # One value per metric and collection: ``first`` only picks it.
+    wide = named.groupBy(*KEYS).pivot("metric", [*landed, *inputs]).agg(F.first("value"))
+    wide = wide.withColumnsRenamed({name: name[1:] for name in inputs})
+
+    texts = attribute_metrics(applicable(with_dims, catalog.filter("source_type = 'attribute'")))
+    described = [m for m in chosen.values() if m.source_type == "attribute" and m.source != "node_type"]
+    texts = texts.groupBy(*KEYS).agg(
+        *[F.max(F.when(F.col("metric") == m.metric, F.col("text"))).alias(m.column) for m in described]
     )
-    joined = wide.join(texts, list(KEYS), "full_outer")
-    return joined.select(*KEYS, *[column(n) for n in kinds])
+
+    sample = dims.join(wide, list(KEYS), "left").join(texts, list(KEYS), "left")
+    values = []
+    for column, m in chosen.items():
+        if m.source == "node_type":
+            value = F.col("node_type")
+        elif m.derived:
+            value = F.when(C.metric_applies(m), DERIVED[m.source]())
+        else:
+            value = F.col(column)
+        values.append(value.alias(column))
+    return sample.select(*KEYS, *values)

@@ -234,17 +234,16 @@ def topk_blocking(t):
     return B.topk_blocking(blocking_sessions_mysql(t))
 
 
-@query(
-    "blocking_sessions",
-    first_k(
-        """(SELECT b.* FROM o_blocking_mysql b JOIN v_nodes n ON n.instance = b.instance AND n.flavor = 'mysql'
-        UNION ALL BY NAME
-        SELECT b.* FROM o_blocking_mariadb b JOIN v_nodes n ON n.instance = b.instance AND n.flavor = 'mariadb')""",
-        BLOCKING_ORDER,
-        20,
-    ),
-    STATEMENTS,
+BLOCKING_SQL = first_k(
+    """(SELECT b.* FROM o_blocking_mysql b JOIN v_nodes n ON n.instance = b.instance AND n.flavor = 'mysql'
+    UNION ALL BY NAME
+    SELECT b.* FROM o_blocking_mariadb b JOIN v_nodes n ON n.instance = b.instance AND n.flavor = 'mariadb')""",
+    BLOCKING_ORDER,
+    20,
 )
+
+
+@query("blocking_sessions", BLOCKING_SQL, STATEMENTS)
 def blocking_sessions(t):
     return B.blocking_sessions(
         t.v_nodes, t.v_lock_waits, t.v_trx_lock_waits, t.v_threads, t.v_trx, t.v_st_current, summary(t)

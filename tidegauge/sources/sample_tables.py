@@ -8,6 +8,7 @@ differs between the two.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -299,20 +300,31 @@ def _referenced(text: str, candidates) -> list[str]:
     return [c for c in candidates if re.search(rf"\b{c}\b", text)]
 
 
-def spark_query(spark: SparkSession, sf_dir: str, select: str) -> DataFrame:
-    """Run ``select`` over the sample tables and the views it mentions."""
-    views = closure(*_referenced(select, VIEWS))
-    texts = {v: VIEWS[v].replace("NTZ", "timestamp_ntz") for v in views}
-    if "v_counters" in texts:
-        texts["v_counters"] = _SPARK_COUNTERS
-    everything = " ".join([*texts.values(), select])
-    tables = {t: f"SELECT * FROM parquet.`{sf_dir}/{t}.parquet`" for t in _referenced(everything, TABLES)}
-    ctes = ", ".join(f"{name} AS ({text})" for name, text in {**tables, **texts}.items())
-    return spark.sql(f"WITH {ctes} {select}")
+_RELATIONS: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark_query(spark, sf_dir, f"SELECT * FROM {name}")
+    """A sample table or derived relation as a DataFrame.
+
+    Defined once per application and directory: the definition is only a plan,
+    no data is held.
+    """
+    prefix = "tg_" + hashlib.md5(sf_dir.encode()).hexdigest()[:8]
+    session = spark._jsparkSession.sessionUUID()
+    known = _RELATIONS.setdefault((session, sf_dir), {})
+    if name not in known:
+        if name in TABLES:
+            df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        else:
+            text = _SPARK_COUNTERS if name == "v_counters" else VIEWS[name].replace("NTZ", "timestamp_ntz")
+            for other in _referenced(text, [*VIEWS, *TABLES]):
+                if other != name:
+                    view(spark, sf_dir, other)
+                    text = re.sub(rf"\b(FROM|JOIN)(\s+){other}\b", rf"\1\2{prefix}_{other}", text)
+            df = spark.sql(text)
+        df.createOrReplaceTempView(f"{prefix}_{name}")
+        known[name] = df
+    return known[name]
 
 
 def oracle_query(select: str, extra: dict[str, str] | None = None) -> str:
