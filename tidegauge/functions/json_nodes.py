@@ -26,9 +26,10 @@ def mark_strings(document: Column) -> Column:
     return F.when(closed, F.regexp_replace(document, _STRING, f'"{MARK}$1"'))
 
 
-def entries(node: Column) -> Column:
-    """``array<struct<key,value>>`` of a marked object, in document order."""
-    return F.map_entries(F.from_json(node, "map<string,string>", _STRICT))
+def fields(node: Column) -> Column:
+    """The marked object as a map in document order; repeated keys are kept and
+    a lookup finds the first of them."""
+    return F.from_json(node, "map<string,string>", _STRICT)
 
 
 def items(array: Column) -> Column:
@@ -49,20 +50,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def last_of_each_key(pairs: Column) -> Column:
-    """Drop an entry when the same key follows: the last duplicate wins."""
+def last_wins(node: Column) -> Column:
+    """The map without repeated keys: the last one of each stays."""
+    pairs = F.map_entries(node)
 
     def is_last(pair: Column, index: Column) -> Column:
         rest = F.slice(pairs, index + 2, F.size(pairs))
         return ~F.exists(rest, lambda other: other["key"] == pair["key"])
 
-    return F.filter(pairs, is_last)
+    repeats = F.size(F.array_distinct(F.map_keys(node))) < F.size(node)
+    return F.when(repeats, F.map_from_entries(F.filter(pairs, is_last))).otherwise(node)
 
 
-def field(pairs: Column, key: str) -> Column:
-    """Marked text of the first entry with this key; null when absent."""
-    found = F.filter(pairs, lambda pair: pair["key"] == F.lit(MARK + key))
-    return F.get(found, F.lit(0))["value"]
+def field(node: Column, key: str) -> Column:
+    """Marked text of a field; null when absent."""
+    return node[MARK + key]
 
 
 def as_text(value: Column) -> Column:
@@ -78,8 +80,8 @@ def as_number(value: Column) -> Column:
 def as_integer(value: Column) -> Column:
     """A JSON number without fraction; 1.0 counts, 1.5 and "1" do not."""
     number = as_number(value)
-    whole = (number == F.floor(number).cast("double")) & (F.abs(number) < F.lit(9.2e18))
-    return F.when(whole, number.try_cast("long"))
+    # The cast to long cuts the fraction off, and is null out of range.
+    return let(number.try_cast("long"), lambda cut: F.when(cut.cast("double") == number, cut))
 
 
 def as_boolean(value: Column) -> Column:

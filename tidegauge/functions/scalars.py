@@ -184,27 +184,41 @@ def version_at_least(version: Column, major: int, minor: int | None = None) -> C
 # --- numbers as text ----------------------------------------------------
 
 
+def _exact_decimals(fraction: Column, places: int) -> Column:
+    """round(fraction * 10**places) of the exact binary value, ties to even.
+
+    The fraction is a whole number of 2**-73 (smaller ones round to zero
+    anyway), so it is rounded in integers.
+    """
+    high = fraction * F.lit(float(2**40))
+    low = (high - F.floor(high).cast("double")) * F.lit(float(2**33))
+    scaled = F.floor(high).cast("decimal(13,0)") * F.lit(2**33).cast("decimal(11,0)") + F.floor(low).cast("decimal(11,0)")
+    product = (scaled * F.lit(10**places).cast("decimal(7,0)")).cast("decimal(30,0)")
+    unit = F.lit(str(2**73)).cast("decimal(23,0)")
+    down = whole_div(product, unit)
+    rest2 = (product % unit).cast("decimal(24,0)") * F.lit(2).cast("decimal(1,0)")
+    up = (rest2 > unit) | ((rest2 == unit) & (down % 2 == 1))
+    return down + up.cast("long")
+
+
 def fixed_decimals(value: Column, places: int) -> Column:
     """``%.<places>f`` of the exact binary value, ties to even.
 
     The JVM formatter rounds the shortest decimal text instead, so 1.005 would
-    print as 1.01. The fraction is scaled by 2**62 (exact) and rounded in
-    integers. Meant for |value| < 2**53.
+    print as 1.01. Exact arithmetic is needed only next to a tie. For up to
+    five places and |value| < 2**53.
     """
     size = F.abs(value)
     whole = F.floor(size)
-    scaled = ((size - whole.cast("double")) * F.lit(float(2**62))).cast("long").cast("decimal(20,0)")
-    one = F.lit(2**62).cast("decimal(20,0)")
-    product = (scaled * F.lit(10**places).cast("decimal(8,0)")).cast("decimal(30,0)")
-    low = whole_div(product, one)
-    rest2 = (product % one).cast("decimal(22,0)") * F.lit(2).cast("decimal(1,0)")
-    up = (rest2 > one) | ((rest2 == one) & (low % 2 == 1))
-    digits = low + F.when(up, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))
-    carry = whole_div(digits, 10**places)
-    text = F.concat(
+    fraction = size - whole.cast("double")
+    near = fraction * F.lit(float(10**places))
+    below = F.floor(near)
+    rest = near - below.cast("double")
+    clear = F.abs(rest - F.lit(0.5)) > F.lit(1e-6)
+    digits = F.when(clear, below + (rest > F.lit(0.5)).cast("long")).otherwise(_exact_decimals(fraction, places))
+    return F.concat(
         F.when(value < 0, "-").otherwise(""),
-        (whole + carry).cast("string"),
+        (whole + whole_div(digits, 10**places)).cast("string"),
         F.lit("."),
         F.lpad((digits % 10**places).cast("string"), places, "0"),
     )
-    return text

@@ -145,9 +145,8 @@ def sample_contract(payloads: DataFrame) -> DataFrame:
     before the only shuffle.
     """
     contract = payloads.sparkSession.createDataFrame(contract_rows(), SCHEMA)
-    parsed = payloads.select("event_type", J.entries(J.mark_strings(F.col("payload"))).alias("pairs"))
-    by_name = F.map_from_entries(J.last_of_each_key(F.col("pairs")))
-    checked = parsed.select("event_type", by_name.alias("fields")).join(F.broadcast(contract), "event_type")
+    parsed = payloads.select("event_type", J.fields(J.mark_strings(F.col("payload"))).alias("fields"))
+    checked = parsed.join(F.broadcast(contract), "event_type")
     value = F.try_element_at("fields", F.concat(F.lit(J.MARK), F.col("field")))
     present = checked.withColumn("value", value)
     count = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")

@@ -2,7 +2,8 @@
 
 A document is walked inside its own row with higher-order functions, level by
 level, so the whole operator is one map-only stage: no shuffle, no driver loop
-and no limit on depth.
+and no limit on depth. The walk only finds the nodes to report; their fields
+are formatted after they are unnested, as ordinary generated code.
 """
 
 from __future__ import annotations
@@ -13,120 +14,72 @@ from pyspark.sql import functions as F
 from tidegauge.functions import json_nodes as J
 from tidegauge.functions.scalars import escape_json_strings, fixed_decimals
 
-_FRONTIER = "array<struct<path:array<int>,cost:string,pairs:array<struct<key:string,value:string>>>>"
-
-TEXT_FIELDS = (
-    "table_name",
-    "access_type",
-    "filtered",
-    "read_cost",
-    "eval_cost",
-    "possible_keys",
-    "key",
-    "used_key_parts",
-    "ref",
-    "prefix_cost",
-    "data_read_per_join",
-    "using_index",
-    "key_length",
-)
-_STEP = "struct<{}>".format(
-    ",".join(
-        ["query_cost:string", "rows_examined_per_scan:bigint", "rows_produced_per_join:bigint"]
-        + [f"`{name}`:string" for name in TEXT_FIELDS]
-    )
-)
-_STEPS = f"array<struct<path:array<int>,step:{_STEP}>>"
+# A node is its place (ordinals from the root), the cost it shows and its fields.
+_NODES = "array<struct<path:array<int>,cost:string,fields:map<string,string>>>"
 
 
-def _text(value: Column) -> Column:
-    return F.coalesce(escape_json_strings(J.as_text(value)), F.lit(""))
+# Without one of these keys no node below can be reported: not worth opening.
+_CAN_REPORT = rf'"{J.MARK}(?:table_name|access_type|rows_examined_per_scan|rows|rows_produced_per_join|filtered|cost_info)":'
 
 
-def _text_or_number(value: Column, places: int) -> Column:
-    """String as it is, number with fixed decimals, else empty."""
-    text = _text(value)
-    number = F.coalesce(fixed_decimals(J.as_number(value), places), F.lit(""))
-    return F.when(text != "", text).otherwise(number)
+def _no_nodes() -> Column:
+    return F.array().cast(_NODES)
 
 
-def _list(value: Column) -> Column:
-    return F.coalesce(escape_json_strings(F.array_join(J.as_texts(value), ",")), F.lit(""))
+def _info(fields: Column) -> Column:
+    info = J.field(fields, "cost_info")
+    return F.when(J.is_object(info), J.fields(info))
 
 
-def _cost_info(pairs: Column) -> Column:
-    info = J.field(pairs, "cost_info")
-    return F.when(J.is_object(info), J.entries(info))
+def _filled(value: Column) -> Column:
+    """A string that is not empty."""
+    return F.coalesce(value.startswith(J.MARK) & (value != J.MARK), F.lit(False))
 
 
-def own_cost(pairs: Column) -> Column:
-    """``cost_info.query_cost`` as text, else the flat number, else empty."""
-    quoted = _text(J.field(_cost_info(pairs), "query_cost"))
-    flat = fixed_decimals(J.as_number(J.field(pairs, "cost")), 5)
-    return F.when(quoted != "", quoted).otherwise(F.coalesce(flat, F.lit("")))
+def _is_number(value: Column) -> Column:
+    return F.coalesce(value.rlike(r"^-?[0-9]"), F.lit(False))
 
 
-def rows_examined(pairs: Column) -> Column:
+def rows_examined(fields: Column) -> Column:
     """``rows_examined_per_scan``, else ``rows``; 0 is a value, not a gap."""
-    first, second = (J.as_integer(J.field(pairs, k)) for k in ("rows_examined_per_scan", "rows"))
+    first, second = (J.as_integer(J.field(fields, k)) for k in ("rows_examined_per_scan", "rows"))
     return F.coalesce(first, second, F.lit(0).cast("long"))
 
 
-def _step(node: Column) -> Column:
-    pairs = node["pairs"]
-    get = lambda key: J.field(pairs, key)
-
-    def columns(info: Column) -> Column:
-        values = {
-            "query_cost": node["cost"],
-            "rows_examined_per_scan": rows_examined(pairs),
-            "rows_produced_per_join": F.coalesce(
-                J.as_integer(get("rows_produced_per_join")), F.lit(0).cast("long")
-            ),
-            "table_name": _text(get("table_name")),
-            "access_type": _text(get("access_type")),
-            "filtered": _text_or_number(get("filtered"), 2),
-            "read_cost": _text(J.field(info, "read_cost")),
-            "eval_cost": _text(J.field(info, "eval_cost")),
-            "possible_keys": _list(get("possible_keys")),
-            "key": _text(get("key")),
-            "used_key_parts": _list(get("used_key_parts")),
-            "ref": _list(get("ref")),
-            "prefix_cost": _text(J.field(info, "prefix_cost")),
-            "data_read_per_join": _text(J.field(info, "data_read_per_join")),
-            "using_index": F.coalesce(J.as_boolean(get("using_index")), F.lit(False)).cast("string"),
-            "key_length": _text(get("key_length")),
-        }
-        return F.struct(*[column.alias(name) for name, column in values.items()])
-
-    return J.let(_cost_info(pairs), columns)
-
-
-def _reported(step: Column) -> Column:
-    texts = ("table_name", "access_type", "filtered", "read_cost", "eval_cost")
-    numbers = ("rows_examined_per_scan", "rows_produced_per_join")
-    shown = [step[t] != "" for t in texts] + [step[n] != 0 for n in numbers]
-    out = shown[0]
-    for condition in shown[1:]:
-        out = out | condition
-    return out
+def rows_produced(fields: Column) -> Column:
+    return F.coalesce(J.as_integer(J.field(fields, "rows_produced_per_join")), F.lit(0).cast("long"))
 
 
-def _node(text: Column, path: Column, inherited: Column, mariadb: Column) -> Column:
-    """Parsed node with the cost it shows and passes on to its children."""
+def _shown_cost(fields: Column, inherited: Column) -> Column:
+    """Marked ``cost_info.query_cost``, else the flat number, else inherited."""
 
-    def build(raw: Column) -> Column:
-        # MariaDB repeats keys on purpose and keeps all; elsewhere the last wins.
-        pairs = F.when(mariadb, raw).otherwise(J.last_of_each_key(raw))
+    def choose(quoted: Column) -> Column:
+        flat = J.field(fields, "cost")
+        return F.when(_filled(quoted), quoted).when(_is_number(flat), flat).otherwise(inherited)
 
-        def with_cost(kept: Column) -> Column:
-            own = own_cost(kept)
-            cost = F.when(own != "", own).otherwise(inherited)
-            return F.struct(path.alias("path"), cost.alias("cost"), kept.alias("pairs"))
+    return J.let(J.field(_info(fields), "query_cost"), choose)
 
-        return J.let(pairs, with_cost)
 
-    return J.let(J.entries(text), build)
+def _reported(fields: Column) -> Column:
+    filtered = J.field(fields, "filtered")
+    costs = J.let(_info(fields), lambda info: _filled(J.field(info, "read_cost")) | _filled(J.field(info, "eval_cost")))
+    # Cheapest tests first: most reported nodes name a table.
+    return (
+        F.when(_filled(J.field(fields, "table_name")), True)
+        .when(_filled(J.field(fields, "access_type")), True)
+        .when(_filled(filtered) | _is_number(filtered), True)
+        .when((rows_examined(fields) != 0) | (rows_produced(fields) != 0), True)
+        .otherwise(F.coalesce(costs, F.lit(False)))
+    )
+
+
+def _node(text: Column, path: Column, inherited: Column, mariadb: Column) -> Column:
+    def build(read: Column) -> Column:
+        return F.struct(path.alias("path"), _shown_cost(read, inherited).alias("cost"), read.alias("fields"))
+
+    # MariaDB repeats keys on purpose and keeps all; elsewhere the last wins.
+    parse = lambda raw: F.when(mariadb, raw).otherwise(J.last_wins(raw))
+    return J.let(J.let(J.fields(text), parse), build)
 
 
 def _children(node: Column, mariadb: Column) -> Column:
@@ -138,41 +91,51 @@ def _children(node: Column, mariadb: Column) -> Column:
     def below(pair: Column, index: Column) -> Column:
         here = F.concat(node["path"], F.array(index))
         value = pair["value"]
-        in_array = F.filter(
-            F.transform(
-                J.items(value), lambda e, i: F.when(J.is_object(e), at(F.concat(here, F.array(i)), e))
-            ),
-            lambda n: n.isNotNull(),
+        elements = F.transform(J.items(value), lambda e, i: F.when(J.is_object(e), at(F.concat(here, F.array(i)), e)))
+        return (
+            F.when(~value.rlike(_CAN_REPORT), _no_nodes())
+            .when(J.is_object(value), F.array(at(here, value)))
+            .when(J.is_array(value), F.filter(elements, lambda n: n.isNotNull()))
+            .otherwise(_no_nodes())
         )
-        none = F.array().cast(_FRONTIER)
-        return F.when(J.is_object(value), F.array(at(here, value))).when(J.is_array(value), in_array).otherwise(none)
 
-    return F.flatten(F.transform(node["pairs"], below))
+    return F.flatten(F.transform(F.map_entries(node["fields"]), below))
 
 
 def walk(document: Column, mariadb: Column) -> Column:
-    """``array<step>`` of a document in pre-order; null when it is not JSON."""
-    marked = J.mark_strings(document)
-    root = _node(marked, F.array().cast("array<int>"), F.lit(""), mariadb)
+    """Nodes to report, in document pre-order; null when it is not JSON."""
+    root = _node(J.mark_strings(document), F.array().cast("array<int>"), F.lit(J.MARK), mariadb)
     start = F.struct(
-        F.filter(F.array(root), lambda n: n["pairs"].isNotNull()).cast(_FRONTIER).alias("frontier"),
-        F.array().cast(_STEPS).alias("steps"),
+        F.filter(F.array(root), lambda n: n["fields"].isNotNull()).alias("frontier"), _no_nodes().alias("found")
     )
 
     def descend(state: Column, _level: Column) -> Column:
-        found = F.transform(state["frontier"], lambda n: F.struct(n["path"].alias("path"), _step(n).alias("step")))
-        shown = F.filter(found, lambda s: _reported(s["step"]))
-        below = F.flatten(F.transform(state["frontier"], lambda n: _children(n, mariadb)))
-        deeper = F.struct(
-            below.cast(_FRONTIER).alias("frontier"), F.concat(state["steps"], shown.cast(_STEPS)).alias("steps")
-        )
-        return F.when(F.size(state["frontier"]) == 0, state).otherwise(deeper)
+        frontier = state["frontier"]
+        shown = F.filter(frontier, lambda n: _reported(n["fields"]))
+        below = F.flatten(F.transform(frontier, lambda n: _children(n, mariadb)))
+        deeper = F.struct(below.alias("frontier"), F.concat(state["found"], shown).alias("found"))
+        return F.when(F.size(frontier) == 0, state).otherwise(deeper)
 
     # No document is deeper than it has opening braces.
     levels = F.sequence(F.lit(0), F.coalesce(F.regexp_count(document, F.lit(r"\{")), F.lit(0)))
-    steps = F.aggregate(levels, start, descend, lambda state: state["steps"])
+    found = F.aggregate(levels, start, descend, lambda state: state["found"])
     # A path sorts before its extensions, which is document pre-order.
-    return F.transform(F.array_sort(steps), lambda s: s["step"])
+    order = lambda a, b: F.when(a["path"] < b["path"], -1).when(a["path"] > b["path"], 1).otherwise(0)
+    return F.array_sort(found, order)
+
+
+def _text(value: Column) -> Column:
+    return F.coalesce(escape_json_strings(J.as_text(value)), F.lit(""))
+
+
+def _text_or_number(value: Column, places: int) -> Column:
+    """String as it is, number with fixed decimals, else empty."""
+    number = F.coalesce(fixed_decimals(J.as_number(value), places), F.lit(""))
+    return F.when(_filled(value), _text(value)).otherwise(number)
+
+
+def _list(value: Column) -> Column:
+    return F.coalesce(escape_json_strings(F.array_join(J.as_texts(value), ",")), F.lit(""))
 
 
 def plan_steps(documents: DataFrame) -> DataFrame:
@@ -184,5 +147,30 @@ def plan_steps(documents: DataFrame) -> DataFrame:
     """
     mariadb = F.coalesce(F.col("flavor") == "mariadb", F.lit(False))
     kept = [c for c in documents.columns if c not in ("flavor", "plan_json")]
-    steps = documents.select(*kept, F.posexplode(walk(F.col("plan_json"), mariadb)).alias("step_id", "_step"))
-    return steps.select(*kept, F.col("step_id").cast("int").alias("step_id"), "_step.*")
+    # The outer form: the plain one tests the walk for emptiness in a filter of
+    # its own, which would walk every document again.
+    found = F.posexplode_outer(walk(F.col("plan_json"), mariadb)).alias("step_id", "_node")
+    nodes = documents.select(*kept, found).filter(F.col("step_id").isNotNull())
+    fields, info = F.col("_fields"), F.col("_info")
+    opened = nodes.select(*kept, "step_id", F.col("_node.cost").alias("_cost"), F.col("_node.fields").alias("_fields"))
+    opened = opened.withColumn("_info", _info(fields))
+    get = lambda key: J.field(fields, key)
+    columns = {
+        "query_cost": _text_or_number(F.col("_cost"), 5),
+        "table_name": _text(get("table_name")),
+        "access_type": _text(get("access_type")),
+        "rows_examined_per_scan": rows_examined(fields),
+        "rows_produced_per_join": rows_produced(fields),
+        "filtered": _text_or_number(get("filtered"), 2),
+        "read_cost": _text(J.field(info, "read_cost")),
+        "eval_cost": _text(J.field(info, "eval_cost")),
+        "possible_keys": _list(get("possible_keys")),
+        "key": _text(get("key")),
+        "used_key_parts": _list(get("used_key_parts")),
+        "ref": _list(get("ref")),
+        "prefix_cost": _text(J.field(info, "prefix_cost")),
+        "data_read_per_join": _text(J.field(info, "data_read_per_join")),
+        "using_index": F.coalesce(J.as_boolean(get("using_index")), F.lit(False)).cast("string"),
+        "key_length": _text(get("key_length")),
+    }
+    return opened.select(*kept, "step_id", *[c.alias(name) for name, c in columns.items()])
