@@ -35,7 +35,7 @@ def canonical(table) -> tuple[list[str], list[str], list[tuple]]:
 
 def difference(spark_df, con, sql: str) -> str | None:
     ours = canonical(spark_df.toArrow())
-    theirs = canonical(con.execute(sql).to_arrow_table())
+    theirs = canonical(con.sql(sql).to_arrow_table())
     if ours[0] != theirs[0]:
         return f"columns {ours[0]} != {theirs[0]}"
     same = {"large_string": "string"}

@@ -117,7 +117,8 @@ def walk(document: Column, mariadb: Column) -> Column:
         return F.when(F.size(frontier) == 0, state).otherwise(deeper)
 
     # No document is deeper than it has opening braces.
-    levels = F.sequence(F.lit(0), F.coalesce(F.regexp_count(document, F.lit(r"\{")), F.lit(0)))
+    braces = F.length(document) - F.length(F.replace(document, F.lit("{"), F.lit("")))
+    levels = F.sequence(F.lit(0), F.coalesce(braces, F.lit(0)))
     found = F.aggregate(levels, start, descend, lambda state: state["found"])
     # A path sorts before its extensions, which is document pre-order.
     order = lambda a, b: F.when(a["path"] < b["path"], -1).when(a["path"] > b["path"], 1).otherwise(0)
