@@ -10,16 +10,24 @@ object or array.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MARK = "~"
-_STRING = r'"((?:[^"\\]++|\\.)*+)"'
+_STRING = r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"'
 _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
+def constant_rows(rows: list[dict], schema: str) -> Column:
+    """Fixed rows as one array constant (``schema`` is "name type, ..."), for
+    ``inline``: no driver-side relation and no Python worker is involved."""
+    columns = ",".join(":".join(field.split()) for field in schema.split(","))
+    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{columns}>>")
+
+
 def mark_strings(document: Column) -> Column:
     """The document with marked strings; null unless it is one closed object."""
     closed = F.rtrim(document, F.lit(" \t\r\n")).endswith("}")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.functions.json_nodes import constant_rows
 from tidegauge.functions.scalars import version_lt
 
 # Metric, raw source, kind. A source in <> is a derived metric.
@@ -240,14 +240,18 @@ METRICS = tuple(
 SCHEMA = "metric string, source string, source_type string, metric_group string, versions string, role string"
 
 
-def metric_catalog(spark: SparkSession, groups: tuple[str, ...] = GROUPS) -> DataFrame:
+def _entries(groups: tuple[str, ...], extra: tuple[Metric, ...] = ()) -> Column:
+    """The catalogue as one array constant."""
+    fields = SCHEMA.replace(" string", "").split(", ")
+    chosen = [m for m in METRICS if m.metric_group in groups] + list(extra)
+    return constant_rows([{f: getattr(m, f) for f in fields} for m in chosen], SCHEMA)
+
+
+def metric_catalog(
+    spark: SparkSession, groups: tuple[str, ...] = GROUPS, extra: tuple[Metric, ...] = ()
+) -> DataFrame:
     """The catalogue as a table: 146 rows, always small enough to broadcast."""
-    rows = [
-        (m.metric, m.source, m.source_type, m.metric_group, m.versions, m.role)
-        for m in METRICS
-        if m.metric_group in groups
-    ]
-    return spark.createDataFrame(rows, SCHEMA)
+    return spark.range(1).select(F.inline(_entries(groups, extra)))
 
 
 def metric_names(groups: tuple[str, ...] = GROUPS) -> list[str]:
@@ -281,13 +285,6 @@ def fits_role(role: Column, node_type: Column) -> Column:
     return role.isNull() | F.coalesce(role == node_type, F.lit(False))
 
 
-def _entries(groups: tuple[str, ...]) -> Column:
-    """The catalogue as one array constant."""
-    fields = SCHEMA.replace(" string", "").split(", ")
-    rows = [{f: getattr(m, f) for f in fields} for m in METRICS if m.metric_group in groups]
-    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{SCHEMA.replace(' ', ':').replace(',:', ',')}>>")
-
-
 def catalog_by_version(collections: DataFrame, groups: tuple[str, ...] = GROUPS) -> DataFrame:
     """Catalogue entries that apply to each collection's server ``version``.
 

@@ -144,7 +144,9 @@ def sample_contract(payloads: DataFrame) -> DataFrame:
     is a constant of about 130 rows; every sample is read once and reduced
     before the only shuffle.
     """
-    contract = payloads.sparkSession.createDataFrame(contract_rows(), SCHEMA)
+    names = [field.split()[0] for field in SCHEMA.split(", ")]
+    rows = J.constant_rows([dict(zip(names, row)) for row in contract_rows()], SCHEMA)
+    contract = payloads.sparkSession.range(1).select(F.inline(rows))
     parsed = payloads.select("event_type", J.fields(J.mark_strings(F.col("payload"))).alias("fields"))
     checked = parsed.join(F.broadcast(contract), "event_type")
     value = F.try_element_at("fields", F.concat(F.lit(J.MARK), F.col("field")))

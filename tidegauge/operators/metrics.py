@@ -200,9 +200,8 @@ def server_sample(
     landed = [c for c, m in chosen.items() if not m.derived and m.source_type != "attribute"]
     inputs = [f"_{key}" for key in (*_INTEGER_KEYS, *_STATE_KEYS)]
 
-    catalog = C.metric_catalog(bag.sparkSession, tuple(groups))
-    extra = [(f"_{key}", key, "input", "default", "any", None) for key in (*_INTEGER_KEYS, *_STATE_KEYS)]
-    catalog = catalog.unionByName(bag.sparkSession.createDataFrame(extra, C.SCHEMA))
+    wanted = [C.Metric(f"_{key}", key, "input", "default", "any", None) for key in (*_INTEGER_KEYS, *_STATE_KEYS)]
+    catalog = C.metric_catalog(bag.sparkSession, tuple(groups), tuple(wanted))
     with_dims = bag.join(dims, list(KEYS))
     numbers = _metric_values(applicable(with_dims, catalog.filter("source_type <> 'attribute'")), max_gap)
     named = numbers.withColumn("metric", F.replace("metric", F.lit("."), F.lit("_")))
