@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge import KEYS, settings
@@ -15,8 +15,8 @@ from tidegauge.operators.ranking import first_per_key, top_k
 SYSTEM = settings.SYSTEM_DATABASES
 
 
-def digest_rollup(executions: DataFrame) -> DataFrame:
-    """Landed executions to the columns of the server's digest summary.
+def summary_columns() -> list[Column]:
+    """Aggregates of the digest summary, without ``last_seen``.
 
     Picosecond totals are decimals: a busy digest passes 64 bits.
     """
@@ -27,11 +27,13 @@ def digest_rollup(executions: DataFrame) -> DataFrame:
         "sum_rows_affected": F.col("rows_affected"),
         "sum_no_index_used": F.col("no_index_used"),
     }
-    return executions.groupBy(*KEYS, F.col("current_schema").alias("schema_name"), "digest", "digest_text").agg(
-        F.count(F.lit(1)).alias("count_star"),
-        *[F.sum(source).alias(name) for name, source in totals.items()],
-        F.max("ts").alias("last_seen"),
-    )
+    return [F.count(F.lit(1)).alias("count_star"), *[F.sum(column).alias(name) for name, column in totals.items()]]
+
+
+def digest_rollup(executions: DataFrame) -> DataFrame:
+    """Landed executions to the columns of the server's digest summary."""
+    keys = [*KEYS, F.col("current_schema").alias("schema_name"), "digest", "digest_text"]
+    return executions.groupBy(*keys).agg(*summary_columns(), F.max("ts").alias("last_seen"))
 
 
 def slow_queries(

@@ -26,18 +26,9 @@ def digest_windows(executions: DataFrame, seconds: int, delay: str) -> DataFrame
     """
     # Event time must be an instant: wall clocks are read in the session zone.
     timed = executions.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
-    totals = {
-        "sum_cpu_time": F.col("cpu_time").cast("decimal(20,0)"),
-        "sum_timer_wait": F.col("timer_wait").cast("decimal(20,0)"),
-        "sum_rows_examined": F.col("rows_examined"),
-        "sum_rows_affected": F.col("rows_affected"),
-        "sum_no_index_used": F.col("no_index_used"),
-    }
     window = F.window("ts", f"{seconds} seconds").alias("_w")
     grouped = timed.groupBy("instance", window, F.col("current_schema").alias("schema_name"), "digest", "digest_text").agg(
-        F.count(F.lit(1)).alias("count_star"),
-        *[F.sum(column).alias(name) for name, column in totals.items()],
-        F.max("ts").cast("timestamp_ntz").alias("last_seen"),
+        *ST.summary_columns(), F.max("ts").cast("timestamp_ntz").alias("last_seen")
     )
     return grouped.withColumn("collected_at", F.col("_w.end").cast("timestamp_ntz")).drop("_w")
 
