@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, token_files
+from . import fingerprints, lm_scores, packing, token_files
 from .common import read_table, shared_folder
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -26,8 +26,53 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path).drop("ids")
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = lm_scores.stupid_backoff(read_table(spark, sf_dir, "documents", "doc_id", "text"), order=3, alpha=0.4)
+    return scores.select("doc_id", "n_tokens", *(F.round(c, 6).alias(c) for c in ("log_score", "mean_log_score")))
+
+
+OP9_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i
+  FROM (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	
+]+'), lambda x: x <> '') AS w FROM documents)),
+grams AS (
+  SELECT doc_id, i, w AS g1, lag(w) OVER t AS u, lag(w, 2) OVER t AS s FROM words WINDOW t AS (PARTITION BY doc_id ORDER BY i)),
+keyed AS (
+  SELECT doc_id, i, g1, CASE WHEN i > 1 THEN u || ' ' || g1 END AS g2, CASE WHEN i > 2 THEN s || ' ' || u || ' ' || g1 END AS g3,
+         CASE WHEN i > 1 THEN u END AS b1, CASE WHEN i > 2 THEN s || ' ' || u END AS b2 FROM grams),
+each AS (
+  SELECT doc_id, unnest([g1, g2, g3]) AS g FROM keyed),
+own AS (SELECT doc_id, g, count(*) AS n FROM each WHERE g IS NOT NULL GROUP BY ALL),
+total AS (SELECT g, sum(n)::BIGINT AS n FROM own GROUP BY g),
+other AS (SELECT doc_id, g, total.n - own.n AS n FROM own JOIN total USING (g)),
+sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+scored AS (
+  SELECT k.doc_id, CASE
+    WHEN c3.n > 0 THEN ln(c3.n) - ln(d2.n)
+    WHEN c2.n > 0 THEN ln(c2.n) - ln(d1.n) + CASE WHEN k.i > 2 THEN ln(0.4::DOUBLE) ELSE 0 END
+    ELSE ln(c1.n + 1) - ln((SELECT sum(n) FROM sizes) - z.n + 1) + (least(k.i, 3) - 1) * ln(0.4::DOUBLE) END AS s
+  FROM keyed k JOIN sizes z USING (doc_id)
+  JOIN other c1 ON c1.doc_id = k.doc_id AND c1.g = k.g1
+  LEFT JOIN other c2 ON c2.doc_id = k.doc_id AND c2.g = k.g2
+  LEFT JOIN other c3 ON c3.doc_id = k.doc_id AND c3.g = k.g3
+  LEFT JOIN other d1 ON d1.doc_id = k.doc_id AND d1.g = k.b1
+  LEFT JOIN other d2 ON d2.doc_id = k.doc_id AND d2.g = k.b2),
+summed AS (SELECT doc_id, count(*) AS n_tokens, fsum(s) AS s FROM scored GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_tokens, 0)::BIGINT AS n_tokens, round(coalesce(s, 0), 6) AS log_score, round(s / n_tokens, 6) AS mean_log_score
+FROM documents d LEFT JOIN summed USING (doc_id)"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op7_token_files": op7_token_files,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_lm_scores": op9_lm_scores,
+}
+ORACLES: dict[str, str] = {
+    "op9_lm_scores": OP9_SQL,
 }
-ORACLES: dict[str, str] = {}
