@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, lm_scores, packing, token_files
+from . import fingerprints, lm_scores, near_dups, packing, token_files
 from .common import read_table, shared_folder
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"), shingle=4, threshold=80)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return packing.best_fit_pack(docs, WORD_BPE, size=2048, end_id=0)
@@ -39,7 +43,8 @@ OP9_SQL = r"""
 WITH words AS (
   SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i
   FROM (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	
-]+'), lambda x: x <> '') AS w FROM documents)),
+
+]+'), lambda x: x <> '') AS w FROM documents)),
 grams AS (
   SELECT doc_id, i, w AS g1, lag(w) OVER t AS u, lag(w, 2) OVER t AS s FROM words WINDOW t AS (PARTITION BY doc_id ORDER BY i)),
 keyed AS (
@@ -68,6 +73,7 @@ FROM documents d LEFT JOIN summed USING (doc_id)"""
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_near_dups": op3_near_dups,
     "op4_packing": op4_packing,
     "op7_token_files": op7_token_files,
     "op8_fingerprints": op8_fingerprints,
