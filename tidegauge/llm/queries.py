@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, lm_scores, near_dups, packing, token_files
+from . import bpe, fingerprints, lm_scores, near_dups, packing, token_files
 from .common import read_table, shared_folder
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -24,6 +24,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(docs, WORD_BPE, size=2048, end_id=0)
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_and_decode(read_table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_BPE)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "token-files")
     token_files.write_token_files(read_table(spark, sf_dir, "documents", "doc_id", "text"), path, WORD_BPE, end_id=1)
@@ -75,6 +79,7 @@ FROM documents d LEFT JOIN summed USING (doc_id)"""
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_dups": op3_near_dups,
     "op4_packing": op4_packing,
+    "op6_bpe": op6_bpe,
     "op7_token_files": op7_token_files,
     "op8_fingerprints": op8_fingerprints,
     "op9_lm_scores": op9_lm_scores,
