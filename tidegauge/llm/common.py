@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 6 << 20
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

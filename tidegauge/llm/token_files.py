@@ -28,7 +28,7 @@ from .word_ids import WordEncoder, tokenizer_json
 MAGIC = b"DAC8"
 BLOCK = 512
 SEGMENT_IDS = 1 << 20
-SEGMENT_SCHEMA = "part int, segment int, doc_ids array<long>, lengths array<long>, n_ids long, codes binary"
+SEGMENT_SCHEMA = "part int, segment int, before long, doc_ids array<long>, lengths array<long>, n_ids long, codes binary"
 
 
 def dac_encode(ids: np.ndarray) -> bytes:
@@ -95,7 +95,7 @@ def segments(docs: DataFrame, tokenizer: str, end_id: int = 1, segment_ids: int
     json = tokenizer_json(tokenizer)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, number = WordEncoder(json), TaskContext.get().partitionId(), 0
+        encoder, part, number, before = WordEncoder(json), TaskContext.get().partitionId(), 0, 0
         doc_ids: list[int | None] = []
         runs: list[np.ndarray] = []
         size = 0
@@ -103,8 +103,8 @@ def segments(docs: DataFrame, tokenizer: str, end_id: int = 1, segment_ids: int
         def done() -> pa.RecordBatch:
             ids = np.concatenate(runs)
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([[len(r) for r in runs]], pa.list_(pa.int64())), pa.array([len(ids)], pa.int64()), pa.array([dac_encode(ids)], pa.binary())],
-                names=["part", "segment", "doc_ids", "lengths", "n_ids", "codes"],
+                [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([before], pa.int64()), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([[len(r) for r in runs]], pa.list_(pa.int64())), pa.array([len(ids)], pa.int64()), pa.array([dac_encode(ids)], pa.binary())],
+                names=["part", "segment", "before", "doc_ids", "lengths", "n_ids", "codes"],
             )
 
         for batch in slices(batches, "text"):
@@ -115,7 +115,7 @@ def segments(docs: DataFrame, tokenizer: str, end_id: int = 1, segment_ids: int
                 size += len(runs[-1])
                 if size >= segment_ids:
                     yield done()
-                    number, doc_ids, runs, size = number + 1, [], [], 0
+                    number, before, doc_ids, runs, size = number + 1, before + size, [], [], 0
         if runs:
             yield done()
 
@@ -129,16 +129,16 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
 
 def placed_segments(spark: SparkSession, path: str) -> DataFrame:
-    """The segments of token files with `start`, the ids of all segments before."""
+    """The segments of token files with `start`, the ids of all segments before.
+
+    A segment knows the ids before it in its part. One row for each part, of
+    which there are as many as tasks wrote, is summed in a window and broadcast.
+    """
     stored = spark.read.schema(SEGMENT_SCHEMA).parquet(path)
-    sizes = stored.select("part", "segment", "n_ids")
-    # A row for each part meets in one window; segments are summed within their part.
-    parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("part_ids"))
-    before = parts.select("part", F.coalesce(F.sum("part_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("part_start"))
-    inside = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("part", "segment", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("in_part")).join(before, "part")
-    starts = starts.select("part", "segment", (F.col("part_start") + F.col("in_part")).alias("start"))
-    return stored.join(starts, ["part", "segment"])
+    parts = stored.groupBy("part").agg(F.sum("n_ids").alias("part_ids"))
+    earlier = F.sum("part_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = parts.select("part", F.coalesce(earlier, F.lit(0)).alias("part_start"))
+    return stored.join(F.broadcast(starts), "part").withColumn("start", F.col("part_start") + F.col("before"))
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

@@ -1,14 +1,15 @@
 """Ids of whole texts by the tokenizers library, one library call per distinct word.
 
 The vocabulary with word ends drops white space and never merges across it, so
-the ids of a text are the ids of its words in a row. Arrow splits a slice of
-texts at spaces and line breaks and numbers the distinct words; the library
-encodes those that a bounded cache does not hold.
-
-A word of Latin letters and trailing punctuation other than the apostrophe is
-encoded as its lower-case letters and its punctuation, which the library's own
-pattern separates too. The letters need no normaliser then, so a second
-tokenizer without one encodes them. Every other word goes through unchanged.
+the ids of a text are the ids of its words in a row. Arrow lower-cases A to Z,
+splits a slice of texts at spaces and line breaks, and numbers the distinct
+words; the library encodes those that a bounded cache does not hold.
+
+Punctuation at a word's end, without the apostrophe, is a word of its own: the
+library's pattern separates it from a letter too. A word of lower-case Latin
+letters needs no normaliser, so a second tokenizer without one encodes it.
+Texts that may hold a special token, or a combining mark (whose letter must be
+composed before its case is folded), go through the library unchanged.
 """
 
 from __future__ import annotations
@@ -16,16 +17,19 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Latin-1 letters: their lower case is one letter, and canonical composition leaves them alone.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-Þß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+# Latin-1 letters: canonical composition leaves them alone.
+_PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
+_TAIL = r"([a-zß-öø-ÿ])([!-&(-/:-@\[-`{-~]+)( |$)"
+_WHOLE = "<\\||[\u0300-\u036f]"
 MAX_WORDS = 500_000
-MAX_IDS = 6_000_000
+MAX_IDS = 4_000_000
 
 
 def tokenizer_json(path: str) -> str:
@@ -50,31 +54,22 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self._slot: dict[str, int] = {}
-        self._letters: dict[str, list[int]] = {}
-        self._marks: dict[str, list[int]] = {"": []}
-        self._ids, self._start, self._count = array("I"), array("q"), array("q")
-
-    def _all(self, tokenizer, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        self._ids, self._count = array("I"), array("I")
 
     def _learn(self, words: list[str]) -> None:
-        parts = [_PLAIN.fullmatch(w) for w in words]
-        pairs = [(m[1].lower(), m[2]) if m else None for m in parts]
-        letters = sorted({p[0] for p in pairs if p}.difference(self._letters))
-        self._letters.update(zip(letters, self._all(self._bare, letters), strict=True))
-        marks = sorted({p[1] for p in pairs if p}.difference(self._marks))
-        self._marks.update(zip(marks, self._all(self._full, marks), strict=True))
-        others = iter(self._all(self._full, [w for w, p in zip(words, pairs, strict=True) if not p]))
-        for word, pair in zip(words, pairs, strict=True):
-            ids = self._letters[pair[0]] + self._marks[pair[1]] if pair else next(others)
-            self._slot[word] = len(self._start)
-            self._start.append(len(self._ids))
-            self._count.append(len(ids))
-            self._ids.extend(ids)
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row (uint32), and where each text's ids start (one more entry than texts)."""
-        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        plain = [w for w in words if _PLAIN.fullmatch(w)]
+        others = [w for w in words if not _PLAIN.fullmatch(w)]
+        for tokenizer, own in ((self._bare, plain), (self._full, others)):
+            # One array of ids for all words, and how many each has: the cache holds no lists.
+            ids = [e.ids for e in tokenizer.encode_batch_fast(own, add_special_tokens=False)]
+            first = len(self._count)
+            self._slot.update(zip(own, range(first, first + len(own)), strict=True))
+            self._count.extend(map(len, ids))
+            self._ids.extend(chain.from_iterable(ids))
+
+    def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        flat = pc.replace_substring(pc.ascii_lower(texts), "\n", " ")
+        words = pc.split_pattern(pc.replace_substring_regex(flat, _TAIL, r"\1 \2 "), " ")
         ends = words.offsets.to_numpy() - words.offsets[0].as_py()
         coded = words.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
@@ -82,11 +77,24 @@ class WordEncoder:
             self._forget()
         self._learn([w for w in distinct if w not in self._slot])
         slots = np.fromiter(map(self._slot.__getitem__, distinct), np.int64, len(distinct))
+        known = np.array(self._count, np.int32)
+        # Within 2**31 ids a slice: a slice holds few texts or one.
+        counts, starts = known[slots], (np.cumsum(known, dtype=np.int64) - known)[slots]
         place = coded.indices.to_numpy()
-        counts = np.array(self._count, np.int64)[slots][place]
-        starts = np.array(self._start, np.int64)[slots][place]
-        after = np.zeros(len(counts) + 1, np.int64)
-        np.cumsum(counts, out=after[1:])
-        where = np.repeat(starts - after[:-1], counts)
+        each = counts[place]
+        after = np.zeros(len(place) + 1, np.int64)
+        np.cumsum(each, out=after[1:])
+        where = np.repeat(starts[place] - after[:-1], each)
         where += np.arange(after[-1])
         return np.array(self._ids, np.uint32)[where] if after[-1] else np.zeros(0, np.uint32), after[ends]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row (uint32), and where each text's ids start (one more entry than texts)."""
+        whole = pc.match_substring_regex(texts, _WHOLE)
+        if not pc.any(whole).as_py():
+            return self._words(texts)
+        ids, at = self._words(pc.if_else(whole, "", texts))
+        runs = np.split(ids, at[1:-1])
+        for row in np.flatnonzero(whole.to_numpy(zero_copy_only=False)):
+            runs[row] = np.array(self._full.encode(texts[int(row)].as_py(), add_special_tokens=False).ids, np.uint32)
+        return np.concatenate(runs), np.cumsum([0, *map(len, runs)])
