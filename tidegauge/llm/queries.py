@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, lm_scores, near_dups, packing, quality, token_files
+from . import bpe, fingerprints, lm_scores, near_dups, packing, pii, quality, token_files
 from .common import read_table, shared_folder
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +20,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.train(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality")))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_report(pii.find_spans(read_table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"), shingle=4, threshold=80)
 
@@ -83,6 +87,7 @@ FROM documents d LEFT JOIN summed USING (doc_id)"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_pii": op2_pii,
     "op3_near_dups": op3_near_dups,
     "op4_packing": op4_packing,
     "op6_bpe": op6_bpe,
