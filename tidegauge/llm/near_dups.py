@@ -209,3 +209,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80, band
     out = base.select("doc_id", "n_shingles", "set_id").join(of, "set_id", "left")
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", alone.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, **options: int) -> DataFrame:
+    """The rows of docs, all columns, but for near copies: of each component the smallest doc_id stays, once.
+
+    Rows without doc_id cannot be named, so they stay. The ids to leave out are
+    broadcast only if they are few.
+    """
+    gone = checkpointed(near_duplicates(docs, **options).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct())
+    left = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti")
+    if docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").limit(1).count():
+        left = left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id IS NULL"))
+    return left.select(*docs.columns)

@@ -240,3 +240,17 @@ def score_quality(docs: DataFrame, field: Field | None, threshold: float = THRES
             )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(score, SCHEMA)
+
+
+def good_documents(docs: DataFrame, field: Field | None, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, all columns, whose text scores at least `threshold`; all of them without a field."""
+    if field is None:
+        return docs
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            features, sizes, at = line_features(texts_of(batch))
+            scores = field.score(document_means(marginals(field.emissions(features), at, field.steps), sizes, at))
+            yield batch.filter(pa.array(scores >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, lm_scores, near_dups, packing, pii, quality, token_files
+from . import bpe, fingerprints, html_text, lm_scores, near_dups, packing, pii, quality, token_files
 from .common import read_table, shared_folder
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -52,6 +52,10 @@ def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", "n_tokens", *(F.round(c, 6).alias(c) for c in ("log_score", "mean_log_score")))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 OP9_SQL = r"""
 WITH words AS (
   SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_files": op7_token_files,
     "op8_fingerprints": op8_fingerprints,
     "op9_lm_scores": op9_lm_scores,
+    "op10_html_text": op10_html_text,
 }
 ORACLES: dict[str, str] = {
     "op9_lm_scores": OP9_SQL,
