@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, html_text, lm_scores, near_dups, packing, pii, quality, token_files
+from . import bpe, fingerprints, html_text, lm_scores, near_dups, neighbours, packing, pii, quality, token_files
 from .common import read_table, shared_folder
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -33,6 +33,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(docs, WORD_BPE, size=2048, end_id=0)
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(read_table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_BPE)
 
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_near_dups": op3_near_dups,
     "op4_packing": op4_packing,
+    "op5_neighbours": op5_neighbours,
     "op6_bpe": op6_bpe,
     "op7_token_files": op7_token_files,
     "op8_fingerprints": op8_fingerprints,
