@@ -19,7 +19,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +28,7 @@ PRIMES = (2147483647, 2147483629)
 BASES = (1000003, 786433)
 #: Prefix and suffix lengths that a fingerprint keeps: 2 to the power k/8, rounded.
 LADDER = np.unique(np.round(2 ** (np.arange(0, 8 * 40) / 8)).astype(np.int64))
+BORDER_IDS = 20
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
@@ -132,14 +132,18 @@ def edited(text: str, following: str) -> str:
 def in_turn(docs: DataFrame, cells: int) -> DataFrame:
     """docs (doc_id, text) in cells, each in descending doc_id order and closed by the row that follows its last.
 
-    Adds `_cell` and `_extra` (true for a closing row). The borders of cells are
-    quantiles of doc_id, so cells are alike in rows; the row after the lowest
-    doc_id is the one of the highest. At most `cells` ids come to the driver.
+    Adds `_cell` and `_extra` (true for a closing row); the row after the lowest
+    doc_id is the one of the highest. The borders of cells, which decide only how
+    even they are, are quantiles of a sample of some BORDER_IDS ids for each cell.
     """
+    from pyspark.ml.feature import Bucketizer
+
     spark = docs.sparkSession
     keyed = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     keyed = keyed.withColumn("_key", F.coalesce("doc_id", F.lit(-(2**63))).cast("double"))
-    borders = keyed.approxQuantile("_key", [k / cells for k in range(1, cells)], 0.25 / cells) if cells > 1 else []
+    share = min(1.0, BORDER_IDS * cells / max(1, docs.count()))
+    seen = [r["_key"] for r in keyed.select("_key").sample(share, seed=1).collect()]
+    borders = np.quantile(seen, [k / cells for k in range(1, cells)], method="nearest").tolist() if seen and cells > 1 else []
     splits = [float("-inf"), *sorted({b for b in borders if b > -9e18}), float("inf")]
     if len(splits) > 2:
         celled = Bucketizer(splits=splits, inputCol="_key", outputCol="_cell").transform(keyed)
@@ -165,7 +169,7 @@ def fingerprints(docs: DataFrame, cells: int | None = None) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None  # the last row, which its follower completes
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             rows: list[tuple] = []
             columns = [batch.column(c).to_pylist() for c in ("doc_id", "_cell", "_extra")]
             for doc_id, cell, extra, text in zip(*columns, texts_of(batch).to_pylist(), strict=True):
