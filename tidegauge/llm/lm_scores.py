@@ -21,6 +21,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,16 +32,20 @@ CHUNK_ROWS = 2_000
 _SHIFT = np.uint64(8)
 
 
-def _planes(values: np.ndarray, width: int) -> bytes:
-    """Little-endian integers, byte by byte of all: equal high bytes lie together, so they compress."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+def _packed(values: np.ndarray, width: int, sorted_: bool = False) -> bytes:
+    """Integers below 256**width, sorted ones as differences, byte by byte of all: equal high bytes lie together and compress."""
+    if sorted_:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
-def _unplaned(data: bytes, width: int) -> np.ndarray:
-    columns = np.frombuffer(data, np.uint8).reshape(width, -1)
-    out = np.zeros((columns.shape[1], 8), np.uint8)
-    out[:, :width] = columns.T
-    return out.view("<u8").ravel()
+def _unpacked(data: bytes, width: int, sorted_: bool = False) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    values = out.view("<u8").ravel()
+    return np.cumsum(values, dtype=np.uint64) if sorted_ else values
 
 
 class _Grams:
@@ -123,27 +128,27 @@ def stupid_backoff(docs: DataFrame, order: int = 3, alpha: float = 0.4, chunk_ro
         return pa.table({
             "shard": pa.array(full.astype(np.int32)),
             "chunk": pa.array(np.full(len(full), key[0].as_py(), np.int32)),
-            "keys": pa.array([_planes(grams.keys[p], 7) for p in parts], pa.binary()),
-            "counts": pa.array([_planes(grams.counts[p], 4) for p in parts], pa.binary()),
+            "keys": pa.array([_packed(grams.keys[p], 7, True) for p in parts], pa.binary()),
+            "counts": pa.array([_packed(grams.counts[p], 4) for p in parts], pa.binary()),
         })
 
     def add(key: tuple, table: pa.Table) -> pa.Table:
-        keys = [_unplaned(x, 7) for x in table["keys"].to_pylist()]
-        counts = np.concatenate([_unplaned(x, 4) for x in table["counts"].to_pylist()])
+        keys = [_unpacked(x, 7, True) for x in table["keys"].to_pylist()]
+        counts = np.concatenate([_unpacked(x, 4) for x in table["counts"].to_pylist()])
         distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
         totals = np.bincount(where, counts, len(distinct)).astype(np.uint64)[where]
         at = np.cumsum([0, *map(len, keys)])
         return pa.table({
             "shard": table["shard"],
             "chunk": table["chunk"],
-            "totals": pa.array([_planes(totals[a:b], 6) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+            "totals": pa.array([_packed(totals[a:b], 6) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
         })
 
     def sum_up(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
         batch = table.combine_chunks().to_batches()[0]
         grams = _Grams(texts_of(batch), order)
         found = replies.sort_by("shard")["totals"].to_pylist()
-        totals = np.concatenate([_unplaned(x, 6) for x in found]) if found else np.zeros(0, np.uint64)
+        totals = np.concatenate([_unpacked(x, 6) for x in found]) if found else np.zeros(0, np.uint64)
         words = np.diff(grams.at)
         score = np.bincount(grams.text, _score(grams, totals, alpha), len(words)) if grams.size else np.zeros(len(words))
         return pa.table({
