@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 MARK = "~"
 _STRING = r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"'
-_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "maxStringLen": str(2**31 - 1)}
 
 
 def constant_rows(rows: list[dict], schema: str) -> Column:
@@ -29,9 +29,15 @@ def constant_rows(rows: list[dict], schema: str) -> Column:
 
 
 def mark_strings(document: Column) -> Column:
-    """The document with marked strings; null unless it is one closed object."""
-    closed = F.rtrim(document, F.lit(" \t\r\n")).endswith("}")
-    return F.when(closed, F.regexp_replace(document, _STRING, f'"{MARK}$1"'))
+    """The document with marked strings; null unless the whole text is one object.
+
+    It is read as a field of an object that ends with a field of its own. Text
+    after the document is a parse error or closes the object too early; it
+    cannot forge the last field, as its own names are marked.
+    """
+    marked = F.regexp_replace(document, _STRING, f'"{MARK}$1"')
+    whole = F.from_json(F.concat(F.lit('{"doc":'), marked, F.lit(',"end":1}')), "struct<doc:string,end:int>", _STRICT)
+    return let(whole, lambda read: F.when((read["end"] == 1) & is_object(read["doc"]), read["doc"]))
 
 
 def fields(node: Column) -> Column:
@@ -59,15 +65,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def last_wins(node: Column) -> Column:
-    """The map without repeated keys: the last one of each stays."""
-    pairs = F.map_entries(node)
+    """The map without repeated keys: the last one of each stays.
+
+    Entries are sorted by key and place, so the last of each key is found beside
+    its successor, and then put back in order.
+    """
+    placed = F.transform(F.map_entries(node), lambda e, i: F.struct(e["key"].alias("key"), i.alias("at"), e["value"].alias("value")))
 
-    def is_last(pair: Column, index: Column) -> Column:
-        rest = F.slice(pairs, index + 2, F.size(pairs))
-        return ~F.exists(rest, lambda other: other["key"] == pair["key"])
+    def kept(entries: Column) -> Column:
+        last = F.filter(entries, lambda e, i: F.coalesce(F.get(entries, i + 1)["key"] != e["key"], F.lit(True)))
+        back = F.array_sort(F.transform(last, lambda e: F.struct(e["at"].alias("at"), e["key"].alias("key"), e["value"].alias("value"))))
+        return F.map_from_entries(F.transform(back, lambda e: F.struct(e["key"], e["value"])))
 
     repeats = F.size(F.array_distinct(F.map_keys(node))) < F.size(node)
-    return F.when(repeats, F.map_from_entries(F.filter(pairs, is_last))).otherwise(node)
+    return F.when(repeats, let(F.array_sort(placed), kept)).otherwise(node)
 
 
 def field(node: Column, key: str) -> Column:

@@ -201,24 +201,58 @@ def _exact_decimals(fraction: Column, places: int) -> Column:
     return down + up.cast("long")
 
 
+def _whole_text(value: Column) -> Column:
+    """Exact decimal digits of a double from 2**53 up, which is a whole number.
+
+    The number is an integer of at most 54 bits doubled over and over; it is kept in limbs of
+    nine digits, lowest first, and up to 20 doublings are one multiplication.
+    """
+    limb = 10**9
+    # One less than needed: the logarithm of a number just below a power of two may be rounded up.
+    power = F.greatest(F.floor(F.log2(value)).cast("int") - 53, F.lit(0))
+    half = F.floor(power / 2)
+    odd = F.floor(value / F.pow(F.lit(2.0), half.cast("double")) / F.pow(F.lit(2.0), (power - half).cast("double")))
+    odd = odd.cast("long")
+    first = F.array(odd % limb, whole_div(odd, limb) % limb)
+
+    def times(limbs: Column, shift: Column) -> Column:
+        def carry(state: Column, x: Column) -> Column:
+            product = x * shift + state["carry"]
+            return F.struct(whole_div(product, limb).alias("carry"), F.concat(state["out"], F.array(product % limb)).alias("out"))
+
+        start = F.struct(F.lit(0).cast("long").alias("carry"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(limbs, start, carry, lambda s: F.when(s["carry"] > 0, F.concat(s["out"], F.array(s["carry"]))).otherwise(s["out"]))
+
+    twenty = F.sequence(F.lit(1), whole_div(power + 19, 20).cast("int"))
+    steps = F.when(power > 0, F.transform(twenty, lambda i: F.pow(F.lit(2.0), F.least(F.lit(20), power - (i - 1) * 20).cast("double")).cast("long")))
+    limbs = F.aggregate(F.coalesce(steps, F.array().cast("array<bigint>")), first, times)
+    text = F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(x.cast("string"), 9, "0")), "")
+    return F.ltrim(text, F.lit("0"))
+
+
 def fixed_decimals(value: Column, places: int) -> Column:
-    """``%.<places>f`` of the exact binary value, ties to even.
+    """``%.<places>f`` of the exact binary value, ties to even; null unless finite.
 
     The JVM formatter rounds the shortest decimal text instead, so 1.005 would
-    print as 1.01. Exact arithmetic is needed only next to a tie. For up to
-    five places and |value| < 2**53.
+    print as 1.01. Exact arithmetic is needed only next to a tie, for up to five
+    places. From 2**53 up a double is a whole number, printed digit by digit.
     """
     size = F.abs(value)
-    whole = F.floor(size)
-    fraction = size - whole.cast("double")
+    finite = size < F.lit(float("inf"))
+    large = size >= F.lit(float(2**53))
+    small = F.when(~large, size).otherwise(F.lit(0.0))
+    whole = F.floor(small)
+    fraction = small - whole.cast("double")
     near = fraction * F.lit(float(10**places))
     below = F.floor(near)
     rest = near - below.cast("double")
     clear = F.abs(rest - F.lit(0.5)) > F.lit(1e-6)
     digits = F.when(clear, below + (rest > F.lit(0.5)).cast("long")).otherwise(_exact_decimals(fraction, places))
-    return F.concat(
+    shown = F.when(large, _whole_text(size)).otherwise((whole + whole_div(digits, 10**places)).cast("string"))
+    text = F.concat(
         F.when(value < 0, "-").otherwise(""),
-        (whole + whole_div(digits, 10**places)).cast("string"),
+        shown,
         F.lit("."),
         F.lpad((digits % 10**places).cast("string"), places, "0"),
     )
+    return F.when(finite, text)

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidegauge.functions.json_nodes import let
 from tidegauge.functions.scalars import go_int
 
 # Underscores may separate digits; a point needs a digit on one side at least.
 _DIGITS = r"[0-9](?:_?[0-9])*"
 _DECIMAL = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\z"
 _SPECIAL = r"(?i)^(?:[+-]?inf(?:inity)?|nan)\z"
-_HEX = r"^([+-]?)0[xX]([0-9a-fA-F]*)(?:\.([0-9a-fA-F]*))?[pP]([+-]?[0-9]+)\z"
+_HEX_DIGITS = "[0-9a-fA-F](?:_?[0-9a-fA-F])*"
+_HEX = rf"^([+-]?)0[xX]((?:_?{_HEX_DIGITS})?)(?:\.((?:{_HEX_DIGITS})?))?[pP]([+-]?{_DIGITS})\z"
 
 # Accepted spellings of booleans.
 _TRUE = ("1", "t", "T", "TRUE", "true", "True")
@@ -26,14 +28,32 @@ def _decimal_value(raw: Column) -> Column:
 
 
 def _hex_value(raw: Column) -> Column:
-    sign, whole, part, power = (F.regexp_extract(raw, _HEX, i) for i in (1, 2, 3, 4))
-    digits = F.concat(whole, part)
-    mantissa = F.conv(digits, 16, 10).try_cast("double")
-    exponent = power.try_cast("double") - F.length(part) * 4
-    number = mantissa * F.pow(F.lit(2.0), exponent)
-    signed = F.when(sign == "-", -number).otherwise(number)
-    readable = raw.rlike(_HEX) & (F.length(digits) > 0) & (F.abs(number) < F.lit(float("inf")))
-    return F.when(readable, signed)
+    """Hexadecimal floats of any length, rounded once.
+
+    The first 15 significant digits are 60 bits; a one below them stands for any
+    digit other than 0 in the rest, so the conversion to double rounds as the
+    whole number would.
+    """
+    plain = F.replace(raw, F.lit("_"), F.lit(""))
+    parts = F.struct(*[F.regexp_extract(plain, _HEX, i).alias(n) for i, n in ((1, "sign"), (2, "whole"), (3, "part"), (4, "power"))])
+
+    def split(read: Column) -> Column:
+        digits = F.ltrim(F.concat(read["whole"], read["part"]), F.lit("0"))
+        head, rest = F.substring(digits, 1, 15), F.substring(digits, 16, 2**31 - 1)
+        number = F.when(head == "", F.lit(0).cast("long")).otherwise(F.conv(head, 16, 10).cast("long"))
+        below = (F.ltrim(rest, F.lit("0")) != "").cast("long")
+        exponent = read["power"].try_cast("double") + 4 * (F.length(rest) - F.length(read["part"]))
+        given = F.length(read["whole"]) + F.length(read["part"]) > 0
+        return F.struct(number.bitwiseOR(below).alias("number"), exponent.alias("exponent"), (read["sign"] == "-").alias("minus"), given.alias("given"))
+
+    def value(read: Column) -> Column:
+        # Two steps, as 2 to the power alone may be out of range when the product is not.
+        half = F.floor(read["exponent"] / 2).cast("double")
+        size = read["number"].cast("double") * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), read["exponent"] - half)
+        size = F.when(read["number"] == 0, F.lit(0.0)).otherwise(size)
+        return F.when(read["given"] & (size < F.lit(float("inf"))), F.when(read["minus"], -size).otherwise(size))
+
+    return F.when(raw.rlike(_HEX), let(let(parts, split), value))
 
 
 def _special_value(raw: Column) -> Column:

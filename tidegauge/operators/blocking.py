@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge import KEYS, settings
@@ -32,7 +32,8 @@ def _participants(waits: DataFrame, columns: Sequence[str], key: str) -> DataFra
     return sides[0].unionByName(sides[1]).distinct()
 
 
-def _session_report(df: DataFrame, values: dict) -> DataFrame:
+def _session_report(df: DataFrame, values: dict, zone: Column | str) -> DataFrame:
+    """Transaction starts are wall clocks of the server in ``zone``; ``collected_at`` is landed in UTC."""
     fixed = {
         "blocked_txn_id": F.col("w_trx_id"),
         "blocked_thread_id": F.col("w_trx_mysql_thread_id"),
@@ -42,8 +43,8 @@ def _session_report(df: DataFrame, values: dict) -> DataFrame:
         "blocking_txn_id": F.col("b_trx_id"),
         "blocking_thread_id": F.col("b_trx_mysql_thread_id"),
         "blocking_host": F.col("b_processlist_host"),
-        "blocked_txn_start_time": S.utc_iso(F.col("w_trx_started")),
-        "blocking_txn_start_time": S.utc_iso(F.col("b_trx_started")),
+        "blocked_txn_start_time": S.utc_iso(F.col("w_trx_started"), zone),
+        "blocking_txn_start_time": S.utc_iso(F.col("b_trx_started"), zone),
         "collection_timestamp": S.utc_iso(F.col("collected_at")),
     }
     return df.select(*KEYS, *[c.alias(name) for name, c in {**fixed, **values}.items()])
@@ -56,6 +57,7 @@ def blocking_sessions_mysql(
     current: DataFrame,
     summary: DataFrame,
     excluded: Sequence[str] = SYSTEM,
+    zone: Column | str = "UTC",
 ) -> DataFrame:
     """Blocked and blocking session of each lock wait, all joins inner.
 
@@ -87,6 +89,7 @@ def blocking_sessions_mysql(
             "blocked_query_time_ms": S.ps_to_ms(F.col("w_timer_wait")),
             "blocking_query_time_ms": S.ps_to_ms(F.col("b_timer_wait")),
         },
+        zone,
     )
 
 
@@ -102,6 +105,7 @@ def blocking_sessions_mariadb(
     trx: DataFrame,
     current: DataFrame,
     excluded: Sequence[str] = SYSTEM,
+    zone: Column | str = "UTC",
 ) -> DataFrame:
     """The same report from transaction ids; raw texts are anonymised."""
     waiting = _participants(trx_lock_waits, ("requesting_trx_id", "blocking_trx_id"), "trx_id")
@@ -129,14 +133,17 @@ def blocking_sessions_mariadb(
             "blocked_query_time_ms": S.us_to_ms(waited_us),
             "blocking_query_time_ms": S.ps_to_ms(F.coalesce(F.col("b_timer_wait"), F.lit(0).cast("long"))),
         },
+        zone,
     )
 
 
-def topk_blocking(sessions: DataFrame, k: int = settings.DEFAULT_TOP_K) -> DataFrame:
-    """Longest-blocked first: oldest start (whole seconds), then ids."""
+def topk_blocking(
+    sessions: DataFrame, k: int = settings.DEFAULT_TOP_K, ceiling: int | None = settings.MAX_TOP_K
+) -> DataFrame:
+    """Longest-blocked first: oldest start in UTC (whole seconds), then ids."""
     order = ["blocked_txn_start_time", "blocked_txn_id", "blocking_txn_id", "blocked_query_id", "blocking_query_id"]
     order += ["blocked_query", "blocking_query"]
-    return top_k(sessions, KEYS, [F.asc(c) for c in order], settings.top_k(k))
+    return top_k(sessions, KEYS, [F.asc(c) for c in order], settings.top_k(k, ceiling))
 
 
 def blocking_sessions(
@@ -149,11 +156,16 @@ def blocking_sessions(
     summary: DataFrame,
     excluded: Sequence[str] = SYSTEM,
     k: int = settings.DEFAULT_TOP_K,
+    zone: Column | str = "UTC",
+    ceiling: int | None = settings.MAX_TOP_K,
 ) -> DataFrame:
-    """Top blocked sessions of every instance, by the form its flavor has."""
+    """Top blocked sessions of every instance, by the form its flavor has.
+
+    ``zone`` is the zone of the servers' clocks, or a column over ``instance``.
+    """
     of = lambda df, flavor: df.join(
         nodes.filter(F.col("flavor") == flavor).select(*KEYS), list(KEYS), "left_semi"
     )
-    mysql = blocking_sessions_mysql(of(lock_waits, "mysql"), threads, trx, current, summary, excluded)
-    mariadb = blocking_sessions_mariadb(of(trx_lock_waits, "mariadb"), threads, trx, current, excluded)
-    return topk_blocking(mysql.unionByName(mariadb), k)
+    mysql = blocking_sessions_mysql(of(lock_waits, "mysql"), threads, trx, current, summary, excluded, zone)
+    mariadb = blocking_sessions_mariadb(of(trx_lock_waits, "mariadb"), threads, trx, current, excluded, zone)
+    return topk_blocking(mysql.unionByName(mariadb), k, ceiling)

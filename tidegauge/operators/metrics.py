@@ -40,7 +40,8 @@ def _paired(rows: DataFrame, series: Sequence[str], time: str, value: str, max_g
     those few are repeated there, and dropped again.
     """
     width, gap = max(12 * max_gap, 3600) * 1_000_000, max_gap * 1_000_000
-    at = F.unix_micros(F.col(time).cast("timestamp"))
+    # A difference of wall clocks, which never asks the session zone.
+    at = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', `{time}`)")
     bucket = F.floor(F.col("_at") / F.lit(width))
     near_end = F.col("_at") >= (F.col("_bucket") + 1) * F.lit(width) - F.lit(gap)
     copies = F.when(near_end, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))

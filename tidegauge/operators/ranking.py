@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -28,8 +30,8 @@ def numbered(df: DataFrame, group: Sequence[str], order: Sequence[Column], bucke
     """0-based position of each row in its group, without one task per group.
 
     ``bucket`` must not decrease along ``order``. Rows are numbered inside
-    (group, bucket); only the bucket counts are summed per group. Group columns
-    must not be null.
+    (group, bucket); only the bucket counts are summed per group. Null is a group
+    of its own.
     """
     rows = df.withColumn("_bucket", bucket)
     cells = [*group, "_bucket"]
@@ -38,4 +40,7 @@ def numbered(df: DataFrame, group: Sequence[str], order: Sequence[Column], bucke
     offsets = counts.select(*cells, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     inside = F.row_number().over(W.partitionBy(*cells).orderBy(*order))
     position = (F.col("_offset") + inside - 1).cast("long")
-    return rows.join(offsets, cells).withColumn(name, position).drop("_bucket", "_offset")
+    other = offsets.select(*[F.col(c).alias(f"_{c}_of") for c in cells], "_offset")
+    same = [rows[c].eqNullSafe(other[f"_{c}_of"]) for c in cells]
+    joined = rows.join(other, reduce(and_, same)).drop(*[f"_{c}_of" for c in cells])
+    return joined.withColumn(name, position).drop("_bucket", "_offset")

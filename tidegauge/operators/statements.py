@@ -71,10 +71,10 @@ def slow_queries(
     )
 
 
-def topk_slow(slow: DataFrame, k: int = settings.DEFAULT_TOP_K) -> DataFrame:
+def topk_slow(slow: DataFrame, k: int = settings.DEFAULT_TOP_K, ceiling: int | None = settings.MAX_TOP_K) -> DataFrame:
     """Slowest digests per instance and collection, with their rank."""
     order = [F.desc_nulls_last("avg_elapsed_time_ms"), F.asc("query_id"), F.asc("database_name"), F.asc("query_text")]
-    return top_k(slow, KEYS, order, settings.top_k(k), rank="slow_rank").filter(F.col("query_id").isNotNull())
+    return top_k(slow, KEYS, order, settings.top_k(k, ceiling), rank="slow_rank").filter(F.col("query_id").isNotNull())
 
 
 def _slow_digests(slow: DataFrame) -> DataFrame:
@@ -92,10 +92,12 @@ def union_executions(current: DataFrame, history: DataFrame) -> DataFrame:
     return current.withColumn("source", F.lit(0)).unionByName(history.withColumn("source", F.lit(1)))
 
 
-def topk_per_digest(executions: DataFrame, k: int = settings.DEFAULT_TOP_K) -> DataFrame:
+def topk_per_digest(
+    executions: DataFrame, k: int = settings.DEFAULT_TOP_K, ceiling: int | None = settings.MAX_EXECUTIONS_PER_DIGEST
+) -> DataFrame:
     """Slowest executions of each digest, per source table."""
     order = [F.desc_nulls_last("timer_wait"), F.asc("event_id"), F.asc("thread_id")]
-    return top_k(executions, [*KEYS, "source", "digest"], order, settings.per_digest_k(k))
+    return top_k(executions, [*KEYS, "source", "digest"], order, settings.per_digest_k(k, ceiling))
 
 
 def dedup_executions(executions: DataFrame) -> DataFrame:
@@ -114,13 +116,15 @@ def individual_queries(
     slow: DataFrame,
     min_ms: int = settings.DEFAULT_MIN_EXECUTION_MS,
     k: int = settings.DEFAULT_TOP_K,
+    ceiling: int | None = settings.MAX_EXECUTIONS_PER_DIGEST,
 ) -> DataFrame:
     """Executions of the slow digests, deduplicated, with their sample text.
 
-    The top-k of a digest does not depend on which digests are slow, so it runs
-    first: it cuts each digest to a few rows before anything is joined.
+    The slow digests are at most k for each instance and collection, so they
+    filter the executions first, and only what is left is ranked.
     """
-    best = topk_per_digest(filters.min_exec_time(union_executions(current, history), min_ms), k)
+    wanted = slow_semi_join(filters.min_exec_time(union_executions(current, history), min_ms), slow)
+    best = topk_per_digest(wanted, k, ceiling)
     ranked = best.filter(F.col("digest").isNotNull()).join(_slow_digests(slow), [*KEYS, "digest"])
     return dedup_executions(ranked).select(
         *KEYS,

@@ -84,6 +84,6 @@ def wait_events(waits: DataFrame, statements: DataFrame) -> DataFrame:
     )
 
 
-def topk_waits(events: DataFrame, k: int = settings.DEFAULT_TOP_K) -> DataFrame:
+def topk_waits(events: DataFrame, k: int = settings.DEFAULT_TOP_K, ceiling: int | None = settings.MAX_TOP_K) -> DataFrame:
     order = [F.desc("total_wait_time_ms"), *map(F.asc, ("query_id", "database_name", "wait_event_name", "query_text"))]
-    return top_k(events, KEYS, order, settings.top_k(k))
+    return top_k(events, KEYS, order, settings.top_k(k, ceiling))

@@ -1,8 +1,9 @@
 """Execution-plan documents flattened to steps.
 
 A document is walked inside its own row with higher-order functions, level by
-level, so the whole operator is one map-only stage: no shuffle, no driver loop
-and no limit on depth. The walk only finds the nodes to report; their fields
+level, so the whole operator is one map-only stage: no shuffle and no driver
+loop. A text that is not one JSON object, or is nested deeper than the parser's
+limit of 1000 levels, gives no steps; ``plan_rejects`` lists such documents. The walk only finds the nodes to report; their fields
 are formatted after they are unnested, as ordinary generated code.
 """
 
@@ -143,8 +144,8 @@ def plan_steps(documents: DataFrame) -> DataFrame:
     """Steps of every plan document; ``step_id`` counts them from 0.
 
     ``documents`` has ``event_id, thread_id, flavor, plan_json`` and any other
-    identifying columns, which are kept. A document that is not a JSON object
-    gives no steps.
+    identifying columns, which are kept. A document that cannot be read whole,
+    for any flavor also one with text after it, gives no steps.
     """
     mariadb = F.coalesce(F.col("flavor") == "mariadb", F.lit(False))
     kept = [c for c in documents.columns if c not in ("flavor", "plan_json")]
@@ -175,3 +176,9 @@ def plan_steps(documents: DataFrame) -> DataFrame:
         "key_length": _text(get("key_length")),
     }
     return opened.select(*kept, "step_id", *[c.alias(name) for name, c in columns.items()])
+
+
+def plan_rejects(documents: DataFrame) -> DataFrame:
+    """The documents that ``plan_steps`` cannot read: a text, but not one JSON object within the parser's limits."""
+    read = J.fields(J.mark_strings(F.col("plan_json")))
+    return documents.filter(F.col("plan_json").isNotNull() & read.isNull())

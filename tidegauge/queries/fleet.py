@@ -367,7 +367,10 @@ def _contract_sql() -> str:
             continue
         given = field in relation_columns[event].split() or field in ("event_type", "port", "hostname")
         value = field if field in relation_columns[event].split() else ("'x'" if given else "NULL")
-        missing = f"count(*) FILTER ({value} IS NULL)" if required else "0::bigint"
+        lacks = f"{value} IS NULL"
+        if field == "avg_cpu_time_ms":
+            lacks += " AND instance NOT IN (SELECT instance FROM v_nodes WHERE flavor = 'mariadb')"
+        missing = f"count(*) FILTER ({lacks})" if required else "0::bigint"
         empty = f"count(*) FILTER ({value}::varchar = '')" if non_empty else "0::bigint"
         parts.append(
             f"SELECT '{event}' AS event_type, '{field}' AS field, '{kind}' AS kind, {str(required).lower()} AS required, "
@@ -378,4 +381,5 @@ def _contract_sql() -> str:
 
 @query("sample_contract", _contract_sql(), _BLOCKING)
 def contract(t):
-    return sample_contract(payloads(t))
+    flavors = F.broadcast(t.v_nodes.select("instance", "flavor"))  # one row for each server
+    return sample_contract(payloads(t).join(flavors, "instance", "left"))

@@ -81,50 +81,54 @@ def _one(name: str, key: str, cast=as_int) -> str:
     return f"max(CASE WHEN name = '{key}' THEN {cast('raw')} END) AS {name}"
 
 
-def logical_backups() -> str:
-    return """SELECT instance, collected_at, count(DISTINCT trx_id) AS n FROM v_trx WHERE trx_state = 'RUNNING'
-      AND trx_rows_modified = 0 AND date_sub('second', trx_started, collected_at) >= 30 GROUP BY instance, collected_at"""
-
-
-_DURATIONS = ", ".join(
-    f"coalesce(sum(CASE WHEN sql_text LIKE '{p}' THEN 1 ELSE 0 END), 0)::bigint AS {k}_count, "
-    f"coalesce(sum(CASE WHEN sql_text LIKE '{p}' THEN timer_wait END)::double / count(CASE WHEN sql_text LIKE '{p}' THEN timer_wait END) / 1e12, 0) "
-    f"AS {k}_avg_duration, coalesce(max(CASE WHEN sql_text LIKE '{p}' THEN timer_wait END)::double / 1e12, 0) AS {k}_max_duration"
-    for k, p in (
-        ("logical_backup", "%START TRANSACTION WITH CONSISTENT SNAPSHOT%"),
-        ("physical_backup", "%FLUSH TABLES%WITH READ LOCK%"),
-        ("table_lock", "LOCK TABLES %"),
-    )
+# Statements that take a backup, by kind.
+_BACKUP_SHAPES = (
+    ("logical_backup", "%START TRANSACTION WITH CONSISTENT SNAPSHOT%"),
+    ("physical_backup", "%FLUSH TABLES%WITH READ LOCK%"),
+    ("table_lock", "LOCK TABLES %"),
+)
+_SHAPE_ROWS = ", ".join(f"('{kind}', '{shape}')" for kind, shape in _BACKUP_SHAPES)
+_HISTORY = ", ".join(
+    f"coalesce(max(n) FILTER (kind = '{kind}'), 0)::bigint AS {kind}_count, coalesce(max(mean) FILTER (kind = '{kind}'), 0) AS {kind}_avg_duration, "
+    f"coalesce(max(longest) FILTER (kind = '{kind}'), 0) AS {kind}_max_duration"
+    for kind, _ in _BACKUP_SHAPES
 )
 
 BACKUP_CTES = {
-    "o_backup_main": f"""
-SELECT n.instance, n.collected_at, (coalesce(b.physical, 0) + coalesce(b.tables, 0) + coalesce(l.n, 0))::bigint AS total_backup_active,
-  coalesce(l.n, 0)::bigint AS logical_backup_active, coalesce(b.physical, 0)::bigint AS physical_backup_active,
-  coalesce(b.tables, 0)::bigint AS table_lock_active
-FROM v_nodes n LEFT JOIN (
-  SELECT instance, count(DISTINCT CASE WHEN object_type = 'BACKUP' AND lock_type LIKE 'BACKUP_FTWRL%' AND lock_status = 'GRANTED'
-      THEN owner_thread_id END) AS physical,
-    count(DISTINCT CASE WHEN object_type = 'TABLE' AND lock_type IN ('SHARED_READ', 'SHARED_NO_READ_WRITE', 'EXCLUSIVE')
-      AND lock_status = 'GRANTED' AND lock_duration IN ('EXPLICIT', 'TRANSACTION')
-      AND object_schema NOT IN ('performance_schema', 'information_schema', 'sys') THEN owner_thread_id END) AS tables
-  FROM v_metadata_locks WHERE owner_thread_id IS NOT NULL GROUP BY instance) b ON b.instance = n.instance
-LEFT JOIN ({logical_backups()}) l ON l.instance = n.instance""",
-    "o_backup_fallback": f"""
-SELECT n.instance, n.collected_at, (coalesce(p.n, 0) + coalesce(l.n, 0))::bigint AS total_backup_active,
-  coalesce(l.n, 0)::bigint AS logical_backup_active, 0::bigint AS physical_backup_active, coalesce(p.n, 0)::bigint AS table_lock_active
-FROM v_nodes n LEFT JOIN (
-  SELECT instance, count(DISTINCT CASE WHEN info LIKE 'LOCK TABLES %' THEN id END) AS n FROM v_processlist GROUP BY instance) p
-  ON p.instance = n.instance
-LEFT JOIN ({logical_backups()}) l ON l.instance = n.instance""",
+    # Who holds a backup, once for each kind; counted afterwards.
+    "o_backup_members": """
+SELECT instance, 'ftwrl' AS kind, owner_thread_id::varchar AS member FROM v_metadata_locks
+WHERE lock_status = 'GRANTED' AND object_type = 'BACKUP' AND starts_with(lock_type, 'BACKUP_FTWRL') AND owner_thread_id IS NOT NULL
+UNION
+SELECT instance, 'tables', owner_thread_id::varchar FROM v_metadata_locks
+WHERE lock_status = 'GRANTED' AND object_type = 'TABLE' AND lock_duration IN ('EXPLICIT', 'TRANSACTION') AND owner_thread_id IS NOT NULL
+  AND lock_type IN ('SHARED_READ', 'SHARED_NO_READ_WRITE', 'EXCLUSIVE') AND object_schema NOT IN ('performance_schema', 'information_schema', 'sys')
+UNION
+SELECT instance, 'snapshot', trx_id::varchar FROM v_trx
+WHERE trx_state = 'RUNNING' AND trx_rows_modified = 0 AND date_sub('second', trx_started, collected_at) >= 30
+UNION
+SELECT instance, 'statement', id::varchar FROM v_processlist WHERE starts_with(info, 'LOCK TABLES ')""",
+    "o_backup_counts": """
+SELECT n.instance, n.collected_at, coalesce(n.has_metadata_locks, false) AS by_locks, count(member) FILTER (kind = 'ftwrl') AS ftwrl,
+  count(member) FILTER (kind = 'tables') AS tables, count(member) FILTER (kind = 'snapshot') AS snapshots,
+  count(member) FILTER (kind = 'statement') AS statements
+FROM v_nodes n LEFT JOIN o_backup_members USING (instance) GROUP BY ALL""",
+    "o_backup_main": """
+SELECT instance, collected_at, ftwrl + tables + snapshots AS total_backup_active, snapshots AS logical_backup_active,
+  ftwrl AS physical_backup_active, tables AS table_lock_active FROM o_backup_counts""",
+    "o_backup_fallback": """
+SELECT instance, collected_at, statements + snapshots AS total_backup_active, snapshots AS logical_backup_active,
+  0::bigint AS physical_backup_active, statements AS table_lock_active FROM o_backup_counts""",
     "o_backup_auto": """
-SELECT m.* FROM o_backup_main m JOIN v_nodes n ON n.instance = m.instance AND coalesce(n.has_metadata_locks, false)
+SELECT * FROM o_backup_main WHERE instance IN (SELECT instance FROM o_backup_counts WHERE by_locks)
 UNION ALL
-SELECT f.* FROM o_backup_fallback f JOIN v_nodes n ON n.instance = f.instance AND NOT coalesce(n.has_metadata_locks, false)""",
+SELECT * FROM o_backup_fallback WHERE instance IN (SELECT instance FROM o_backup_counts WHERE NOT by_locks)""",
     "o_backup_history": f"""
 SELECT *, logical_backup_count + physical_backup_count + table_lock_count AS total_backup_history FROM (
-  SELECT n.instance, n.collected_at, {_DURATIONS}
-  FROM v_nodes n LEFT JOIN v_st_history h ON h.instance = n.instance GROUP BY n.instance, n.collected_at)""",
+  SELECT n.instance, n.collected_at, {_HISTORY} FROM v_nodes n LEFT JOIN (
+    SELECT instance, kind, count(*) AS n, sum(timer_wait)::double / count(timer_wait) / 1e12 AS mean, max(timer_wait)::double / 1e12 AS longest
+    FROM v_st_history JOIN (VALUES {_SHAPE_ROWS}) AS k(kind, shape) ON sql_text LIKE shape GROUP BY ALL) h ON h.instance = n.instance
+  GROUP BY ALL)""",
 }
 
 METRICS_CTES = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.plans.steps import plan_steps
+from tidegauge.plans.steps import plan_rejects, plan_steps
 from tidegauge.queries.registry import Sample, query
 
 # One JSON table object per merged order line. Odd orders are MariaDB.
@@ -95,3 +95,9 @@ def plan_duplicate_keys(t):
     """Only MariaDB documents repeat keys."""
     repeated = documents(t).filter("flavor = 'mariadb'")
     return plan_steps(repeated).select("event_id", "thread_id", "step_id", "table_name")
+
+
+@query("plan_rejects", "SELECT DISTINCT l_orderkey AS event_id, 'mysql' AS flavor FROM v_lines WHERE l_orderkey % 50 = 0")
+def rejects(t):
+    """Every fiftieth order's document is not closed."""
+    return plan_rejects(documents(t)).select("event_id", "flavor")

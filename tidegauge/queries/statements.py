@@ -219,14 +219,18 @@ def topk_waits(t):
     return W.topk_waits(wait_events(t))
 
 
+# The servers' clocks: three zones over the instances.
+ZONE = "CASE instance WHEN 'db1:3306' THEN '+02:00' WHEN 'db2:3306' THEN '-05:30' ELSE 'UTC' END"
+
+
 @query("blocking_sessions_mysql", "SELECT * FROM o_blocking_mysql", STATEMENTS)
 def blocking_sessions_mysql(t):
-    return B.blocking_sessions_mysql(t.v_lock_waits, t.v_threads, t.v_trx, t.v_st_current, summary(t))
+    return B.blocking_sessions_mysql(t.v_lock_waits, t.v_threads, t.v_trx, t.v_st_current, summary(t), zone=F.expr(ZONE))
 
 
 @query("blocking_sessions_mariadb", "SELECT * FROM o_blocking_mariadb", STATEMENTS)
 def blocking_sessions_mariadb(t):
-    return B.blocking_sessions_mariadb(t.v_trx_lock_waits, t.v_threads, t.v_trx, t.v_st_current)
+    return B.blocking_sessions_mariadb(t.v_trx_lock_waits, t.v_threads, t.v_trx, t.v_st_current, zone=F.expr(ZONE))
 
 
 @query("topk_blocking", first_k("o_blocking_mysql", BLOCKING_ORDER, 20), STATEMENTS)
@@ -246,5 +250,5 @@ BLOCKING_SQL = first_k(
 @query("blocking_sessions", BLOCKING_SQL, STATEMENTS)
 def blocking_sessions(t):
     return B.blocking_sessions(
-        t.v_nodes, t.v_lock_waits, t.v_trx_lock_waits, t.v_threads, t.v_trx, t.v_st_current, summary(t)
+        t.v_nodes, t.v_lock_waits, t.v_trx_lock_waits, t.v_threads, t.v_trx, t.v_st_current, summary(t), zone=F.expr(ZONE)
     )

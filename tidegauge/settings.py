@@ -43,24 +43,28 @@ def min_execution_ms(value: int) -> int:
     return DEFAULT_MIN_EXECUTION_MS if value < 0 else value
 
 
-def top_k(value: int) -> int:
-    return DEFAULT_TOP_K if value < 0 else min(value, MAX_TOP_K)
+def top_k(value: int, ceiling: int | None = MAX_TOP_K) -> int:
+    """Negative means default; a caller raises the ceiling or lifts it with None."""
+    wanted = DEFAULT_TOP_K if value < 0 else value
+    return wanted if ceiling is None else min(wanted, ceiling)
 
 
-def per_digest_k(value: int) -> int:
-    return min(MAX_EXECUTIONS_PER_DIGEST, top_k(value))
+def per_digest_k(value: int, ceiling: int | None = MAX_EXECUTIONS_PER_DIGEST) -> int:
+    wanted = top_k(value, None if ceiling is None else max(ceiling, MAX_TOP_K))
+    return wanted if ceiling is None else min(wanted, ceiling)
 
 
 def excluded_databases(json_list: str = "[]") -> list[str]:
     """System databases plus the trimmed, non-empty names of a JSON array.
 
-    Anything that is not a JSON array of strings leaves the defaults.
+    Of an array the strings count, whatever else it holds; anything but a JSON
+    array leaves the defaults.
     """
     try:
         names = json.loads(json_list)
     except ValueError:
         names = []
-    if not isinstance(names, list) or not all(isinstance(n, str) for n in names):
+    if not isinstance(names, list):
         names = []
-    extra = [n.strip() for n in names if n.strip()]
+    extra = [n.strip() for n in names if isinstance(n, str) and n.strip()]
     return list(dict.fromkeys([*SYSTEM_DATABASES, *extra]))

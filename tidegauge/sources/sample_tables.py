@@ -33,18 +33,18 @@ STATUS_NAMES = (
 # Version strings landed for the customer-derived servers.
 SERVER_VERSIONS = (
     "8.0.40-0ubuntu0.22.04.1",
-    "8.4.3-standard",
-    "9.1.0",
-    "5.7.35",
-    "5",
-    "invalid",
+    "8.4.6-commercial",
+    "9.4.0",
+    "5.7.44",
+    "6",
+    "unknown",
     "",
     "10.2-MariaDB",
-    "10.1.48-MariaDB",
-    "10.6.12-MariaDB",
-    "11.3.2-MariaDB-log",
-    "07.5",
-    "10.invalid_minor_version.1",
+    "10.1.9-MariaDB",
+    "10.11.5-MariaDB",
+    "11.8.1-MariaDB-log",
+    "07.9",
+    "10.x7.1",
 )
 
 # One version per instance of the status and variables relations.
@@ -225,9 +225,9 @@ SELECT concat('db', cast(o_custkey % 8 AS string), ':3306') AS instance,
     WHEN 3 THEN {_pick("o_custkey % 8", NODE_VERSIONS)} WHEN 4 THEN 'ON'
     ELSE {_pick(f"(o_custkey + o_orderkey) % {len(ODD_VALUES)}", ODD_VALUES)} END AS raw
 FROM orders""",
-    # Replica status: wide, all text; three of the eight instances are primaries.
+    # Replica status: wide, all text; instances db0 to db2 of the status relations are no replicas.
     "v_replica": """
-SELECT concat('db', cast(c_custkey % 8 AS string), ':3306') AS instance,
+SELECT concat('db', cast(3 + c_custkey % 5 AS string), ':3306') AS instance,
   cast('2024-01-02 00:00:00' AS NTZ) + cast(c_custkey % 30 AS int) * INTERVAL '1' DAY AS collected_at,
   c_custkey AS ordinal,
   CASE WHEN c_custkey % 6 = 0 THEN 'No' ELSE 'Yes' END AS Slave_IO_Running,
@@ -241,7 +241,7 @@ SELECT concat('db', cast(c_custkey % 8 AS string), ':3306') AS instance,
   cast(c_custkey * 1000 AS string) AS Relay_Log_Space,
   concat('10.0.0.', cast(c_nationkey AS string)) AS Master_Host,
   concat('10.0.0.', cast(c_nationkey AS string)) AS Source_Host
-FROM customer WHERE c_custkey % 8 > 2""",
+FROM customer""",
     # Collections of the eight instances, their version and the outcome of the replica scan.
     "v_collections": f"""
 SELECT instance, collected_at, max(version) AS version, max(replica_scan) AS replica_scan FROM (

@@ -40,6 +40,7 @@ def stream_slow_queries(
     seconds: int = settings.DEFAULT_LOOKBACK_SECONDS,
     delay: str = "1 minute",
     k: int = settings.DEFAULT_TOP_K,
+    ceiling: int | None = settings.MAX_TOP_K,
 ) -> DataStreamWriter:
     """Slowest digests of each window, once it is closed.
 
@@ -48,7 +49,7 @@ def stream_slow_queries(
     """
 
     def rank(batch: DataFrame, batch_id: int) -> None:
-        sink(ST.topk_slow(ST.slow_queries(batch, seconds), k), batch_id)
+        sink(ST.topk_slow(ST.slow_queries(batch, seconds), k, ceiling), batch_id)
 
     windows = digest_windows(executions, seconds, delay)
     return windows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(rank)
