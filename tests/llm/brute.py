@@ -49,3 +49,34 @@ def near_duplicates(docs, n, threshold=80):
         if 100 * k >= threshold * (len(sets[a]) + len(sets[b]) - k):
             found.link(a, b)
     return {i: (len(s), found.root(i)) for i, s in sets.items()}
+
+
+# Base patterns of personal data, as the contract gives them.
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+    return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+
+
+def personal_data(text):
+    """(start, rank, stop, kind) of the base kinds."""
+    out = []
+    for rank, (kind, pattern) in enumerate(PATTERNS.items()):
+        for m in re.finditer(pattern, text or "", re.A):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": lambda: True,
+                "ip": lambda: all(int(x) <= 255 for x in m[0].split(".")),
+                "card": lambda: 14 <= len(digits) <= 19 and luhn(digits),
+                "phone": lambda: 10 <= len(digits) <= 15,
+            }[kind]()
+            if good:
+                out.append((m.start(), rank, m.end(), kind))
+    return sorted(out)
