@@ -5,15 +5,17 @@ never meet each other. Of classes only the smallest doc_id goes on:
 
 1. A signature holds the minima of `bands * rows` universal hashes; each band of
    `rows` minima is a bucket. At a similarity of 0.8 two documents share none of
-   32 buckets of 5 with a probability of 3e-6.
+   38 buckets of 6 with a probability of 1e-5.
 2. Each member of a bucket is compared with the bucket's smallest doc_id; of a
    document's candidates the one with the best signature goes first. Candidates
    whose signatures are too unlike, by five standard deviations below the
    threshold, are left out; the others are confirmed on full shingle sets.
-3. Links make components. Buckets that still hold several components are
-   compared across them, in blocks of members, first the best partner of each
-   document and component until that links nothing more, then every pair left,
-   so no link within a bucket is lost and none within a component is needed.
+3. Links make components. Members of a bucket that belong to several components
+   are then compared across them, on full sets and within tasks of bounded size:
+   two sets that are 0.8 alike differ in size by a quarter at most, so a bucket
+   is dealt out by classes of size, and a large class in blocks. A task reports
+   only confirmed links that join two of its components, so no link between
+   components is lost and no pairs within one are listed.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from .common import checkpointed, slices, texts_of
 from .components import components
 from .hashed_words import runs, word_hashes
 
-BLOCK = 1_000
+BLOCK = 1_000  # members of a bucket's size class that a task takes from each of two blocks
 #: Ids beyond this many are joined by a shuffle; fewer (16 MB) are broadcast.
 BROADCAST_IDS = 1_000_000
 
@@ -69,14 +71,20 @@ def signatures(hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     full = np.flatnonzero(np.diff(at) > 0)
     if len(full):
         values, starts = hashes >> np.uint64(32), at[:-1][full]
+        product = np.empty_like(values)
+        high = product.view(np.uint32)[1::2]  # the upper halves, on little-endian machines
+        minima = np.empty((n, len(full)), np.uint32)
         for i, (a, b) in enumerate(zip(*_hash_family(n), strict=True)):
-            out[full, i] = np.minimum.reduceat(((values * a + b) >> np.uint64(32)).astype(np.uint32), starts)
+            np.multiply(values, a, out=product)
+            np.add(product, b, out=product)
+            minima[i] = np.minimum.reduceat(high, starts)
+        out[full] = minima.T
     return out
 
 
 def _sketches(docs: DataFrame, shingle: int, n: int) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 1 << 20):
             hashes, at = shingle_sets(texts_of(batch), shingle)
             found = signatures(hashes, at, n)
             ids = [xxhash.xxh3_128_digest(hashes[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
@@ -118,44 +126,69 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, threshold: int) -
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(confirm, "a long, b long")
 
 
-def _compare(least: int, best_only: bool):
-    """Pairs of different components in two blocks of a bucket whose signatures are alike enough."""
+def _joining(least: int, threshold: int):
+    """Confirmed links (a, b) that join components among two blocks of a bucket's size class."""
     def compare(members: pd.DataFrame) -> pd.DataFrame:
-        left, right = (members[members["_side"] == side] for side in (0, 1))
+        members = members.sort_values(["n", "doc_id"])
+        ids, n, own, side = (members[c].to_numpy() for c in ("doc_id", "n", "own", "_side"))
+        label = members["root"].to_numpy().copy()
+        signature = np.stack(members["signature"].to_numpy())
+        sets = [np.frombuffer(x, np.uint64) for x in members["hashes"]]
         within = members["_i"].iloc[0] == members["_j"].iloc[0]
-        if within:
-            right = left
-        sides = [(np.stack(m["signature"].to_numpy()), m["doc_id"].to_numpy(), m["root"].to_numpy()) for m in (left, right) if len(m)]
-        found = []
-        if len(sides) == 2:
-            (a, ids, roots), (b, others, theirs) = sides
-            for row in range(len(a)):
-                alike = (b == a[row]).sum(1)
-                hits = np.flatnonzero((alike >= least) & (theirs != roots[row]))
-                if best_only and len(hits):
-                    hits = hits[np.lexsort((others[hits], -alike[hits]))]
-                    hits = hits[np.unique(theirs[hits], return_index=True)[1]]
-                found += [(min(ids[row], x), max(ids[row], x)) for x in others[hits]]
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"]).astype("int64")
+        low = np.searchsorted(n, -(-threshold * n // 100))
+        found: list[tuple[int, int]] = []
+        for x in range(1, len(ids)):
+            w = slice(low[x], x)
+            near = np.flatnonzero((label[w] != label[x]) & (own[w] | own[x]) & (within | (side[w] != side[x]))) + low[x]
+            if not len(near):
+                continue
+            alike = (signature[near] == signature[x]).sum(1)
+            for h in near[np.argsort(-alike, kind="stable")[: int((alike >= least).sum())]]:
+                if label[h] == label[x]:
+                    continue
+                at = np.minimum(np.searchsorted(sets[x], sets[h]), n[x] - 1)
+                both = int((sets[x][at] == sets[h]).sum())
+                if 100 * both >= threshold * (n[x] + n[h] - both):
+                    found.append((min(ids[x], ids[h]), max(ids[x], ids[h])))
+                    label[label == label[h]] = label[x]
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     return compare
 
 
-def _across(members: DataFrame, sketches: DataFrame, roots: DataFrame, least: int, best_only: bool) -> DataFrame:
-    """Candidate pairs (a, b) within a bucket (key, doc_id) and across components (node, root)."""
+def _sets(texts: DataFrame, shingle: int) -> DataFrame:
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 4 << 20):
+            hashes, at = shingle_sets(texts_of(batch), shingle)
+            sets = pa.array([hashes[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(at)), sets], names=["doc_id", "n", "hashes"])
+
+    return texts.mapInArrow(build, "doc_id long, n long, hashes binary")
+
+
+def _across(members: DataFrame, sketches: DataFrame, texts: DataFrame, roots: DataFrame, shingle: int, least: int, threshold: int) -> DataFrame:
+    """Confirmed links (a, b) within a bucket (key, doc_id) that join its components (node, root)."""
     labelled = members.join(roots, members["doc_id"] == roots["node"], "left").select("key", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-    mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).filter("low <> high")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = labelled.join(mixed, "key").withColumn("_n", blocks).withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_n")).cast("int"))
-    dealt = dealt.join(sketches.select("doc_id", "signature"), "doc_id")
-    # A member is in the block pairs (i, j), i <= j, that its own block is part of.
-    other = F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_other")
-    placed = dealt.select("key", "doc_id", "root", "signature", "_block", other)
+    mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
+    across = checkpointed(labelled.join(mixed, "key", "left_semi"))
+    ids = checkpointed(across.select("doc_id").distinct())
+    sets = _sets(_with_ids(texts, ids), shingle).join(sketches, "doc_id")
+    # A pair's classes of size are equal or next to each other; a member is also sent to the class above its own.
+    grade = F.floor(F.log("n") / -np.log(threshold / 100)).cast("int")
+    graded = across.join(sets.withColumn("grade", grade).select("doc_id", "n", "grade"), "doc_id")
+    sent = graded.select("key", "doc_id", "root", F.posexplode(F.array("grade", F.col("grade") + 1)).alias("above", "grade"))
+    sent = sent.withColumn("own", F.col("above") == 0).drop("above")
+    sizes = sent.groupBy("key", "grade").agg(F.count("*").alias("size"), F.max("own").alias("any"), F.min("root").alias("low"), F.max("root").alias("high"))
+    sizes = sizes.filter("any AND low <> high").select("key", "grade", F.ceil(F.col("size") / BLOCK).cast("int").alias("_n"))
+    dealt = sent.join(sizes, ["key", "grade"]).withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_n")).cast("int"))
+    # It is in the block pairs (i, j), i <= j, that its own block is part of.
+    placed = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     placed = placed.withColumn("_i", F.least("_block", "_other")).withColumn("_j", F.greatest("_block", "_other")).withColumn("_side", (F.col("_block") != F.col("_i")).cast("int"))
-    return placed.groupBy("key", "_i", "_j").applyInPandas(_compare(least, best_only), "a long, b long").distinct()
+    held = placed.drop("_block", "_other", "_n").join(sets.select("doc_id", "n", "hashes", "signature"), "doc_id")
+    return held.groupBy("key", "grade", "_i", "_j").applyInPandas(_joining(least, threshold), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80, bands: int = 32, rows: int = 5) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80, bands: int = 38, rows: int = 6) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     Documents are linked if 100 * intersection >= threshold * union of their
@@ -190,20 +223,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80, band
     own = base.join(classes, "set_id").filter("doc_id <> rep").select("doc_id", "rep").distinct()
     twice = own.join(reps, "doc_id", "left_semi").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     links = checkpointed(links.union(twice))
-    best_only, roots = True, components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    while True:
-        found = checkpointed(_across(members.select("key", "doc_id"), sketches, roots, least, best_only).join(tried, ["a", "b"], "left_anti"))
-        more = None
-        if found.limit(1).count():
-            more = checkpointed(confirmed(found, texts, shingle, threshold))
-            tried = checkpointed(tried.union(found))
-            if more.limit(1).count():
-                links = checkpointed(links.union(more))
-                roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-                continue
-        if not best_only:
-            break
-        best_only = False
+    roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    more = checkpointed(_across(members.select("key", "doc_id"), sketches, texts, roots, shingle, least, threshold))
+    if more.limit(1).count():
+        roots = components(links.union(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
 
     of = classes.join(roots, classes["rep"] == roots["node"], "left").select("set_id", F.coalesce("root", "rep").alias("component"))
     out = base.select("doc_id", "n_shingles", "set_id").join(of, "set_id", "left")
