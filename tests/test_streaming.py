@@ -37,6 +37,42 @@ def test_rates_over_several_batches_equal_one_batch(spark, tmp_path):
     assert pick(streamed) == pick(batch)
 
 
+def test_a_fast_clock_and_equal_times_across_batches(spark, tmp_path):
+    """One host two hours ahead changes no other host's rates, and a tie that spans batches is still a predecessor."""
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda s: t0 + dt.timedelta(seconds=s)
+    schema = "instance string, metric string, collected_at timestamp_ntz, event_id long, value long"
+    batches = [
+        [("a", "m", at(0), 1, 100), ("b", "m", at(0), 2, 100), ("ahead", "m", at(7200), 3, 5)],
+        [("a", "m", at(30), 4, 400), ("b", "m", at(0), 5, 130), ("ahead", "m", at(7230), 6, 65)],
+        [("b", "m", at(30), 7, 700), ("a", "m", at(60), 8, 1000), ("a", "m", at(500), 9, 2000)],
+    ]
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    series = ("instance", "metric")
+    jobs.run_available(
+        jobs.stream_prate(stream, batch_folders(out), str(tmp_path / "state"), str(tmp_path / "cp"), series, tie=("event_id",))
+    )
+    whole = spark.createDataFrame([r for b in batches for r in b], schema)
+    batch = metrics.rates(whole, series, "collected_at", "value", tie=("event_id",))
+    pick = lambda df: sorted(map(tuple, df.select("instance", "collected_at", "event_id", "rate").collect()))
+    assert pick(spark.read.parquet(out)) == pick(batch)
+    assert {r["event_id"]: r["rate"] for r in batch.collect()}[4] == 10.0
+
+
+def test_rates_in_a_zone_with_daylight_saving(spark):
+    rows = [("h", "m", dt.datetime(2024, 3, 10, 1, 59) + dt.timedelta(seconds=30 * i), 60 * i) for i in range(6)]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = metrics.rates(spark.createDataFrame(rows, SCHEMA), ("instance", "metric"), "collected_at", "value").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert sorted(r["rate"] for r in got) == [0.0] + [2.0] * 5
+
+
 def test_windows_close_with_the_watermark(spark, tmp_path):
     base = dt.datetime(2024, 1, 1)
     columns = (

@@ -31,6 +31,15 @@ def attribute_metrics(entries: DataFrame) -> DataFrame:
     return entries.filter(F.col("source_type") == "attribute").select(*KEYS, "metric", F.col("raw").alias("text"))
 
 
+def _wall_micros(clock: Column) -> Column:
+    """Microseconds of a wall clock since 1970. An interval between wall clocks
+    is the one form that does not read them in the session zone."""
+    since = clock.cast("timestamp_ntz") - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    part = lambda unit: F.extract(F.lit(unit), since)
+    minutes = (part("DAY").cast("long") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    return minutes * F.lit(60_000_000).cast("long") + (part("SECOND") * 1_000_000).cast("long")
+
+
 def _paired(rows: DataFrame, series: Sequence[str], time: str, value: str, max_gap: int, tie: Sequence[str]) -> DataFrame:
     """Each row with ``_before`` and ``_us``, the previous value of its series
     and the microseconds since; both null without one within ``max_gap``.
@@ -40,8 +49,7 @@ def _paired(rows: DataFrame, series: Sequence[str], time: str, value: str, max_g
     those few are repeated there, and dropped again.
     """
     width, gap = max(12 * max_gap, 3600) * 1_000_000, max_gap * 1_000_000
-    # A difference of wall clocks, which never asks the session zone.
-    at = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', `{time}`)")
+    at = _wall_micros(F.col(time))
     bucket = F.floor(F.col("_at") / F.lit(width))
     near_end = F.col("_at") >= (F.col("_bucket") + 1) * F.lit(width) - F.lit(gap)
     copies = F.when(near_end, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
@@ -83,12 +91,14 @@ def rates(
     return paired.filter(counts).withColumn("rate", rate).drop("_before", "_us")
 
 
-def prate_metrics(entries: DataFrame, max_gap: int = settings.DEFAULT_MAX_RATE_GAP_SECONDS) -> DataFrame:
-    """Per-second rates of the catalogue's counters."""
+def prate_metrics(
+    entries: DataFrame, max_gap: int = settings.DEFAULT_MAX_RATE_GAP_SECONDS, tie: Sequence[str] = ()
+) -> DataFrame:
+    """Per-second rates of the catalogue's counters; ``tie`` orders samples of one time and is kept."""
     counter = numeric_value(F.col("raw"))
-    samples = entries.filter(F.col("source_type") == "prate").select(*KEYS, "metric", counter.alias("_v"))
-    changed = rates(samples.filter(F.col("_v").isNotNull()), ("instance", "metric"), "collected_at", "_v", max_gap)
-    return changed.select(*KEYS, "metric", F.col("rate").alias("value"))
+    samples = entries.filter(F.col("source_type") == "prate").select(*KEYS, "metric", *tie, counter.alias("_v"))
+    changed = rates(samples.filter(F.col("_v").isNotNull()), ("instance", "metric"), "collected_at", "_v", max_gap, tie)
+    return changed.select(*KEYS, "metric", *tie, F.col("rate").alias("value"))
 
 
 # --- derived ------------------------------------------------------------
@@ -170,16 +180,15 @@ DERIVED = {
 
 
 def _metric_values(entries: DataFrame, max_gap: int) -> DataFrame:
-    """``metric, value`` of gauges, rates and inputs of derived metrics, in one
-    pass: only rows of rate metrics take part in pairing results."""
+    """``metric, value`` of gauges, rates and inputs of derived metrics; only
+    the rows of rate metrics go through the pairing."""
     plain = F.when(F.col("source_type") == "input", _derived_input(F.col("name"), F.col("raw")).cast("double"))
     number = plain.otherwise(numeric_value(F.col("raw")))
     rows = entries.select(*KEYS, "metric", "source_type", number.alias("_v")).filter(F.col("_v").isNotNull())
-    paired = _paired(rows, ("instance", "metric"), "collected_at", "_v", max_gap, ())
-    rate, counts = _per_second("_v")
     is_rate = F.col("source_type") == "prate"
-    value = F.when(is_rate, rate).otherwise(F.col("_v"))
-    return paired.filter(~is_rate | counts).select(*KEYS, "metric", value.alias("value"))
+    changed = rates(rows.filter(is_rate), ("instance", "metric"), "collected_at", "_v", max_gap)
+    as_is = rows.filter(~is_rate).select(*KEYS, "metric", F.col("_v").alias("value"))
+    return as_is.unionByName(changed.select(*KEYS, "metric", F.col("rate").alias("value")))
 
 
 def server_sample(

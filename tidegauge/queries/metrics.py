@@ -115,16 +115,20 @@ def attribute_metrics(t):
     return M.attribute_metrics(entries(t))
 
 
-@query(
-    "prate_metrics",
-    """SELECT instance, name, ts, event_id, value, CASE WHEN first THEN 0.0::double ELSE (value - before)::double / (us::double / 1e6) END AS rate
+RATES_SQL = """SELECT instance, name, ts, event_id, value, CASE WHEN first THEN 0.0::double ELSE (value - before)::double / (us::double / 1e6) END AS rate
     FROM (SELECT *, before IS NULL OR us > 21600000000 AS first FROM (
       SELECT *, lag(value) OVER w AS before, date_sub('microsecond', lag(ts) OVER w, ts) AS us FROM v_counters
       WINDOW w AS (PARTITION BY instance, name ORDER BY ts, event_id)))
-    WHERE first OR (us > 0 AND value >= before)""",
-)
+    WHERE first OR (us > 0 AND value >= before)"""
+
+
+@query("prate_metrics", f"SELECT instance, name, ts, event_id, rate FROM ({RATES_SQL})")
 def prate_metrics(t):
-    return M.rates(t.v_counters, ("instance", "name"), "ts", "value", max_gap=21_600, tie=("event_id",))
+    """The catalogue form: raw texts of entries whose source type is a rate."""
+    raw = F.col("value").cast("string").alias("raw")
+    entries = t.v_counters.select("instance", F.col("ts").alias("collected_at"), F.col("name").alias("metric"), F.lit("prate").alias("source_type"), raw, "event_id")
+    found = M.prate_metrics(entries, max_gap=21_600, tie=("event_id",))
+    return found.select("instance", F.col("metric").alias("name"), F.col("collected_at").alias("ts"), "event_id", F.col("value").alias("rate"))
 
 
 def _ratio(key: str, formula, oracle: str) -> None:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidegauge.queries.oracle_text import EXCLUDED, iso, mean_ms, statement_type, truncated
+from tidegauge.queries.metrics import RATES_SQL
 from tidegauge.queries.registry import ORACLES, Sample, query
 from tidegauge.session import shared_dir
-from tidegauge.sources.sample_tables import VIEWS
+from tidegauge.sources.sample_tables import VIEWS, oracle_query
 from tidegauge.streaming import jobs
 
 _EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -77,9 +79,15 @@ def stream_dedup_executions(t):
 
 def stream_prate(t):
     path = shared_dir(t.spark, "stream-prate")
-    # The counters are landed as files first: their running sum needs a batch.
-    t.v_counters.write.parquet(f"{path}-landed")
-    samples = t.spark.readStream.schema(t.v_counters.schema).parquet(f"{path}-landed")
+    # The counters are landed as files first, as their running sum needs a batch: four spans of
+    # time one after another, and a micro-batch for each, so rates cross batches by the state.
+    first, last = t.v_counters.agg(F.min("ts"), F.max("ts")).first()
+    for k in range(4 if first else 0):
+        begin, end = (first + (last - first) * i / 4 for i in (k, k + 1))
+        within = (F.col("ts") >= F.lit(begin)) & ((F.col("ts") < F.lit(end)) | F.lit(k == 3))
+        t.v_counters.filter(within).coalesce(1).write.mode("append").parquet(f"{path}-landed")
+    reader = t.spark.readStream.schema(t.v_counters.schema).option("maxFilesPerTrigger", 1)
+    samples = reader.parquet(f"{path}-landed")
     writer = jobs.stream_prate(
         samples, batch_folders(path), f"{path}-state", f"{path}-checkpoint", ("instance", "name"), "ts", "value", 21_600, ("event_id",)
     )
@@ -88,4 +96,4 @@ def stream_prate(t):
 
 
 query("stream_prate")(stream_prate)
-ORACLES["stream_prate"] = ORACLES["prate_metrics"]
+ORACLES["stream_prate"] = oracle_query(RATES_SQL)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -38,16 +36,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``.
+    """A fresh folder that driver and executors share.
 
-    The cluster names that folder; it is reachable from every executor. Only
-    where the setting is absent (local tests) a temporary folder is used.
+    It is below ``spark.checkpoint.dir``, the folder the cluster names; where
+    that is unset, below the warehouse, which is shared too. Callers that know a
+    better place pass their own folder to the operators instead.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="tidegauge-")
-    return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = root or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -78,35 +78,37 @@ def stream_prate(
 
     State is the last sample of each series, a table in two slots: batch n
     reads slot (n - 1) % 2 and writes slot n % 2, so a batch that is run again
-    finds its input unchanged. A sample not newer than its series' state is
-    out of order and dropped. Series silent for ``max_gap`` leave the state:
-    their next sample is a first one anyway. Everything stays on the executors
-    in generated code, and a hot series is cut by time as in the batch form.
+    finds its input unchanged. A sample not after its series' state, by time and
+    then ``tie``, is out of order and dropped. A series leaves the state when it
+    was silent for ``max_gap`` by the clock of its own first column (the
+    instance): its next sample is a first one anyway, and a host whose clock runs
+    ahead touches no other host. Everything stays on the executors in generated
+    code, and a hot series is cut by time as in the batch form.
     """
     columns = [*series, time, *tie, value]
+    place = lambda prefix="": F.struct(*[F.col(prefix + c).alias(c) for c in (time, *tie)])
 
     def advance(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = batch.filter(F.col(value).isNotNull())
-        newest = new.agg(F.max(time)).first()[0]
+        new = batch.filter(F.col(value).isNotNull()).persist()
         slot = lambda n: f"{state_path}/slot={n % 2}"
         seed = None
         if batch_id > 0:
             seed = spark.read.schema(batch.select(*columns).schema).parquet(slot(batch_id - 1))
-            last = seed.select(*series, F.col(time).alias("_last"))
-            new = new.join(last, list(series), "left").filter(
-                F.col("_last").isNull() | (F.col(time) > F.col("_last"))
-            )
-            new = new.drop("_last")
-        rows = new.withColumn("_seed", F.lit(False))
+            last = seed.select(*series, *[F.col(c).alias(f"_last_{c}") for c in (time, *tie)])
+            fresh = new.join(last, list(series), "left").filter(F.col(f"_last_{time}").isNull() | (place() > place("_last_")))
+            rows = fresh.select(*new.columns)
+        else:
+            rows = new
+        rows = rows.withColumn("_seed", F.lit(False))
         if seed is not None:
             rows = rows.unionByName(seed.withColumn("_seed", F.lit(True)), allowMissingColumns=True)
         sink(M.rates(rows, series, time, value, max_gap, tie).filter(~F.col("_seed")).drop("_seed"), batch_id)
-        kept = rows.select(*columns)
-        if newest is not None:
-            kept = kept.filter(F.col(time) >= F.lit(newest) - F.make_dt_interval(secs=F.lit(max_gap)))
-        best = kept.groupBy(*series).agg(F.max(F.struct(time, *tie, value)).alias("_last"))
-        state = best.select(*series, *[F.col("_last")[c].alias(c) for c in (time, *tie, value)])
-        state.write.mode("overwrite").parquet(slot(batch_id))
+        best = rows.groupBy(*series).agg(F.max(F.struct(time, *tie, value)).alias("_last"))
+        best = best.select(*series, *[F.col("_last")[c].alias(c) for c in (time, *tie, value)])
+        newest = best.groupBy(series[0]).agg(F.max(time).alias("_newest"))  # one row for each instance
+        live = F.col(time) >= F.col("_newest") - F.make_dt_interval(secs=F.lit(max_gap))
+        best.join(newest, series[0]).filter(live).select(*columns).write.mode("overwrite").parquet(slot(batch_id))
+        new.unpersist()
 
     return samples.writeStream.option("checkpointLocation", checkpoint).foreachBatch(advance)
