@@ -228,3 +228,26 @@ def test_contract_sees_missing_wrong_and_empty(spark):
     assert report["rows_sent"] == (1, 1, 0) and report["rows_examined"] == (1, 1, 0)
     assert report["thread_id"] == (1, 0, 0) and report["event_type"] == (0, 1, 0)
     assert report["port"] == (0, 0, 0) and report["query_text"] == (1, 0, 0)
+
+
+def test_numbering_keeps_null_groups(spark):
+    rows = [("a", NOW, "x", 1), ("a", NOW, None, 2), (None, NOW, "x", 3), (None, NOW, None, 4), (None, NOW, None, 5)]
+    df = spark.createDataFrame(rows, "instance string, collected_at timestamp_ntz, event_type string, event_id long")
+    out = samples.publish_batches(df, ("event_id",)).collect()
+    assert sorted(r["event_id"] for r in out) == [1, 2, 3, 4, 5] and {r["batch_id"] for r in out} == {0}
+
+
+def test_contract_counts_broken_samples_by_flavor(spark):
+    slow = "MysqlSlowQueriesSample"
+    rows = [("a", "mysql", '{"query_id":"q","avg_elapsed_time_ms":"1"}'), ("b", "mariadb", '{"query_id":""}')]
+    df = spark.createDataFrame([(slow, *r) for r in rows], "event_type string, instance string, flavor string, payload string")
+    got = {r["field"]: r for r in sample_contract(df).collect()}
+    assert (got["avg_cpu_time_ms"]["samples"], got["avg_cpu_time_ms"]["missing"]) == (2, 1)
+    assert got["avg_elapsed_time_ms"]["wrong_type"] == 1 and got["avg_elapsed_time_ms"]["missing"] == 1
+
+
+def test_limits_are_defaults_that_a_caller_lifts(spark):
+    rows = [("a", NOW, 0, None, i, i, "d", 100 + i) for i in range(60)]
+    executions = spark.createDataFrame(rows, EXECUTION)
+    assert statements.topk_per_digest(executions, 50).count() == 10
+    assert statements.topk_per_digest(executions, 50, ceiling=None).count() == 50

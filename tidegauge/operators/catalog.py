@@ -54,6 +54,7 @@ software.version version attribute
 cluster.nodeType node_type attribute
 """
 
+# Fixed values, as above.
 DEFAULT_ON_REPLICA = """
 cluster.slaveRunning <replica_running> gauge
 """
@@ -65,6 +66,7 @@ db.qCacheUtilization <qcache_utilization> gauge
 db.qCacheHitRatio <qcache_hit> gauge
 """
 
+# Fixed values, as above.
 EXTENDED = """
 db.createdTmpDiskTablesPerSecond Created_tmp_disk_tables prate
 db.createdTmpFilesPerSecond Created_tmp_files prate
@@ -102,6 +104,7 @@ db.qCacheQueriesInCachePerSecond Qcache_queries_in_cache prate
 db.qCacheTotalBlocks Qcache_total_blocks gauge
 """
 
+# Fixed values, as above.
 INNODB = """
 db.innodb.bufferPoolPagesDirty Innodb_buffer_pool_pages_dirty gauge
 db.innodb.bufferPoolPagesFlushedPerSecond Innodb_buffer_pool_pages_flushed prate
@@ -134,6 +137,7 @@ db.innodb.rowsReadPerSecond Innodb_rows_read prate
 db.innodb.rowsUpdatedPerSecond Innodb_rows_updated prate
 """
 
+# Fixed values, as above.
 MYISAM = """
 db.myisam.keyBlocksNotFlushed Key_blocks_not_flushed gauge
 db.myisam.keyCacheUtilization <key_cache_utilization> gauge
@@ -143,6 +147,7 @@ db.myisam.keyWriteRequestsPerSecond Key_write_requests prate
 db.myisam.keyWritesPerSecond Key_writes prate
 """
 
+# Fixed values, as above.
 REPLICA = """
 cluster.lastIOErrno Last_IO_Errno gauge
 cluster.lastIOError Last_IO_Error attribute
@@ -173,6 +178,7 @@ cluster.execMasterLogPos Exec_Source_Log_Pos gauge
 cluster.masterHost Source_Host attribute
 """
 
+# Fixed values, as above.
 BACKUP = """
 db.backupActive.total total_backup_active gauge
 db.backupActive.logical logical_backup_active gauge
@@ -180,6 +186,7 @@ db.backupActive.physical physical_backup_active gauge
 db.backupActive.tableLock table_lock_active gauge
 """
 
+# Fixed values, as above.
 BACKUP_HISTORY = """
 db.backupHistory.total total_backup_history gauge
 db.backupHistory.logical.count logical_backup_count gauge

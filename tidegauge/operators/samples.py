@@ -68,21 +68,24 @@ def record_to_metrics(
     return long.filter(F.col("value").isNotNull() | F.col("text").isNotNull())
 
 
-def publish_batches(samples: DataFrame, key: Sequence[str], model: Column | None = None) -> DataFrame:
+def publish_batches(
+    samples: DataFrame, key: Sequence[str], model: Column | None = None, cell_digits: int = 3
+) -> DataFrame:
     """``batch_id`` per instance, collection and event type.
 
     A batch is published when it exceeds the limit, so it holds limit + 1
     samples; the rest goes out last. Rows whose ``model`` is null are skipped.
     ``key`` identifies a sample. Any order of samples will do, so they are
-    ordered by a digest of the key: its first characters cut even the largest
-    group into thousands of equal parts for numbering.
+    ordered by a digest of the key: its first ``cell_digits`` hexadecimal digits
+    cut a group into 16 ** cell_digits equal parts for numbering; raise it where
+    a group has more than some hundred million samples.
     """
     if model is not None:
         samples = samples.filter(model.isNotNull())
     digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key]))
     marked = samples.withColumn("_digest", digest)
     placed = numbered(
-        marked, (*KEYS, "event_type"), [F.asc("_digest")], F.substring("_digest", 1, 3), "_place"
+        marked, (*KEYS, "event_type"), [F.asc("_digest")], F.substring("_digest", 1, cell_digits), "_place"
     )
     size = settings.PUBLISH_THRESHOLD + 1
     return placed.withColumn("batch_id", F.floor(F.col("_place") / size).cast("long")).drop("_place", "_digest")

@@ -78,6 +78,7 @@ def mdl_instrument_warning(t):
 
 # --- readiness ----------------------------------------------------------
 
+# Consumers that statement and wait monitoring needs.
 _ESSENTIAL = (
     "('events_waits_current', 'events_waits_history_long', 'events_waits_history', 'events_statements_history_long', "
     "'events_statements_history', 'events_statements_current', 'events_statements_cpu')"

@@ -1,7 +1,8 @@
 """Schemas of the landed relations and the one function that reads them.
 
 Every landed relation carries ``instance`` (host:port) and ``collected_at``.
-Timestamps are the server's wall clock, so they are TIMESTAMP_NTZ.
+Timestamps are the server's wall clock, so they are TIMESTAMP_NTZ; only
+``collected_at`` is the collector's own clock and is landed in UTC.
 """
 
 from __future__ import annotations
