@@ -236,3 +236,9 @@ def server_sample(
             value = F.col(column)
         values.append(value.alias(column))
     return sample.select(*KEYS, *values)
+
+
+def under_metric_names(sample: DataFrame) -> DataFrame:
+    """The server sample with the catalogue's own metric names, dots and all, as it is published."""
+    shown = {m.column: m.metric for m in C.METRICS}
+    return sample.select(*KEYS, *[F.col(c).alias(shown[c]) for c in sample.columns if c in shown])

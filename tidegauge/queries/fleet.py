@@ -8,10 +8,13 @@ from tidegauge.functions import scalars as S
 from tidegauge.functions.typed import typed_value
 from tidegauge.operators import backup as BK
 from tidegauge.operators import filters, fleet
+from tidegauge.operators import metrics as M
 from tidegauge.operators import samples as SM
+from tidegauge.operators.catalog import METRICS
 from tidegauge.operators.contract import contract_rows, sample_contract
+from tidegauge.queries import metrics as MQ
 from tidegauge.queries import statements as Q
-from tidegauge.queries.oracle_metrics import BACKUP_CTES, METRICS_CTES, as_int, older, sanitized, typed
+from tidegauge.queries.oracle_metrics import BACKUP_CTES, METRICS_CTES, as_int, older, sample_columns, sanitized, typed
 from tidegauge.queries.oracle_text import (
     STATEMENTS,
     anonymized,
@@ -306,6 +309,7 @@ def payloads(t):
         SM.INDIVIDUAL_QUERIES_SAMPLE: Q.individual_queries(t),
         SM.WAIT_EVENTS_SAMPLE: Q.wait_events(t),
         SM.BLOCKING_SESSION_SAMPLE: Q.blocking_sessions(t),
+        SM.SERVER_SAMPLE: M.under_metric_names(MQ.server_sample(t)),
     }
     out = None
     for event, df in sources.items():
@@ -320,8 +324,11 @@ _EMITTED = {
     SM.INDIVIDUAL_QUERIES_SAMPLE: "(SELECT * EXCLUDE (query_sample_text) FROM o_individual)",
     SM.WAIT_EVENTS_SAMPLE: "o_wait_events",
     SM.BLOCKING_SESSION_SAMPLE: "o_blocking",
+    SM.SERVER_SAMPLE: f"(SELECT instance, collected_at, NULL::varchar AS query_id, NULL::varchar AS database_name, {sample_columns()} "
+    "FROM o_sample GROUP BY instance, collected_at)",
 }
 _BLOCKING = {
+    **METRICS_CTES,
     **STATEMENTS,
     "o_blocking": Q.BLOCKING_SQL,
 }
@@ -362,12 +369,16 @@ def _contract_sql() -> str:
         "blocking_query_time_ms blocking_status blocking_thread_id blocking_txn_id blocking_txn_start_time collection_timestamp "
         "database_name",
     }
+    # A published metric goes by its own name, a column of the sample by one without dots.
+    of_metric = {m.metric: m.column for m in METRICS}
     parts = []
     for event, field, kind, required, non_empty in contract_rows():
         if event not in _EMITTED:
             continue
-        given = field in relation_columns[event].split() or field in ("event_type", "port", "hostname")
-        value = field if field in relation_columns[event].split() else ("'x'" if given else "NULL")
+        own = of_metric if event == SM.SERVER_SAMPLE else {c: c for c in relation_columns[event].split()}
+        value = own.get(field, "'x'" if field in ("event_type", "port", "hostname") else "NULL")
+        # JSON has no number for what isn't finite: such a value is written as a text.
+        odd = f"count(*) FILTER (NOT isfinite({value}))" if event == SM.SERVER_SAMPLE and kind == "number" and field in own else "0::bigint"
         lacks = f"{value} IS NULL"
         if field == "avg_cpu_time_ms":
             lacks += " AND instance NOT IN (SELECT instance FROM v_nodes WHERE flavor = 'mariadb')"
@@ -375,7 +386,7 @@ def _contract_sql() -> str:
         empty = f"count(*) FILTER ({value}::varchar = '')" if non_empty else "0::bigint"
         parts.append(
             f"SELECT '{event}' AS event_type, '{field}' AS field, '{kind}' AS kind, {str(required).lower()} AS required, "
-            f"count(*) AS samples, {missing} AS missing, 0::bigint AS wrong_type, {empty} AS empty FROM {_EMITTED[event]}"
+            f"count(*) AS samples, {missing} AS missing, {odd} AS wrong_type, {empty} AS empty FROM {_EMITTED[event]}"
         )
     return " UNION ALL ".join(parts)
 

@@ -16,7 +16,7 @@ def payload(samples: DataFrame, event_type: str) -> DataFrame:
     """
     tagged = samples.withColumn("event_type", F.lit(event_type))
     body = [c for c in tagged.columns if c not in ("instance", "collected_at")]
-    return tagged.select("event_type", "instance", "collected_at", F.to_json(F.struct(*body)).alias("payload"))
+    return tagged.select("event_type", "instance", "collected_at", F.to_json(F.struct(*[F.col(f"`{c}`") for c in body])).alias("payload"))
 
 
 def emit_samples(payloads: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:
