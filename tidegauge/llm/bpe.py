@@ -28,7 +28,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, slices, texts_of
+from .common import checkpointed, shared_folder, slices, texts_of
 from .lexicon import Lexicon, compile_lexicon
 from .word_ids import tokenizer_json
 
@@ -240,7 +240,10 @@ class Encoder:
 
 
 def frequent_pieces(docs: DataFrame, special: list[str], most: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent pieces of all texts, ties by text; at most `most` come to the driver."""
+    """The most frequent pieces of all texts: as many whole grades of frequency as `most` pieces allow.
+
+    A grade is a sixteenth of a doubling. No more than `most` pieces come to the driver.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
 
@@ -260,8 +263,18 @@ def frequent_pieces(docs: DataFrame, special: list[str], most: int = LEXICON_WOR
             yield from summed().to_batches()
 
     counts = docs.select("text").mapInArrow(count, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
-    top = counts.filter("piece <> '' AND n > 1").orderBy(F.desc("n"), "piece").limit(most)
-    return [r["piece"] for r in top.select("piece").collect()]
+    graded = checkpointed(counts.filter("piece <> '' AND n > 1").withColumn("grade", F.floor(F.log2("n") * 16)))
+    # At most 16 rows for each doubling of the largest count.
+    sizes = sorted(((r["grade"], r["count"]) for r in graded.groupBy("grade").count().collect()), reverse=True)
+    taken, lowest = 0, None
+    for grade, size in sizes:
+        taken += size
+        if taken > most:
+            break
+        lowest = grade
+    if lowest is None:
+        return []
+    return [r["piece"] for r in graded.filter(F.col("grade") >= lowest).select("piece").collect()]
 
 
 def share_file(spark: SparkSession, data: bytes, name: str) -> str:
