@@ -9,11 +9,15 @@ are formatted after they are unnested, as ordinary generated code.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge import KEYS
 from tidegauge.functions import json_nodes as J
 from tidegauge.functions.scalars import escape_json_strings, fixed_decimals
+from tidegauge.operators import filters
 
 # A node is its place (ordinals from the root), the cost it shows and its fields.
 _NODES = "array<struct<path:array<int>,cost:string,fields:map<string,string>>>"
@@ -182,3 +186,17 @@ def plan_rejects(documents: DataFrame) -> DataFrame:
     """The documents that ``plan_steps`` cannot read: a text, but not one JSON object within the parser's limits."""
     read = J.fields(J.mark_strings(F.col("plan_json")))
     return documents.filter(F.col("plan_json").isNotNull() & read.isNull())
+
+
+def plan_samples(
+    executions: DataFrame, documents: DataFrame, on: Sequence[str] = ("instance", "event_id", "thread_id")
+) -> DataFrame:
+    """Steps of the landed plans of reported executions.
+
+    ``executions`` are those of ``individual_queries``; a plan is looked for if
+    the execution has a database and a text whose plan may be asked for.
+    ``documents`` has the columns ``on``, ``flavor`` and ``plan_json``.
+    """
+    fit = filters.explainable(F.col("query_id"), F.col("query_sample_text"))
+    wanted = filters.require_db_and_text(executions).filter(fit).select(*KEYS, "event_id", "thread_id")
+    return plan_steps(wanted.join(documents.select(*on, "flavor", "plan_json"), list(on)))

@@ -13,6 +13,7 @@ from tidegauge.operators import samples as SM
 from tidegauge.operators.catalog import METRICS
 from tidegauge.operators.contract import contract_rows, sample_contract
 from tidegauge.queries import metrics as MQ
+from tidegauge.queries import plans as PQ
 from tidegauge.queries import statements as Q
 from tidegauge.queries.oracle_metrics import BACKUP_CTES, METRICS_CTES, as_int, older, sample_columns, sanitized, typed
 from tidegauge.queries.oracle_text import (
@@ -310,6 +311,7 @@ def payloads(t):
         SM.WAIT_EVENTS_SAMPLE: Q.wait_events(t),
         SM.BLOCKING_SESSION_SAMPLE: Q.blocking_sessions(t),
         SM.SERVER_SAMPLE: M.under_metric_names(MQ.server_sample(t)),
+        SM.QUERY_EXECUTION_SAMPLE: PQ.plan_samples(t),
     }
     out = None
     for event, df in sources.items():
@@ -326,10 +328,11 @@ _EMITTED = {
     SM.BLOCKING_SESSION_SAMPLE: "o_blocking",
     SM.SERVER_SAMPLE: f"(SELECT instance, collected_at, NULL::varchar AS query_id, NULL::varchar AS database_name, {sample_columns()} "
     "FROM o_sample GROUP BY instance, collected_at)",
+    SM.QUERY_EXECUTION_SAMPLE: "(SELECT *, NULL::varchar AS query_id, NULL::varchar AS database_name FROM o_plan_samples)",
 }
 _BLOCKING = {
     **METRICS_CTES,
-    **STATEMENTS,
+    **PQ.PLAN_SAMPLES,
     "o_blocking": Q.BLOCKING_SQL,
 }
 
@@ -368,6 +371,8 @@ def _contract_sql() -> str:
         "blocked_thread_id blocked_txn_id blocked_txn_start_time blocking_host blocking_pid blocking_query blocking_query_id "
         "blocking_query_time_ms blocking_status blocking_thread_id blocking_txn_id blocking_txn_start_time collection_timestamp "
         "database_name",
+        SM.QUERY_EXECUTION_SAMPLE: "access_type data_read_per_join eval_cost event_id filtered key key_length possible_keys prefix_cost "
+        "query_cost read_cost ref rows_examined_per_scan rows_produced_per_join step_id table_name thread_id used_key_parts using_index",
     }
     # A published metric goes by its own name, a column of the sample by one without dots.
     of_metric = {m.metric: m.column for m in METRICS}

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.plans import steps as P
 from tidegauge.plans.steps import plan_rejects, plan_steps
+from tidegauge.queries import statements as Q
+from tidegauge.queries.oracle_text import STATEMENTS
 from tidegauge.queries.registry import Sample, query
 
 # One JSON table object per merged order line. Odd orders are MariaDB.
@@ -101,3 +104,20 @@ def plan_duplicate_keys(t):
 def rejects(t):
     """Every fiftieth order's document is not closed."""
     return plan_rejects(documents(t)).select("event_id", "flavor")
+
+
+PLAN_SAMPLES = {
+    **STATEMENTS,
+    **_STEPS,
+    "o_plan_samples": """
+SELECT i.instance, i.collected_at, i.event_id, i.thread_id, s.* EXCLUDE (event_id, thread_id)
+FROM o_individual i JOIN o_steps s ON s.event_id = i.event_id
+WHERE i.database_name IS NOT NULL AND i.query_id IS NOT NULL AND NOT contains(i.query_sample_text, '?')
+  AND regexp_matches(i.query_sample_text, '^\\s*(select|with)', 'i')""",
+}
+
+
+@query("plan_samples", "SELECT * FROM o_plan_samples", PLAN_SAMPLES)
+def plan_samples(t):
+    """The reported executions' plans; the sample documents are known by their event alone."""
+    return P.plan_samples(Q.individual(t), documents(t), ("event_id",))
