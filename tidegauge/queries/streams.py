@@ -40,7 +40,6 @@ SELECT instance, window_end AS collected_at, current_schema AS schema_name, dige
   count(*) AS n, sum(cpu_time) AS cpu, sum(timer_wait) AS timer, sum(rows_examined) AS examined, sum(rows_affected) AS affected,
   sum(no_index_used) AS no_index, max(ts) AS last_seen
 FROM (SELECT *, make_timestamp((epoch_us(ts) // 30000000 + 1) * 30000000) AS window_end FROM v_st_history)
-WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 60 SECOND
 GROUP BY instance, window_end, current_schema, digest, digest_text""",
 }
 
@@ -53,7 +52,8 @@ GROUP BY instance, window_end, current_schema, digest, digest_text""",
         SELECT instance, collected_at, digest AS query_id, {truncated("digest_text")} AS query_text, schema_name AS database_name,
           n AS execution_count, {mean_ms("cpu", "n")} AS avg_cpu_time_ms, {mean_ms("timer", "n")} AS avg_elapsed_time_ms,
           CASE WHEN no_index > 0 THEN 'Yes' ELSE 'No' END AS has_full_table_scan, {statement_type("digest_text")} AS statement_type,
-          {iso("last_seen")} AS last_execution_timestamp
+          {iso("last_seen")} AS last_execution_timestamp, examined::double / n AS avg_disk_reads, affected::double / n AS avg_disk_writes,
+          'N/A' AS schema_name, {iso("collected_at")} AS collection_timestamp
         FROM o_windows WHERE schema_name IS NOT NULL AND schema_name NOT IN {EXCLUDED}))
     WHERE place <= 20 AND query_id IS NOT NULL""",
     _WINDOWS,
@@ -61,8 +61,9 @@ GROUP BY instance, window_end, current_schema, digest, digest_text""",
 def stream_slow_queries(t):
     path = shared_dir(t.spark, "stream-slow")
     jobs.run_available(jobs.stream_slow_queries(execution_stream(t), batch_folders(path), f"{path}-checkpoint"))
-    closed = t.spark.read.parquet(path)
-    return closed.drop("batch", "slow_rank", "schema_name", "avg_disk_reads", "avg_disk_writes", "collection_timestamp")
+    closed = t.spark.read.parquet(path).drop("batch")
+    # The input ends here, so the windows that the watermark left open are reported too.
+    return closed.unionByName(jobs.open_slow_queries(t.v_st_history)).drop("slow_rank")
 
 
 @query(

@@ -55,6 +55,23 @@ def stream_slow_queries(
     return windows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(rank)
 
 
+def open_slow_queries(
+    executions: DataFrame,
+    seconds: int = settings.DEFAULT_LOOKBACK_SECONDS,
+    delay: str = "1 minute",
+    k: int = settings.DEFAULT_TOP_K,
+    ceiling: int | None = settings.MAX_TOP_K,
+) -> DataFrame:
+    """What ``stream_slow_queries`` has not reported of input that has ended.
+
+    ``executions`` is the same input as a batch. The windows that the watermark
+    left open are those that end within ``delay`` of the last execution.
+    """
+    newest = executions.agg((F.max("ts") - F.expr(f"INTERVAL {delay}")).alias("_closed"))  # one row
+    windows = digest_windows(executions, seconds, delay).join(F.broadcast(newest), F.col("collected_at") > F.col("_closed"))
+    return ST.topk_slow(ST.slow_queries(windows.drop("_closed"), seconds), k, ceiling)
+
+
 def stream_dedup_executions(current: DataFrame, history: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Executions seen in either table, once; state is kept for ``delay`` only."""
     both = ST.union_executions(current, history)
