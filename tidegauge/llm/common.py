@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 3 << 20
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -41,6 +41,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
             stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    # A worker goes on to other tasks: what this one held for a while goes back to the system.
+    pa.default_memory_pool().release_unused()
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:

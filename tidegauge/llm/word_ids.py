@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 _PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
 _TAIL = r"([a-zß-öø-ÿ])([!-&(-/:-@\[-`{-~]+)( |$)"
 _WHOLE = "<\\||[\u0300-\u036f]"
-MAX_WORDS = 500_000
+MAX_WORDS = 400_000
 MAX_IDS = 4_000_000
 
 
@@ -79,13 +79,13 @@ class WordEncoder:
         slots = np.fromiter(map(self._slot.__getitem__, distinct), np.int64, len(distinct))
         known = np.array(self._count, np.int32)
         # Within 2**31 ids a slice: a slice holds few texts or one.
-        counts, starts = known[slots], (np.cumsum(known, dtype=np.int64) - known)[slots]
+        counts, starts = known[slots], (np.cumsum(known, dtype=np.int32) - known)[slots]
         place = coded.indices.to_numpy()
         each = counts[place]
-        after = np.zeros(len(place) + 1, np.int64)
+        after = np.zeros(len(place) + 1, np.int32)
         np.cumsum(each, out=after[1:])
         where = np.repeat(starts[place] - after[:-1], each)
-        where += np.arange(after[-1])
+        where += np.arange(after[-1], dtype=np.int32)
         return np.array(self._ids, np.uint32)[where] if after[-1] else np.zeros(0, np.uint32), after[ends]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
