@@ -82,6 +82,20 @@ def test_added_kinds_context_and_masks(documents):
     assert pii.find_spans(overlap).select(pii.masked(F.col("text"), F.col("pii_spans"))).first()[0] == "+[CARD] x"
 
 
+def test_ibans_before_capitals_digits_and_each_other(documents):
+    gb, de, no, mt = "GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00", "NO9386011117947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"
+    after = ["Please pay", "BIC COBADEFFXXX", "2024", "A", "OK, B", "é", "x", "\n7", "", "GB82 WEST", "FR12 " * 9]
+    texts = {f"IBAN {x} {a}": f"IBAN [IBAN] {a}" for x in (gb, de, no, mt, gb.replace(" ", "")) for a in after}
+    texts |= {f"{gb} {de} {no} {mt} {gb}": " ".join(["[IBAN]"] * 5), f"RE20 2024 0815 {de} X": "RE20 2024 0815 [IBAN] X", f"FR76 {gb} 12345 ABC": "FR76 [IBAN] 12345 ABC"}
+    # A country that is not registered; too long for its country; a wrong digit; a group that goes on.
+    texts |= {"ZZ33 1234 5678 9012 345 NEXT 1": "[IBAN] NEXT 1"}
+    texts |= {x: x for x in (f"{gb}2 A", gb[:-1] + "3 A", f"{gb}a", f"{gb} A"[1:])}
+    found = pii.find_spans(documents(list(enumerate(texts)))).select("text", "pii_spans", pii.masked(F.col("text"), F.col("pii_spans")).alias("m"))
+    for r in found.collect():
+        assert r["m"] == texts[r["text"]]
+        assert all(s["kind"] == "iban" and r["text"][s["start"] : s["stop"]].replace(" ", "").isalnum() for s in r["pii_spans"])
+
+
 @pytest.mark.parametrize("rows", [[(i, f"doc {i} é🎉 " + "ab" * i) for i in range(40)] + [(90, None), (91, ""), (None, "z" * 99)], [(5, "alone")], []])
 def test_fingerprints(documents, rows):
     got = {r["doc_id"]: r for r in fingerprints.fingerprints(documents(rows), cells=7).collect()}

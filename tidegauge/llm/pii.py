@@ -31,15 +31,28 @@ class Kind:
     context: str
     lift: float = 0.3
     base: bool = True
+    reach: int = 0  # if any, a match is the beginning of a span, and so many characters decide where that ends
 
 
+#: Characters of an IBAN by country, as registered.
+IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_REGISTERED = "|".join(IBAN_SIZES.values()).replace(" ", "|")
+_IBAN = "^(?:" + "|".join(f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:[ ]?[A-Z0-9]){{{size - 4}}}" for size, codes in IBAN_SIZES.items()) + ")(?![A-Za-z0-9])"
+_GROUPS = rf"^(?!{_REGISTERED})[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]*+(?![a-z])(?: [A-Z0-9]++(?![a-z]))*+"
+IBAN_REACH = 2 * 34  # characters and spaces between them, and one that follows
+
 KINDS = (
     Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", 0.9, "mail|contact|write", 0.1),
     Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", ".", 0.6, "ip|addr|host|server"),
     # Shorter runs of digits fail the validator whole, so asking for 14 finds the same cards.
     Kind("card", r"[0-9](?:[ -]?[0-9]){13,}+", "", 0.6, "card|visa|master|credit|pay"),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+", 0.7, "phone|tel|call|mobile|fax", 0.2),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "", 0.7, "iban|account|bank|konto", base=False),
+    # Only the first four characters, as what follows may be another one's beginning.
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:[ ]?[A-Z0-9]){11})", "", 0.7, "iban|account|bank|konto", base=False, reach=IBAN_REACH),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", 0.3, "ssn|social|security|tax", base=False),
 )
 THRESHOLD = 0.5
@@ -62,6 +75,18 @@ def _mod_97(text: Column) -> Column:
     return F.aggregate(F.filter(codes, lambda c: c > 0), F.lit(0), step) == 1
 
 
+def _iban_within(ahead: Column) -> Column:
+    """The IBAN that a text begins with, or the empty text: as long as its country's are.
+
+    Where the country is not registered, it is the longest that ends with a group and passes.
+    """
+    groups = F.split(F.regexp_extract(ahead, _GROUPS, 0), " ")
+    ends = F.transform(F.sequence(F.lit(1), F.size(groups)), lambda k: F.array_join(F.slice(groups, 1, k), " "))
+    passing = F.filter(ends, lambda e: _valid("iban", e))
+    known = F.regexp_extract(ahead, _IBAN, 0)
+    return F.when(ahead.rlike(rf"^(?:{_REGISTERED})"), known).otherwise(F.coalesce(F.get(passing, F.size(passing) - 1), F.lit("")))
+
+
 def _within_byte(part: Column) -> Column:
     plain = F.ltrim(part, F.lit("0"))
     return (F.length(plain) < 3) | ((F.length(plain) == 3) & (plain <= "255"))
@@ -103,15 +128,28 @@ def _confirmed(k: Kind, rank: int, threshold: float) -> Column:
     """The spans of a kind's matches that its validator, and for added kinds their score, lets pass."""
     match, between, start = (F.col(f"_{x}_{k.name}") for x in ("match", "between", "start"))
 
-    def span(m: Column, i: Column) -> Column:
+    def following(i: Column) -> Column:
+        """At least `reach` + 20 characters after match i, if there are: texts between matches and the matches, which are five apart."""
+        far = k.reach + 20
+        parts = far // 5 + 1
+        pairs = F.zip_with(F.slice(between, i + 2, parts), F.slice(match, i + 2, parts), lambda b, m: F.concat(F.substring(b, 1, far), F.coalesce(m, F.lit(""))))
+        return F.array_join(pairs, "")
+
+    def judged(m: Column, after: Column, i: Column) -> Column:
         before = F.lower(F.substring(F.get(between, i), -40, 40))
-        after = F.lower(F.substring(F.get(between, i + 1), 1, 20))
-        near = before.rlike(rf"\b({k.context})") | after.rlike(rf"\b({k.context})")
+        near = before.rlike(rf"\b({k.context})") | F.lower(after).rlike(rf"\b({k.context})")
         score = F.when(near, F.lit(min(1.0, k.score + k.lift))).otherwise(F.lit(k.score))
         at = F.get(start, i)
         valid = _valid(k.name, m) if k.base else _valid(k.name, m) & (score >= threshold)
         return F.when(valid, F.struct(at.alias("start"), F.lit(rank).alias("rank"), (at + F.length(m)).alias("stop"), F.lit(k.name).alias("kind"), score.alias("score")))
 
+    def span(m: Column, i: Column) -> Column:
+        if not k.reach:
+            return judged(m, F.substring(F.get(between, i + 1), 1, 20), i)
+        # An array of one, so that what lies ahead is put together once.
+        ahead = F.transform(F.array(F.concat(m, following(i))), lambda a: F.struct(a.alias("a"), _iban_within(a).alias("m")))
+        return F.get(F.transform(ahead, lambda a: judged(a["m"], a["a"].substr(F.length(a["m"]) + 1, F.lit(20)), i)), F.lit(0))
+
     return F.filter(F.transform(match, span), lambda s: s.isNotNull()).cast(SPAN)
 
 
