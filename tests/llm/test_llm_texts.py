@@ -110,6 +110,17 @@ def test_fingerprints(documents, rows):
         assert tuple(got[i]) == want
 
 
+@pytest.mark.parametrize("cells", [1, 7])
+def test_fingerprints_follow_ids_beyond_doubles(documents, cells):
+    ids = [2**53 + i for i in range(40)] + [2**62 + i for i in range(40)] + [2**63 - 1 - i for i in range(9)] + [-(2**63) + i for i in range(9)]
+    rows = [(i, f"{random.Random(i).random()} text") for i in ids] + [(None, "no id")]
+    random.Random(1).shuffle(rows)
+    got = {r["doc_id"]: r["edited_sha256"] for r in fingerprints.fingerprints(documents(rows), cells=cells).collect()}
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    following = [*ordered[1:], ordered[0]]
+    assert got == {i: hashlib.sha256(fingerprints.edited(t, f).encode()).hexdigest() for (i, t), (_, f) in zip(ordered, following, strict=True)}
+
+
 def test_spans_extensions_and_likeness():
     a, b = fingerprints.PrefixHashes("abracadabra🎉abra"), fingerprints.PrefixHashes("cadabra🎉abrX")
     assert fingerprints.common_extension(a, 4, b, 0) == 11 and fingerprints.common_extension(a, 0, b, 3) == 4

@@ -135,6 +135,8 @@ def in_turn(docs: DataFrame, cells: int) -> DataFrame:
     Adds `_cell` and `_extra` (true for a closing row); the row after the lowest
     doc_id is the one of the highest. The borders of cells, which decide only how
     even they are, are quantiles of a sample of some BORDER_IDS ids for each cell.
+    Only cells go by the id as a double; ids that round to one double share a cell,
+    and within it the whole id decides.
     """
     from pyspark.ml.feature import Bucketizer
 
@@ -149,11 +151,12 @@ def in_turn(docs: DataFrame, cells: int) -> DataFrame:
         celled = Bucketizer(splits=splits, inputCol="_key", outputCol="_cell").transform(keyed)
     else:
         celled = keyed.withColumn("_cell", F.lit(0.0))
-    heads = sorted(((r["_cell"], r["head"]) for r in celled.groupBy("_cell").agg(F.max("_key").alias("head")).collect()), reverse=True)
+    # Nulls are in the lowest cell; where it has no other ids its head is null.
+    heads = sorted(((r["_cell"], r["head"]) for r in celled.groupBy("_cell").agg(F.max("doc_id").alias("head")).collect()), reverse=True)
     following = [(cell, heads[(i + 1) % len(heads)][1]) for i, (cell, _) in enumerate(heads)]
     # One id a cell: bounded by `cells`.
-    closing = F.broadcast(spark.createDataFrame(following, "_cell double, _key double"))
-    extra = keyed.join(closing, "_key").withColumn("_extra", F.lit(True))
+    closing = F.broadcast(spark.createDataFrame(following, "_cell double, _head long"))
+    extra = keyed.join(closing, F.col("doc_id").eqNullSafe(F.col("_head"))).drop("_head").withColumn("_extra", F.lit(True))
     return celled.withColumn("_extra", F.lit(False)).unionByName(extra)
 
 
@@ -185,5 +188,5 @@ def fingerprints(docs: DataFrame, cells: int | None = None) -> DataFrame:
                 fields = [pa.field(n, {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}[t]) for n, t in (x.split() for x in SCHEMA.split(", "))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)], schema=pa.schema(fields))
 
-    ordered = in_turn(docs, cells).repartition("_cell").sortWithinPartitions("_cell", "_extra", F.col("_key").desc(), "text")
+    ordered = in_turn(docs, cells).repartition("_cell").sortWithinPartitions("_cell", "_extra", F.col("doc_id").desc_nulls_last(), "text")
     return ordered.select("doc_id", "_cell", "_extra", "text").mapInArrow(compare, SCHEMA)
