@@ -131,6 +131,25 @@ def test_spans_extensions_and_likeness():
     assert fingerprints.likeness(fp(text), fp(text[::-1])) < 0.01
 
 
+def test_copies_with_several_edits_stay_alike():
+    draw = random.Random(4)
+    text, other = ("".join(draw.choices("abcdefgh ", k=5000)) for _ in range(2))
+    like = lambda a, b: fingerprints.likeness(fingerprints.fingerprint(a), fingerprints.fingerprint(b))
+    assert like(text, "#" + text[1:-1] + "#") > 0.95  # near both ends
+    assert like(text, text[:500] + "##" + text[500:4500] + "é🎉" + text[4500:]) > 0.9  # insertions at 10 % and 90 %
+    edits = list(text)
+    for place in range(100, 5000, 500):
+        edits[place] = "#"
+    assert 0.6 < like(text, "".join(edits)) < 1
+    assert like(text, text[2500:] + text[:2500]) > 0.9 and like(text, other) < 0.02
+    assert 0.45 < like(text, "#" + text[1000:3500] + other[:2500]) < 0.5  # half is shared, and counts once
+    assert like("#" + text + text + "#", "~" + text + "~") < 0.51
+    for odd in ("z " * 60_000, "a", "ab" * 4, "é" * 255, "é" * 256, "x" * 511):
+        spans = fingerprints.PrefixHashes(odd).borders()
+        assert spans[0] == 0 and spans[-1] == len(odd) and 0 < np.diff(spans).min() <= np.diff(spans).max() <= fingerprints.SPAN_MOST
+        assert like(odd, odd) == 1 and 0 <= like(odd, odd + "!") < 1
+
+
 def test_scores_back_off(documents):
     rows = [(1, "the cat sat"), (2, "The cat ran"), (3, "a cat sat"), (4, None), (5, " "), (None, "zebra")]
     got = {r["doc_id"]: r for r in lm_scores.stupid_backoff(documents(rows), order=3, chunk_rows=2).collect()}

@@ -7,8 +7,12 @@ binary search.
 
 A fingerprint keeps of a text its length, its whole hash, and the hashes of the
 prefixes and suffixes whose lengths are on a fixed ladder of eight rungs to the
-doubling, so its size grows with the logarithm of the text. Two fingerprints
-tell by binary search how long a beginning and an end their texts share.
+doubling, and the hash and length of every inner span between borders that the
+text's own content sets. Two fingerprints tell by binary search how long a
+beginning and an end their texts share, and what inner spans both hold between
+these, wherever they are. An edit changes the spans around it alone, so copies
+with many edits stay alike. Inner spans add about an eighth of the text's length
+to its fingerprint.
 """
 
 from __future__ import annotations
@@ -28,6 +32,11 @@ PRIMES = (2147483647, 2147483629)
 BASES = (1000003, 786433)
 #: Prefix and suffix lengths that a fingerprint keeps: 2 to the power k/8, rounded.
 LADDER = np.unique(np.round(2 ** (np.arange(0, 8 * 40) / 8)).astype(np.int64))
+#: A border is behind a window of so many code points whose hash is a multiple of SPAN_MEAN.
+WINDOW = 8
+SPAN_MEAN = 32
+#: Of borders closer than this only the first holds; spans longer than the most, which fits a byte, are cut.
+SPAN_LEAST, SPAN_MOST = 8, 255
 BORDER_IDS = 20
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
@@ -65,6 +74,20 @@ class PrefixHashes:
             out = out << np.uint64(31) | (sums[end] - sums[start]) % np.uint64(p) * inverse(self.n + 1)[start] % np.uint64(p)
         return out
 
+    def windows(self, size: int) -> np.ndarray:
+        """31-bit hashes of all spans of `size` code points, by the first prime alone."""
+        sums, p = self._sums[0], np.uint64(PRIMES[0])
+        count = max(0, self.n - size + 1)
+        return (sums[size : size + count] - sums[:count]) % p * _INVERSES[0](self.n + 1)[:count] % p
+
+    def borders(self) -> np.ndarray:
+        """Where the text's inner spans begin, and its end; what is before a place and near it decides alone."""
+        found = np.flatnonzero(self.windows(WINDOW) % np.uint64(SPAN_MEAN) == 0) + WINDOW
+        found = found[(np.diff(found, prepend=-SPAN_LEAST) >= SPAN_LEAST) & (found < self.n)]
+        edges = np.concatenate([[0], found, [self.n]])
+        cuts = [np.arange(edges[k] + SPAN_MOST, edges[k + 1], SPAN_MOST) for k in np.flatnonzero(np.diff(edges) > SPAN_MOST)]
+        return np.unique(np.concatenate([edges, *cuts])).astype(np.int64)
+
     def span(self, start: int, end: int) -> int:
         return int(self.spans(np.array([start]), np.array([end]))[0])
 
@@ -86,17 +109,22 @@ def common_extension(a: PrefixHashes, i: int, b: PrefixHashes, j: int) -> int:
 
 
 def fingerprint(text: str) -> str:
-    """`length.whole.prefixes.suffixes`: hexadecimal numbers, and 24-bit hashes in base 64, shortest first."""
+    """`length.whole.prefixes.suffixes.inner`: hexadecimal numbers, and in base 64 24-bit hashes, shortest first, and inner spans in order.
+
+    An inner span is its 24-bit hash and, in the byte above, its length.
+    """
     hashes = PrefixHashes(text)
     n = hashes.n
     rungs = LADDER[: np.searchsorted(LADDER, n, side="right")]
     zeros = np.zeros(len(rungs), np.int64)
-    start = np.concatenate([[0], zeros, n - rungs])
-    end = np.concatenate([[n], rungs, zeros + n])
+    borders = hashes.borders()
+    start = np.concatenate([[0], zeros, n - rungs, borders[:-1]])
+    end = np.concatenate([[n], rungs, zeros + n, borders[1:]])
     found = hashes.spans(start, end)
-    short = (found[1:] ^ found[1:] >> np.uint64(31)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
-    ends = [base64.b64encode(x.tobytes()).decode() for x in (short[: len(rungs)], short[len(rungs) :])]
-    return f"{n:x}.{int(found[0]):016x}.{ends[0]}.{ends[1]}"
+    short = (found[1:] ^ found[1:] >> np.uint64(31)).astype("<u4").view(np.uint8).reshape(-1, 4)
+    short[2 * len(rungs) :, 3] = np.diff(borders)
+    parts = short[: len(rungs), :3], short[len(rungs) : 2 * len(rungs), :3], short[2 * len(rungs) :]
+    return f"{n:x}.{int(found[0]):016x}." + ".".join(base64.b64encode(x.tobytes()).decode() for x in parts)
 
 
 def _shared(a: str, b: str) -> int:
@@ -111,15 +139,36 @@ def _shared(a: str, b: str) -> int:
     return int(LADDER[low - 1]) if low else 0
 
 
+def _inner(part: str, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Inner spans that are not wholly outside [begin, end): keys of span and repeat, and how much of each is inside, the most first."""
+    spans = np.frombuffer(base64.b64decode(part), "<u4").astype(np.int64)
+    sizes = spans >> 24
+    stops = np.cumsum(sizes)
+    inside = np.minimum(stops, end) - np.maximum(stops - sizes, begin)
+    spans, inside = spans[inside > 0], inside[inside > 0]
+    order = np.lexsort((-inside, spans))
+    spans, inside = spans[order], inside[order]
+    return spans << 31 | np.arange(len(spans)) - np.searchsorted(spans, spans), inside
+
+
 def likeness(a: str, b: str) -> float:
-    """The share of the longer text that the texts of two fingerprints have in common at their beginnings and ends."""
+    """The share of the longer text that the texts of two fingerprints have in common: beginnings, ends, and inner spans between them.
+
+    An inner span counts as often as both texts hold it, wherever it is.
+    """
     if a == b:
         return 1.0
     (n, _, *own), (m, _, *others) = a.split("."), b.split(".")
-    sizes = sorted((int(n, 16), int(m, 16)))
+    lengths = int(n, 16), int(m, 16)
+    sizes = sorted(lengths)
     if not sizes[0]:
         return 0.0
-    shared = min(sizes[0], sum(_shared(x, y) for x, y in zip(own, others, strict=True)))
+    first, last = (_shared(x, y) for x, y in zip(own[:2], others[:2], strict=True))
+    shared = min(sizes[0], first + last)
+    if shared < sizes[0]:
+        (keys, mine), (other_keys, theirs) = (_inner(x[2], first, length - last) for x, length in zip((own, others), lengths, strict=True))
+        _, i, j = np.intersect1d(keys, other_keys, assume_unique=True, return_indices=True)
+        shared = min(sizes[0], shared + int(np.minimum(mine[i], theirs[j]).sum()))
     return shared / sizes[1] if shared < sizes[1] else (sizes[1] - 1) / sizes[1]
 
 
