@@ -102,3 +102,26 @@ def test_dedup_over_two_streams(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(r.event_id for r in out.select("event_id").collect()) == list(range(7))
     assert out.agg(F.count(F.lit(1))).first()[0] == 7
+
+
+def test_registered_rates_land_spans_in_parallel(spark, sf_dir, monkeypatch):
+    """A span is one micro-batch of as many files as its last stage has tasks."""
+    from tidegauge.queries import QUERIES, streams
+
+    seen, landed, plain = [], [], streams.batch_folders
+
+    def noted(path):
+        landed.append(f"{path}-landed")
+        return lambda df, i: (seen.append(i), plain(path)(df, i))
+
+    monkeypatch.setattr(streams, "batch_folders", noted)
+
+    size = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        QUERIES["stream_prate"](spark, sf_dir)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", size)
+    assert seen == [0, 1, 2, 3]
+    files = spark.read.parquet(landed[0]).select("span", F.input_file_name().alias("file")).distinct().groupBy("span").count().collect()
+    assert len(files) == 4 and all(r["count"] > 1 for r in files)

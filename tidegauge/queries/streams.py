@@ -81,18 +81,19 @@ def stream_dedup_executions(t):
 def stream_prate(t):
     path = shared_dir(t.spark, "stream-prate")
     # The counters are landed as files first, as their running sum needs a batch: four spans of
-    # time one after another, and a micro-batch for each, so rates cross batches by the state.
+    # time one after another, each a folder of any number of files and a micro-batch, so rates
+    # cross batches by the state.
     first, last = t.v_counters.agg(F.min("ts"), F.max("ts")).first()
+    samples = t.spark.readStream.schema(t.v_counters.schema)
     for k in range(4 if first else 0):
         begin, end = (first + (last - first) * i / 4 for i in (k, k + 1))
         within = (F.col("ts") >= F.lit(begin)) & ((F.col("ts") < F.lit(end)) | F.lit(k == 3))
-        t.v_counters.filter(within).coalesce(1).write.mode("append").parquet(f"{path}-landed")
-    reader = t.spark.readStream.schema(t.v_counters.schema).option("maxFilesPerTrigger", 1)
-    samples = reader.parquet(f"{path}-landed")
-    writer = jobs.stream_prate(
-        samples, batch_folders(path), f"{path}-state", f"{path}-checkpoint", ("instance", "name"), "ts", "value", 21_600, ("event_id",)
-    )
-    jobs.run_available(writer)
+        t.v_counters.filter(within).write.parquet(f"{path}-landed/span={k}")
+        writer = jobs.stream_prate(
+            samples.parquet(f"{path}-landed/span=*"), batch_folders(path), f"{path}-state", f"{path}-checkpoint",
+            ("instance", "name"), "ts", "value", 21_600, ("event_id",),
+        )
+        jobs.run_available(writer)
     return t.spark.read.parquet(path).select("instance", "name", "ts", "event_id", "value", "rate")
 
 
