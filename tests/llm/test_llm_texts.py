@@ -240,6 +240,13 @@ def test_what_a_host_repeats_is_dropped_from_unmarked_pages(spark):
     assert got == {**{i: f"{a}\n\n{b} {standing}" for i, (a, b) in enumerate(bodies)}, 99: standing}
 
 
+def test_open_blocks_beside_an_article_stay_unless_the_host_repeats_them(spark):
+    words = lambda k, n: " ".join(f"{k}w{i}" for i in range(n))
+    rows = [(i, "http://a.example/p", f"<div>{words(i, 90)}</div><article><p>card {i}</p></article><div>{words('standing', 20)}</div>") for i in range(5)]
+    got = {r["page_id"]: r["text"] for r in html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"{words(i, 90)}\n\ncard {i}" for i in range(5)}
+
+
 def test_suffix_ranks_and_shared_runs():
     draw = np.random.default_rng(1)
     tokens = np.append(draw.integers(0, 3, 200), -1)

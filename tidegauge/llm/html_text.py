@@ -3,7 +3,7 @@
 A page is cut into blocks. Markup says of many whether they are the article
 (article, main) or something else (nav, aside, footer, forms, and elements whose
 class or id names adverts, menus, comments and the like). Where markup says
-neither, the host's other pages do: their token streams are concatenated, the
+neither, also beside a marked article, the host's other pages do: their token streams are concatenated, the
 suffixes are sorted, and runs of at least RUN_TOKENS tokens that many distinct
 pages share are boilerplate; a block stays if most of it is in unique runs.
 
@@ -163,11 +163,9 @@ def main_texts(pages: list[list[tuple[int, str]]]) -> list[str]:
     covered = shared_runs(streams, least) if len(pages) >= least else [np.zeros(len(s), bool) for s in streams]
     out = []
     for page, ends, marks in zip(pages, borders, covered, strict=True):
-        # With a marked article, blocks of no zone are what surrounds it.
-        marked = any(zone == ARTICLE for zone, _ in page)
         kept = []
         for (zone, text), a, b in zip(page, ends, ends[1:], strict=False):
-            if zone == ARTICLE or not marked and 2 * int(marks[a:b].sum()) <= b - a:
+            if zone == ARTICLE or 2 * int(marks[a:b].sum()) <= b - a:
                 kept.append(text)
         out.append("\n\n".join(kept))
     return out
