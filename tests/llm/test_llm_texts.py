@@ -247,6 +247,17 @@ def test_open_blocks_beside_an_article_stay_unless_the_host_repeats_them(spark):
     assert got == {i: f"{words(i, 90)}\n\ncard {i}" for i in range(5)}
 
 
+@pytest.mark.parametrize("group_bytes", [1 << 30, 20_000, 1])
+def test_what_is_shared_depends_neither_on_groups_nor_on_the_host_s_size(spark, monkeypatch, group_bytes):
+    monkeypatch.setattr(html_text, "GROUP_BYTES", group_bytes)
+    words = lambda k, n: " ".join(f"{k}w{i}" for i in range(n))
+    notes = {k: words(f"note{k}", 12) for k in (2, 3)}  # on 2 and on 3 of 60 pages
+    note = lambda i: "".join(f"<div>{notes[k]}</div>" for k in notes if i % 20 == 0 and i < 20 * k)
+    rows = [(i, f"http://a.example/{i}", f"<p>{words(i, 30)}</p>{note(i)}") for i in range(60)]
+    got = {r["page_id"]: r["text"] for r in html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: words(i, 30) + (f"\n\n{notes[2]}" if i in (0, 20) else "") for i in range(60)}
+
+
 def test_suffix_ranks_and_shared_runs():
     draw = np.random.default_rng(1)
     tokens = np.append(draw.integers(0, 3, 200), -1)

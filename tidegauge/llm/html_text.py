@@ -10,13 +10,17 @@ pages share are boilerplate; a block stays if most of it is in unique runs.
 What an article repeats from other pages (quotations, standing lines) is its
 text, so nothing is taken out of a marked article.
 
-Pages of a host are dealt into groups of about GROUP_BYTES by a hash. What counts
-as shared is a share of a group's pages, which is the same in every group, so a
-host of any size is as many tasks as it needs.
+Pages of a host are dealt into groups of about GROUP_BYTES by a hash, so a host of
+any size is as many tasks as it needs. What counts as shared does not depend on
+the groups or on the size of the host: a run is shared that SHARED_PAGES pages of
+the whole host hold. Where a host has several groups and blocks that markup leaves
+open, the hashes of all its runs are counted over its pages by a shuffle, and each
+group gets those of its own that are shared.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -31,7 +35,6 @@ from .common import slices, texts_of
 SCHEMA = "page_id long, url string, text string, n_chars long"
 RUN_TOKENS = 8
 SHARED_PAGES = 3
-SHARED_SHARE = 0.1
 GROUP_BYTES = 4 << 20
 #: Hosts beyond this many are joined by a shuffle; fewer are broadcast.
 BROADCAST_HOSTS = 200_000
@@ -122,7 +125,7 @@ def suffix_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
     while known < depth:
         step = min(known, depth - known)
         ahead = np.full(len(ranks), -1, np.int64)
-        ahead[: len(ranks) - step] = ranks[step:]
+        ahead[: max(0, len(ranks) - step)] = ranks[step:]
         _, ranks = np.unique(ranks.astype(np.int64) * (len(ranks) + 1) + ahead + 1, return_inverse=True)
         known += step
     return ranks
@@ -148,8 +151,37 @@ def shared_runs(pages: list[list[int]], least: int, depth: int = RUN_TOKENS) ->
     return [covered[at[k] : at[k + 1] - 1] for k in range(len(pages))]
 
 
-def main_texts(pages: list[list[tuple[int, str]]]) -> list[str]:
-    """The main text of each page of one host, from its blocks."""
+_FACTORS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(RUN_TOKENS)], np.uint64)
+
+
+def run_hashes(texts: list[str], known: dict[str, int]) -> np.ndarray:
+    """64-bit hashes of every run of RUN_TOKENS tokens of a page's blocks, in order; `known` keeps hashes of tokens."""
+    words = [w for text in texts for w in text.split()]
+    for w in words:
+        if w not in known:
+            known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+    values = np.array([known[w] for w in words], np.uint64)
+    count = max(0, len(values) - RUN_TOKENS + 1)
+    out = np.zeros(count, np.uint64)
+    for k, factor in enumerate(_FACTORS):
+        out += values[k : k + count] * factor
+    return (out ^ out >> np.uint64(32)).view(np.int64)
+
+
+def covered_by(page: np.ndarray, shared: np.ndarray, size: int) -> np.ndarray:
+    """Which of a page's `size` tokens are in runs whose hashes are among the sorted shared ones."""
+    change = np.zeros(size + RUN_TOKENS + 1, np.int64)
+    places = np.flatnonzero(np.isin(page, shared))
+    np.add.at(change, places, 1)
+    np.add.at(change, places + RUN_TOKENS, -1)
+    return np.cumsum(change)[:size] > 0
+
+
+def main_texts(pages: list[list[tuple[int, str]]], shared: np.ndarray | None = None) -> list[str]:
+    """The main text of each page of one host, from its blocks.
+
+    `shared`: hashes of runs that the whole host shares, if these are not all of its pages.
+    """
     numbers: dict[str, int] = {}
     streams, borders = [], []
     for page in pages:
@@ -159,8 +191,13 @@ def main_texts(pages: list[list[tuple[int, str]]]) -> list[str]:
             ends.append(len(own))
         streams.append(own)
         borders.append(ends)
-    least = max(SHARED_PAGES, int(np.ceil(SHARED_SHARE * len(pages))))
-    covered = shared_runs(streams, least) if len(pages) >= least else [np.zeros(len(s), bool) for s in streams]
+    if not any(zone == OPEN for page in pages for zone, _ in page):
+        covered = [np.zeros(len(s), bool) for s in streams]  # nothing is left to decide
+    elif shared is not None:
+        known: dict[str, int] = {}
+        covered = [covered_by(run_hashes([t for _, t in page], known), shared, len(s)) for page, s in zip(pages, streams, strict=True)]
+    else:
+        covered = shared_runs(streams, SHARED_PAGES)
     out = []
     for page, ends, marks in zip(pages, borders, covered, strict=True):
         kept = []
@@ -195,10 +232,42 @@ def extract_text(pages: DataFrame) -> DataFrame:
             texts = pa.array([[t for _, t in own] for own in found], pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host", "part")), zones, texts], names=["page_id", "url", "host", "part", "zones", "texts"])
 
-    def decide(table: pa.Table) -> pa.Table:
+    def decided(table: pa.Table, shared: np.ndarray | None) -> pa.Table:
         own = [list(zip(z, t, strict=True)) for z, t in zip(table["zones"].to_pylist(), table["texts"].to_pylist(), strict=True)]
-        texts = main_texts(own)
+        texts = main_texts(own, shared)
         return pa.table({"page_id": table["page_id"], "url": table["url"], "text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())})
 
-    parsed = dealt.select("page_id", "url", "html", "host", group.alias("part")).mapInArrow(parse, "page_id long, url string, host string, part int, zones array<int>, texts array<string>")
-    return parsed.groupBy("host", "part").applyInArrow(decide, SCHEMA)
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known: dict[str, int] = {}
+            for host, part, zones, texts in zip(*(batch.column(c).to_pylist() for c in ("host", "part", "zones", "texts")), strict=True):
+                hashes = run_hashes(texts, known)
+                ends = np.cumsum([0, *(len(t.split()) for t in texts)])
+                asked = np.zeros(ends[-1] + 1, bool)
+                for zone, a, b in zip(zones, ends, ends[1:], strict=False):
+                    asked[max(0, a - RUN_TOKENS + 1) : b] |= zone == OPEN  # runs that touch an open block
+                found, first = np.unique(hashes, return_inverse=True)
+                touches = np.bincount(first, weights=asked[: len(hashes)], minlength=len(found)) > 0
+                names = ["host", "part", "run", "asked"]
+                yield pa.RecordBatch.from_arrays([pa.array([host] * len(found), pa.string()), pa.array([part] * len(found), pa.int32()), pa.array(found, pa.int64()), pa.array(touches, pa.bool_())], names=names)
+
+    def decide(table: pa.Table) -> pa.Table:
+        return decided(table, None)
+
+    def decide_group(table: pa.Table, shared: pa.Table) -> pa.Table:
+        return decided(table, np.sort(shared["run"].to_numpy()))
+
+    parsed = dealt.select("page_id", "url", "html", "host", "groups", group.alias("part"))
+    shape = "page_id long, url string, host string, part int, zones array<int>, texts array<string>"
+    small = parsed.filter("groups IS NULL").drop("groups").mapInArrow(parse, shape)
+    large = parsed.filter("groups IS NOT NULL").drop("groups").mapInArrow(parse, shape)
+    alone = parsed.drop("groups").mapInArrow(parse, shape).groupBy("host", "part").applyInArrow(decide, SCHEMA)
+    is_open = F.exists("zones", lambda z: z == OPEN)
+    # Without open blocks on a host of several groups, no group needs to know of another.
+    if hosts.isEmpty() or large.filter(is_open).isEmpty():
+        return alone
+    counted = large.join(large.filter(is_open).select("host").distinct(), "host", "left_semi").mapInArrow(runs, "host string, part int, run long, asked boolean")
+    shared = counted.groupBy("host", "run").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= SHARED_PAGES).select("host", "run")
+    asked = counted.filter("asked").select("host", "part", "run").distinct().join(shared, ["host", "run"])
+    together = large.groupBy("host", "part").cogroup(asked.groupBy("host", "part")).applyInArrow(decide_group, SCHEMA)
+    return small.groupBy("host", "part").applyInArrow(decide, SCHEMA).unionByName(together)
