@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checkpointed, slices, texts_of
-from .word_ids import WordEncoder, tokenizer_json
+from .word_ids import tokenizer_json, word_encoder
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 CELL_ROWS = 5_000
@@ -37,7 +37,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0) -
     json = tokenizer_json(tokenizer)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(json)
+        encoder = word_encoder(json)
         for batch in slices(batches, "text"):
             ids, at = encoder.encode(texts_of(batch))
             rows: list[tuple[int, int, int, int]] = []

@@ -1,4 +1,4 @@
-"""The operators over the sample tables: op1 to op10, and the SQL that checks them where SQL can."""
+"""The operators over the sample tables: op1 to op13, and the SQL that checks them where SQL can."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, html_text, lm_scores, near_dups, neighbours, packing, pii, quality, token_files
+from . import bpe, centroids, fingerprints, html_text, lm_scores, near_dups, neighbours, packing, periodic_runs, pii, quality, tiered_packing, token_files
 from .common import read_table, shared_folder
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -61,6 +61,20 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.planted(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return periodic_runs.run_report(periodic_runs.periodic_runs(docs))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_report(centroids.cluster(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), k=40, rounds=5))
+
+
+def op13_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return tiered_packing.tiered_pack(docs, WORD_BPE, tiers=(4096, 2048, 1024, 512), end_id=2)
+
+
 OP9_SQL = r"""
 WITH words AS (
   SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i
@@ -94,6 +108,34 @@ SELECT d.doc_id, coalesce(n_tokens, 0)::BIGINT AS n_tokens, round(coalesce(s, 0)
 FROM documents d LEFT JOIN summed USING (doc_id)"""
 
 
+def _op12_sql() -> str:
+    """Rounds of assignment and exact floors, over components as rows."""
+    rounds = "".join(f"""
+near{r} AS (
+  SELECT vec_id, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT v.vec_id, m.c, list_sum(list_transform(list_zip(v.x, m.x), p -> (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM kept v, means{r} m)
+  GROUP BY vec_id),
+summed{r} AS (
+  SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+    SELECT c, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM kept JOIN near{r} USING (vec_id)) GROUP BY c, i),
+means{r + 1} AS (
+  SELECT m.c, coalesce(s.x, m.x) AS x FROM means{r} m LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS x FROM summed{r} GROUP BY c) s USING (c)),""" for r in range(5))
+    return f"""
+WITH kept AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+means0 AS (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS c, x FROM (SELECT sha256('2:' || vec_id) AS h, x FROM kept ORDER BY h LIMIT 40)),{rounds}
+last AS (
+  SELECT vec_id, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT v.vec_id, m.c, list_sum(list_transform(list_zip(v.x, m.x), p -> (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM kept v, means5 m)
+  GROUP BY vec_id)
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(x, ',')) AS centroid_sha256
+FROM last JOIN means5 USING (c)"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_pii": op2_pii,
@@ -105,7 +147,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_lm_scores": op9_lm_scores,
     "op10_html_text": op10_html_text,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_centroids": op12_centroids,
+    "op13_tiered_packing": op13_tiered_packing,
 }
 ORACLES: dict[str, str] = {
     "op9_lm_scores": OP9_SQL,
+    "op12_centroids": _op12_sql(),
 }

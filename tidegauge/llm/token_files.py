@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import slices, texts_of
-from .word_ids import WordEncoder, tokenizer_json
+from .word_ids import tokenizer_json, word_encoder
 
 MAGIC = b"DAC8"
 BLOCK = 512
@@ -95,7 +95,7 @@ def segments(docs: DataFrame, tokenizer: str, end_id: int = 1, segment_ids: int
     json = tokenizer_json(tokenizer)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, number, before = WordEncoder(json), TaskContext.get().partitionId(), 0, 0
+        encoder, part, number, before = word_encoder(json), TaskContext.get().partitionId(), 0, 0
         doc_ids: list[int | None] = []
         runs: list[np.ndarray] = []
         size = 0

@@ -16,9 +16,11 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from array import array
 from itertools import chain
 from pathlib import Path
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +38,20 @@ def tokenizer_json(path: str) -> str:
     return Path(path).read_text(encoding="utf-8")
 
 
+def word_encoder(json: str) -> WordEncoder:
+    """This process's encoder: what a worker has learnt serves its next tasks too.
+
+    Modules of this package travel with their functions, so the encoder is kept
+    beside them, under a name of its own. It holds at most one vocabulary.
+    """
+    kept = sys.modules.setdefault("_tidegauge_word_encoder", ModuleType("_tidegauge_word_encoder"))
+    if getattr(kept, "json", None) != json:
+        kept.json, kept.encoder = json, WordEncoder(json)
+    return kept.encoder
+
+
 class WordEncoder:
-    """Encodes slices of texts; one per task."""
+    """Encodes slices of texts."""
 
     def __init__(self, json: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
