@@ -18,22 +18,26 @@ def counters(n):
     return out
 
 
+def run_rates(spark, path, stream, **options):
+    rates = jobs.stream_prate(stream, **options)
+    with jobs.rocksdb_state(spark):
+        jobs.run_available(rates.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/cp"))
+    return spark.read.parquet(f"{path}/out")
+
+
 def test_rates_over_several_batches_equal_one_batch(spark, tmp_path):
-    rows = counters(120)
-    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
-    for start in range(0, 120, 40):
+    """Four micro-batches, the query started anew for each; buckets of time and slots are crossed."""
+    rows = counters(160)
+    landing = str(tmp_path / "in")
+    for start in range(0, 160, 40):
         spark.createDataFrame(rows[start : start + 40], SCHEMA).coalesce(1).write.mode("append").parquet(landing)
         if start == 40:
-            # out of order for its series: must change nothing
-            late = [("h0", "m", dt.datetime(2024, 1, 1), 10**6)]
+            # out of order for its series, and without a value: must change nothing
+            late = [(h, "m", dt.datetime(2024, 1, 1), v) for h, v in (("h0", 10**6), ("h1", None))]
             spark.createDataFrame(late, SCHEMA).coalesce(1).write.mode("append").parquet(landing)
-        stream = spark.readStream.schema(SCHEMA).parquet(landing)
-        jobs.run_available(
-            jobs.stream_prate(stream, batch_folders(out), str(tmp_path / "state"), str(tmp_path / "cp"))
-        )
+        streamed = run_rates(spark, tmp_path, spark.readStream.schema(SCHEMA).parquet(landing), max_gap=300)
     batch = metrics.rates(spark.createDataFrame(rows, SCHEMA), ("instance", "metric"), "collected_at", "value")
-    streamed = spark.read.parquet(out).drop("batch")
-    pick = lambda df: sorted(map(tuple, df.select("instance", "collected_at", "rate").collect()))
+    pick = lambda df: sorted(map(tuple, df.select("instance", "metric", "collected_at", "value", "rate").collect()))
     assert pick(streamed) == pick(batch)
 
 
@@ -47,21 +51,38 @@ def test_a_fast_clock_and_equal_times_across_batches(spark, tmp_path):
         [("a", "m", at(30), 4, 400), ("b", "m", at(0), 5, 130), ("ahead", "m", at(7230), 6, 65)],
         [("b", "m", at(30), 7, 700), ("a", "m", at(60), 8, 1000), ("a", "m", at(500), 9, 2000)],
     ]
-    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+    landing = str(tmp_path / "in")
     for rows in batches:
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
-    series = ("instance", "metric")
-    jobs.run_available(
-        jobs.stream_prate(stream, batch_folders(out), str(tmp_path / "state"), str(tmp_path / "cp"), series, tie=("event_id",))
-    )
+    streamed = run_rates(spark, tmp_path, stream, tie=("event_id",))
     whole = spark.createDataFrame([r for b in batches for r in b], schema)
-    batch = metrics.rates(whole, series, "collected_at", "value", tie=("event_id",))
+    batch = metrics.rates(whole, ("instance", "metric"), "collected_at", "value", tie=("event_id",))
     pick = lambda df: sorted(map(tuple, df.select("instance", "collected_at", "event_id", "rate").collect()))
-    assert pick(spark.read.parquet(out)) == pick(batch)
+    assert pick(streamed) == pick(batch)
     assert {r["event_id"]: r["rate"] for r in batch.collect()}[4] == 10.0
 
 
+def test_silent_series_are_not_written_again(spark, tmp_path):
+    """A micro-batch updates the states of its own hosts alone; the others stay, and are known later."""
+    t0 = dt.datetime(2024, 1, 1)
+    row = lambda h, s, v: (h, "m", t0 + dt.timedelta(seconds=s), v)
+    landing = str(tmp_path / "in")
+    batches = [[row(f"h{i}", 0, 0) for i in range(40)], [row("h1", 60, 60)], [row("h2", 120, 360), row(None, 0, 1)]]
+    updated = []
+    for rows in batches:
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(landing)
+        rates = jobs.stream_prate(spark.readStream.schema(SCHEMA).parquet(landing))
+        with jobs.rocksdb_state(spark):
+            writer = rates.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp"))
+            running = writer.trigger(availableNow=True).start()
+            running.awaitTermination()
+        updated.append(sum(s.numRowsUpdated for s in running.lastProgress.stateOperators))
+    assert max(updated[1:]) < updated[0]
+    got = {r["instance"]: r["rate"] for r in spark.read.parquet(str(tmp_path / "out")).filter("rate > 0").collect()}
+    assert got == {"h1": 1.0, "h2": 3.0}
+
+
 def test_rates_in_a_zone_with_daylight_saving(spark):
     rows = [("h", "m", dt.datetime(2024, 3, 10, 1, 59) + dt.timedelta(seconds=30 * i), 60 * i) for i in range(6)]
     zone = spark.conf.get("spark.sql.session.timeZone")
@@ -104,24 +125,14 @@ def test_dedup_over_two_streams(spark, tmp_path):
     assert out.agg(F.count(F.lit(1))).first()[0] == 7
 
 
-def test_registered_rates_land_spans_in_parallel(spark, sf_dir, monkeypatch):
+def test_registered_rates_take_four_micro_batches(spark, sf_dir, monkeypatch):
     """A span is one micro-batch of as many files as its last stage has tasks."""
     from tidegauge.queries import QUERIES, streams
 
-    seen, landed, plain = [], [], streams.batch_folders
-
-    def noted(path):
-        landed.append(f"{path}-landed")
-        return lambda df, i: (seen.append(i), plain(path)(df, i))
-
-    monkeypatch.setattr(streams, "batch_folders", noted)
-
-    size = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        QUERIES["stream_prate"](spark, sf_dir)
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", size)
-    assert seen == [0, 1, 2, 3]
-    files = spark.read.parquet(landed[0]).select("span", F.input_file_name().alias("file")).distinct().groupBy("span").count().collect()
-    assert len(files) == 4 and all(r["count"] > 1 for r in files)
+    paths, plain = [], streams.shared_dir
+    monkeypatch.setattr(streams, "shared_dir", lambda *a: (paths.append(plain(*a)), paths[-1])[1])
+    QUERIES["stream_prate"](spark, sf_dir)
+    arrived = spark.read.parquet(f"{paths[0]}-arrived")
+    assert sorted(r["span"] for r in arrived.select("span").distinct().collect()) == [0, 1, 2, 3]
+    commits = spark.read.text(f"{paths[0]}-checkpoint/commits").select(F.input_file_name().alias("file")).distinct().collect()
+    assert sorted(r["file"].rsplit("/", 1)[1] for r in commits) == ["0", "1", "2", "3"]

@@ -40,25 +40,29 @@ def _wall_micros(clock: Column) -> Column:
     return minutes * F.lit(60_000_000).cast("long") + (part("SECOND") * 1_000_000).cast("long")
 
 
-def _paired(rows: DataFrame, series: Sequence[str], time: str, value: str, max_gap: int, tie: Sequence[str]) -> DataFrame:
-    """Each row with ``_before`` and ``_us``, the previous value of its series
-    and the microseconds since; both null without one within ``max_gap``.
+def time_buckets(rows: DataFrame, time: str, max_gap: int) -> DataFrame:
+    """Rows with ``_at`` (microseconds), ``_bucket`` and ``_copy``.
 
-    A series is cut into time buckets, so no task holds a whole series. Only
-    rows in the last ``max_gap`` of a bucket can precede a row of the next one:
-    those few are repeated there, and dropped again.
+    Time is cut into buckets, so no task holds a whole series. Only rows in the
+    last ``max_gap`` of a bucket can precede a row of the next one: those few
+    are repeated there, marked as copies.
     """
     width, gap = max(12 * max_gap, 3600) * 1_000_000, max_gap * 1_000_000
-    at = _wall_micros(F.col(time))
     bucket = F.floor(F.col("_at") / F.lit(width))
     near_end = F.col("_at") >= (F.col("_bucket") + 1) * F.lit(width) - F.lit(gap)
     copies = F.when(near_end, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    placed = rows.withColumn("_at", at).withColumn("_bucket", bucket)
+    placed = rows.withColumn("_at", _wall_micros(F.col(time))).withColumn("_bucket", bucket)
     placed = placed.withColumn("_copy", F.explode(copies))
-    placed = placed.withColumn("_bucket", F.col("_bucket") + F.col("_copy").cast("long"))
+    return placed.withColumn("_bucket", F.col("_bucket") + F.col("_copy").cast("long"))
+
+
+def _paired(rows: DataFrame, series: Sequence[str], time: str, value: str, max_gap: int, tie: Sequence[str]) -> DataFrame:
+    """Each row with ``_before`` and ``_us``, the previous value of its series
+    and the microseconds since; both null without one within ``max_gap``."""
     line = W.partitionBy(*series, "_bucket").orderBy("_at", *tie)
+    placed = time_buckets(rows, time, max_gap)
     paired = placed.withColumns({"_before": F.lag(value).over(line), "_us": F.col("_at") - F.lag("_at").over(line)})
-    far = F.col("_us") > gap
+    far = F.col("_us") > max_gap * 1_000_000
     return (
         paired.filter(~F.col("_copy"))
         .withColumns({"_before": F.when(~far, F.col("_before")), "_us": F.when(~far, F.col("_us"))})

@@ -1,0 +1,11 @@
+"""Execution-plan documents.
+
+Functions of this package that run within tasks travel with their code, so
+executors need not have it installed.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

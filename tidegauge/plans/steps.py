@@ -1,147 +1,245 @@
 """Execution-plan documents flattened to steps.
 
-A document is walked inside its own row with higher-order functions, level by
-level, so the whole operator is one map-only stage: no shuffle and no driver
-loop. A text that is not one JSON object, or is nested deeper than the parser's
-limit of 1000 levels, gives no steps; ``plan_rejects`` lists such documents. The walk only finds the nodes to report; their fields
-are formatted after they are unnested, as ordinary generated code.
+A document is parsed once, inside its own row, so the whole operator is one
+map-only stage: no shuffle and no driver loop, and its work is linear in the
+text whatever its depth. A text that is not one JSON object, or is nested deeper
+than LEVELS, gives no steps; ``plan_rejects`` lists such documents.
+
+Catalyst has no expression for this walk: variants sort an object's keys and
+drop repeated ones, and ``from_json`` to maps reads a subtree again on each level.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import math
+import re
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge import KEYS
-from tidegauge.functions import json_nodes as J
-from tidegauge.functions.scalars import escape_json_strings, fixed_decimals
 from tidegauge.operators import filters
 
-# A node is its place (ordinals from the root), the cost it shows and its fields.
-_NODES = "array<struct<path:array<int>,cost:string,fields:map<string,string>>>"
-
-
-# Without one of these keys no node below can be reported: not worth opening.
-_CAN_REPORT = rf'"{J.MARK}(?:table_name|access_type|rows_examined_per_scan|rows|rows_produced_per_join|filtered|cost_info)":'
+#: Objects and arrays nested deeper than this make a document unreadable.
+LEVELS = 1000
+STEP = {
+    "step_id": "int",
+    "query_cost": "string",
+    "table_name": "string",
+    "access_type": "string",
+    "rows_examined_per_scan": "long",
+    "rows_produced_per_join": "long",
+    "filtered": "string",
+    "read_cost": "string",
+    "eval_cost": "string",
+    "possible_keys": "string",
+    "key": "string",
+    "used_key_parts": "string",
+    "ref": "string",
+    "prefix_cost": "string",
+    "data_read_per_join": "string",
+    "using_index": "string",
+    "key_length": "string",
+}
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}
+
+
+class _Repeated(list):
+    """The pairs of an object that repeats keys."""
+
+
+def _constant(name: str) -> None:
+    raise ValueError(name)
+
+
+def _nesting(text: str) -> int:
+    """How deep objects and arrays are nested, in a text that is JSON."""
+    depth = deepest = 0
+    for mark in re.findall(r'"(?:[^"\\]|\\.)*"|[][{}]', text, re.S):
+        if mark in ("{", "["):
+            depth += 1
+            deepest = max(deepest, depth)
+        elif mark in ("}", "]"):
+            depth -= 1
+    return deepest
+
+
+def read_document(text: str, mariadb: bool) -> dict | _Repeated | None:
+    """The document's root object; null unless the whole text is one object within the limits.
+
+    MariaDB repeats keys on purpose and keeps all; elsewhere the last of them
+    stays, in its own place.
+    """
+    def build(pairs: list[tuple]) -> dict | _Repeated:
+        found = dict(pairs)
+        if len(found) == len(pairs):
+            return found
+        if mariadb:
+            return _Repeated(pairs)
+        found = {}
+        for key, value in pairs:
+            found.pop(key, None)
+            found[key] = value
+        return found
 
+    try:
+        root = json.loads(text, object_pairs_hook=build, parse_constant=_constant)
+    except (ValueError, RecursionError):
+        return None
+    if not isinstance(root, (dict, _Repeated)) or text.count("{") + text.count("[") > LEVELS and _nesting(text) > LEVELS:
+        return None
+    return root
 
-def _no_nodes() -> Column:
-    return F.array().cast(_NODES)
 
+def _number(value: object) -> float | None:
+    """A JSON number within a double's range."""
+    if type(value) not in (int, float):
+        return None
+    try:
+        number = float(value)
+    except OverflowError:
+        return None
+    return number if math.isfinite(number) else None
 
-def _info(fields: Column) -> Column:
-    info = J.field(fields, "cost_info")
-    return F.when(J.is_object(info), J.fields(info))
 
+def _whole(value: object) -> int | None:
+    """A number without fraction within 64 bits; 1.0 counts, 1.5 and "1" do not."""
+    number = _number(value)
+    return int(number) if number is not None and number.is_integer() and -(2.0**63) <= number < 2.0**63 else None
 
-def _filled(value: Column) -> Column:
-    """A string that is not empty."""
-    return F.coalesce(value.startswith(J.MARK) & (value != J.MARK), F.lit(False))
 
+def _escaped(text: str) -> str:
+    return text.replace("\\", "\\\\").replace('"', '\\"').replace("`", "\\`")
 
-def _is_number(value: Column) -> Column:
-    return F.coalesce(value.rlike(r"^-?[0-9]"), F.lit(False))
 
+def _text(value: object) -> str:
+    """The string, escaped; empty for any other kind of value."""
+    return _escaped(value) if type(value) is str else ""
 
-def rows_examined(fields: Column) -> Column:
-    """``rows_examined_per_scan``, else ``rows``; 0 is a value, not a gap."""
-    first, second = (J.as_integer(J.field(fields, k)) for k in ("rows_examined_per_scan", "rows"))
-    return F.coalesce(first, second, F.lit(0).cast("long"))
 
+def _list(value: object) -> str:
+    """An array of strings, null as the empty one, joined; empty when any element is of another kind."""
+    if type(value) is list and all(e is None or type(e) is str for e in value):
+        return _escaped(",".join(e or "" for e in value))
+    return ""
 
-def rows_produced(fields: Column) -> Column:
-    return F.coalesce(J.as_integer(J.field(fields, "rows_produced_per_join")), F.lit(0).cast("long"))
 
+def _text_or_number(value: object, places: int) -> str:
+    """String as it is, number with fixed decimals, else empty."""
+    number = _number(value)
+    return _text(value) if number is None else f"{number:.{places}f}"
 
-def _shown_cost(fields: Column, inherited: Column) -> Column:
-    """Marked ``cost_info.query_cost``, else the flat number, else inherited."""
-
-    def choose(quoted: Column) -> Column:
-        flat = J.field(fields, "cost")
-        return F.when(_filled(quoted), quoted).when(_is_number(flat), flat).otherwise(inherited)
 
-    return J.let(J.field(_info(fields), "query_cost"), choose)
+def _shown_cost(get: dict, info: dict, inherited: object) -> object:
+    """``cost_info.query_cost``, else the flat number, else inherited."""
+    quoted, flat = info.get("query_cost"), get.get("cost")
+    if type(quoted) is str and quoted:
+        return quoted
+    return flat if type(flat) in (int, float) else inherited
 
 
-def _reported(fields: Column) -> Column:
-    filtered = J.field(fields, "filtered")
-    costs = J.let(_info(fields), lambda info: _filled(J.field(info, "read_cost")) | _filled(J.field(info, "eval_cost")))
-    # Cheapest tests first: most reported nodes name a table.
-    return (
-        F.when(_filled(J.field(fields, "table_name")), True)
-        .when(_filled(J.field(fields, "access_type")), True)
-        .when(_filled(filtered) | _is_number(filtered), True)
-        .when((rows_examined(fields) != 0) | (rows_produced(fields) != 0), True)
-        .otherwise(F.coalesce(costs, F.lit(False)))
-    )
-
+def rows_examined(get: dict) -> int:
+    """``rows_examined_per_scan``, else ``rows``; 0 is a value, not a gap."""
+    first = _whole(get.get("rows_examined_per_scan"))
+    return first if first is not None else _whole(get.get("rows")) or 0
 
-def _node(text: Column, path: Column, inherited: Column, mariadb: Column) -> Column:
-    def build(read: Column) -> Column:
-        return F.struct(path.alias("path"), _shown_cost(read, inherited).alias("cost"), read.alias("fields"))
 
-    # MariaDB repeats keys on purpose and keeps all; elsewhere the last wins.
-    parse = lambda raw: F.when(mariadb, raw).otherwise(J.last_wins(raw))
-    return J.let(J.let(J.fields(text), parse), build)
+def rows_produced(get: dict) -> int:
+    return _whole(get.get("rows_produced_per_join")) or 0
 
 
-def _children(node: Column, mariadb: Column) -> Column:
-    """Objects directly below a node, and objects in arrays directly below."""
+def _reported(get: dict, info: dict) -> bool:
+    """Whether any value makes the node a step."""
+    filled = lambda v: type(v) is str and v != ""
+    filtered = get.get("filtered")
+    if filled(get.get("table_name")) or filled(get.get("access_type")) or filled(filtered) or type(filtered) in (int, float):
+        return True
+    return bool(rows_examined(get) or rows_produced(get) or filled(info.get("read_cost")) or filled(info.get("eval_cost")))
 
-    def at(path: Column, text: Column) -> Column:
-        return _node(text, path, node["cost"], mariadb)
 
-    def below(pair: Column, index: Column) -> Column:
-        here = F.concat(node["path"], F.array(index))
-        value = pair["value"]
-        elements = F.transform(J.items(value), lambda e, i: F.when(J.is_object(e), at(F.concat(here, F.array(i)), e)))
-        return (
-            F.when(~value.rlike(_CAN_REPORT), _no_nodes())
-            .when(J.is_object(value), F.array(at(here, value)))
-            .when(J.is_array(value), F.filter(elements, lambda n: n.isNotNull()))
-            .otherwise(_no_nodes())
-        )
+def _first(node: object) -> dict:
+    """An object for lookups, which find the first of repeated keys; empty for all else."""
+    if isinstance(node, _Repeated):
+        return dict(reversed(node))
+    return node if isinstance(node, dict) else {}
 
-    return F.flatten(F.transform(F.map_entries(node["fields"]), below))
 
+def walk(root: dict | _Repeated) -> Iterator[tuple[object, dict, dict]]:
+    """Nodes to report in document pre-order: the cost each shows, its fields and its costs.
 
-def walk(document: Column, mariadb: Column) -> Column:
-    """Nodes to report, in document pre-order; null when it is not JSON."""
-    root = _node(J.mark_strings(document), F.array().cast("array<int>"), F.lit(J.MARK), mariadb)
-    start = F.struct(
-        F.filter(F.array(root), lambda n: n["fields"].isNotNull()).alias("frontier"), _no_nodes().alias("found")
+    Below a node are the objects that are its values, and those in its arrays.
+    """
+    stack: list[tuple[object, object]] = [(root, "")]
+    while stack:
+        node, inherited = stack.pop()
+        get = _first(node)
+        info = _first(get.get("cost_info"))
+        cost = _shown_cost(get, info, inherited)
+        if _reported(get, info):
+            yield cost, get, info
+        below: list[object] = []
+        for value in [v for _, v in node] if isinstance(node, _Repeated) else node.values():
+            if type(value) is list:
+                below += [e for e in value if isinstance(e, (dict, _Repeated))]
+            elif isinstance(value, (dict, _Repeated)):
+                below.append(value)
+        stack += [(child, cost) for child in reversed(below)]
+
+
+def _step(step_id: int, cost: object, get: dict, info: dict) -> tuple:
+    """The columns of STEP."""
+    text, costs = (lambda key: _text(get.get(key))), (lambda key: _text(info.get(key)))
+    return (
+        step_id,
+        _text_or_number(cost, 5),
+        text("table_name"),
+        text("access_type"),
+        rows_examined(get),
+        rows_produced(get),
+        _text_or_number(get.get("filtered"), 2),
+        costs("read_cost"),
+        costs("eval_cost"),
+        _list(get.get("possible_keys")),
+        text("key"),
+        _list(get.get("used_key_parts")),
+        _list(get.get("ref")),
+        costs("prefix_cost"),
+        costs("data_read_per_join"),
+        "true" if get.get("using_index") is True else "false",
+        text("key_length"),
     )
 
-    def descend(state: Column, _level: Column) -> Column:
-        frontier = state["frontier"]
-        shown = F.filter(frontier, lambda n: _reported(n["fields"]))
-        below = F.flatten(F.transform(frontier, lambda n: _children(n, mariadb)))
-        deeper = F.struct(below.alias("frontier"), F.concat(state["found"], shown).alias("found"))
-        return F.when(F.size(frontier) == 0, state).otherwise(deeper)
 
-    # No document is deeper than it has opening braces.
-    braces = F.length(document) - F.length(F.replace(document, F.lit("{"), F.lit("")))
-    levels = F.sequence(F.lit(0), F.coalesce(braces, F.lit(0)))
-    found = F.aggregate(levels, start, descend, lambda state: state["found"])
-    # A path sorts before its extensions, which is document pre-order.
-    order = lambda a, b: F.when(a["path"] < b["path"], -1).when(a["path"] > b["path"], 1).otherwise(0)
-    return F.array_sort(found, order)
+def _column(values: Sequence, kind: str) -> pa.Array:
+    """Values as Arrow's; half a surrogate pair becomes a question mark."""
+    try:
+        return pa.array(values, _ARROW[kind])
+    except UnicodeEncodeError:
+        return pa.array([v.encode("utf-8", "replace").decode() for v in values], _ARROW[kind])
 
 
-def _text(value: Column) -> Column:
-    return F.coalesce(escape_json_strings(J.as_text(value)), F.lit(""))
+def _documents(batch: pa.RecordBatch) -> Iterator[dict | _Repeated | None]:
+    for text, flavor in zip(batch.column("plan_json").to_pylist(), batch.column("flavor").to_pylist(), strict=True):
+        yield None if text is None else read_document(text, flavor == "mariadb")
 
 
-def _text_or_number(value: Column, places: int) -> Column:
-    """String as it is, number with fixed decimals, else empty."""
-    number = F.coalesce(fixed_decimals(J.as_number(value), places), F.lit(""))
-    return F.when(_filled(value), _text(value)).otherwise(number)
-
-
-def _list(value: Column) -> Column:
-    return F.coalesce(escape_json_strings(F.array_join(J.as_texts(value), ",")), F.lit(""))
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per reported node: the document's other columns and those of STEP."""
+    for batch in batches:
+        of, rows = [], []
+        for row, root in enumerate(_documents(batch)):
+            for step_id, node in enumerate(walk(root) if root is not None else ()):
+                of.append(row)
+                rows.append(_step(step_id, *node))
+        if not rows:
+            continue
+        kept = [c for c in batch.schema.names if c not in ("flavor", "plan_json")]
+        same = [batch.column(c).take(pa.array(of, pa.int64())) for c in kept]
+        shown = [_column(values, kind) for values, kind in zip(zip(*rows, strict=True), STEP.values(), strict=True)]
+        yield pa.RecordBatch.from_arrays([*same, *shown], names=[*kept, *STEP])
 
 
 def plan_steps(documents: DataFrame) -> DataFrame:
@@ -151,41 +249,21 @@ def plan_steps(documents: DataFrame) -> DataFrame:
     identifying columns, which are kept. A document that cannot be read whole,
     for any flavor also one with text after it, gives no steps.
     """
-    mariadb = F.coalesce(F.col("flavor") == "mariadb", F.lit(False))
     kept = [c for c in documents.columns if c not in ("flavor", "plan_json")]
-    # The outer form: the plain one tests the walk for emptiness in a filter of
-    # its own, which would walk every document again.
-    found = F.posexplode_outer(walk(F.col("plan_json"), mariadb)).alias("step_id", "_node")
-    nodes = documents.select(*kept, found).filter(F.col("step_id").isNotNull())
-    fields, info = F.col("_fields"), F.col("_info")
-    opened = nodes.select(*kept, "step_id", F.col("_node.cost").alias("_cost"), F.col("_node.fields").alias("_fields"))
-    opened = opened.withColumn("_info", _info(fields))
-    get = lambda key: J.field(fields, key)
-    columns = {
-        "query_cost": _text_or_number(F.col("_cost"), 5),
-        "table_name": _text(get("table_name")),
-        "access_type": _text(get("access_type")),
-        "rows_examined_per_scan": rows_examined(fields),
-        "rows_produced_per_join": rows_produced(fields),
-        "filtered": _text_or_number(get("filtered"), 2),
-        "read_cost": _text(J.field(info, "read_cost")),
-        "eval_cost": _text(J.field(info, "eval_cost")),
-        "possible_keys": _list(get("possible_keys")),
-        "key": _text(get("key")),
-        "used_key_parts": _list(get("used_key_parts")),
-        "ref": _list(get("ref")),
-        "prefix_cost": _text(J.field(info, "prefix_cost")),
-        "data_read_per_join": _text(J.field(info, "data_read_per_join")),
-        "using_index": F.coalesce(J.as_boolean(get("using_index")), F.lit(False)).cast("string"),
-        "key_length": _text(get("key_length")),
-    }
-    return opened.select(*kept, "step_id", *[c.alias(name) for name, c in columns.items()])
+    # Identifying columns go by number: their names may be those of a step's columns.
+    numbered = documents.select(*(F.col(c).alias(f"k{i}") for i, c in enumerate(kept)), F.col("flavor").cast("string"), F.col("plan_json").cast("string"))
+    types = [f"k{i} {numbered.schema[i].dataType.simpleString()}" for i in range(len(kept))]
+    found = numbered.mapInArrow(_steps, ", ".join([*types, *(f"{c} {kind}" for c, kind in STEP.items())]))
+    return found.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(kept)), *STEP)
 
 
 def plan_rejects(documents: DataFrame) -> DataFrame:
-    """The documents that ``plan_steps`` cannot read: a text, but not one JSON object within the parser's limits."""
-    read = J.fields(J.mark_strings(F.col("plan_json")))
-    return documents.filter(F.col("plan_json").isNotNull() & read.isNull())
+    """The documents that ``plan_steps`` cannot read: a text, but not one JSON object within the limits."""
+    def unread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([root is None for root in _documents(batch)], pa.bool_()))
+
+    return documents.filter(F.col("plan_json").isNotNull()).mapInArrow(unread, documents.schema)
 
 
 def plan_samples(

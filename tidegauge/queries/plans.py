@@ -27,8 +27,17 @@ _MARIADB_TABLE = """concat('"', CASE WHEN l_linenumber % 3 = 2 THEN 'block-nl-jo
   '"filtered":', cast(qty AS string), '.125,"using_index":"true","possible_keys":["PRIMARY"]}', CASE WHEN l_linenumber % 3 = 2 THEN '}' ELSE '' END)"""
 
 
+#: Documents of a reader's trouble, by order: cut short, followed by text, nested over the limit.
+_UNREAD = "l_orderkey % 50 IN (0, 10, 12)"
+
+
 def documents(t: Sample) -> DataFrame:
-    """One plan per order. An order has at most seven distinct line numbers."""
+    """One plan per order. An order has at most seven distinct line numbers.
+
+    By the order's key some are odd: unreadable ones (``_UNREAD``), 300 objects
+    and arrays around the plan (20), repeated keys outside MariaDB, of which the
+    last counts (30), costs of 1e20 (21) and 1e300 (31) in MariaDB.
+    """
     table = F.when(F.col("l_orderkey") % 2 == 1, F.expr(_MARIADB_TABLE)).otherwise(F.expr(_MYSQL_TABLE))
     lines = t.v_lines.select("l_orderkey", F.struct("l_linenumber", table.alias("text")).alias("line"))
     per_order = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
@@ -37,8 +46,19 @@ def documents(t: Sample) -> DataFrame:
     mysql = F.concat(
         F.lit('{"query_block":{"select_id":1,"cost_info":{"query_cost":"'), order, F.lit('.50"},"nested_loop":['), tables, F.lit("]}}")
     )
-    mariadb = F.concat(F.lit('{"query_block":{"select_id":1,"cost":'), order, F.lit('.5,'), tables, F.lit("}}"))
-    broken = F.when(F.col("l_orderkey") % 50 == 0, F.concat(mysql, F.lit("]"))).otherwise(mysql)
+    cost = F.when(F.col("l_orderkey") % 50 == 21, "1e20").when(F.col("l_orderkey") % 50 == 31, "1e300").otherwise(F.concat(order, F.lit(".5")))
+    mariadb = F.concat(F.lit('{"query_block":{"select_id":1,"cost":'), cost, F.lit(","), tables, F.lit("}}"))
+    within = lambda n: F.concat(F.lit('{"s":[' * n), mysql, F.lit("]}" * n))
+    twice = F.concat(F.lit('{"query_block":{"table":{"table_name":"earlier"}},'), F.substring(mysql, 2, 2**31 - 1))
+    rest = F.col("l_orderkey") % 50
+    broken = (
+        F.when(rest == 0, F.concat(mysql, F.lit("]")))
+        .when(rest == 10, F.concat(mysql, F.lit(" {}")))
+        .when(rest == 12, within(600))
+        .when(rest == 20, within(150))
+        .when(rest == 30, twice)
+        .otherwise(mysql)
+    )
     odd = F.col("l_orderkey") % 2 == 1
     return per_order.select(
         F.col("l_orderkey").alias("event_id"),
@@ -48,10 +68,12 @@ def documents(t: Sample) -> DataFrame:
     )
 
 
+# Its digits are written out, as the oracle prints other ones.
+_HUGE = f"{1e300:.5f}"
 _STEPS = {
-    "o_steps": r"""
+    "o_steps": rf"""
 SELECT l_orderkey AS event_id, l_orderkey % 97 AS thread_id, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1)::integer AS step_id,
-  CASE WHEN l_orderkey % 2 = 1 THEN CASE WHEN l_linenumber % 2 = 1 THEN printf('%.5f', partkey + 0.000125) ELSE printf('%.5f', l_orderkey + 0.5) END
+  CASE WHEN l_orderkey % 2 = 1 THEN CASE WHEN l_linenumber % 2 = 1 THEN printf('%.5f', partkey + 0.000125) ELSE CASE l_orderkey % 50 WHEN 21 THEN printf('%.5f', 1e20) WHEN 31 THEN '{_HUGE}' ELSE printf('%.5f', l_orderkey + 0.5) END END
     WHEN l_linenumber % 4 = 0 THEN concat(partkey, '.10') ELSE concat(l_orderkey, '.50') END AS query_cost,
   CASE WHEN l_orderkey % 2 = 1 THEN concat('t', partkey) ELSE concat('t', partkey, '\`x') END AS table_name,
   CASE WHEN l_orderkey % 2 = 1 OR l_linenumber % 2 = 0 THEN 'ALL' ELSE 'ref' END AS access_type,
@@ -68,7 +90,7 @@ SELECT l_orderkey AS event_id, l_orderkey % 97 AS thread_id, (row_number() OVER
   CASE WHEN l_orderkey % 2 = 1 THEN '' ELSE concat(qty, 'K') END AS data_read_per_join,
   CASE WHEN l_orderkey % 2 = 0 AND l_linenumber % 2 = 0 THEN 'true' ELSE 'false' END AS using_index,
   CASE WHEN l_orderkey % 2 = 1 THEN '' ELSE '4' END AS key_length
-FROM v_lines WHERE l_orderkey % 50 <> 0""",
+FROM v_lines WHERE NOT l_orderkey % 50 IN (0, 10, 12)""",
 }
 
 _ID = "event_id, thread_id, step_id"
@@ -100,9 +122,9 @@ def plan_duplicate_keys(t):
     return plan_steps(repeated).select("event_id", "thread_id", "step_id", "table_name")
 
 
-@query("plan_rejects", "SELECT DISTINCT l_orderkey AS event_id, 'mysql' AS flavor FROM v_lines WHERE l_orderkey % 50 = 0")
+@query("plan_rejects", f"SELECT DISTINCT l_orderkey AS event_id, 'mysql' AS flavor FROM v_lines WHERE {_UNREAD}")
 def rejects(t):
-    """Every fiftieth order's document is not closed."""
+    """Three in fifty orders' documents are cut short, followed by text or too deep."""
     return plan_rejects(documents(t)).select("event_id", "flavor")
 
 

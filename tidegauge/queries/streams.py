@@ -80,21 +80,24 @@ def stream_dedup_executions(t):
 
 def stream_prate(t):
     path = shared_dir(t.spark, "stream-prate")
-    # The counters are landed as files first, as their running sum needs a batch: four spans of
-    # time one after another, each a folder of any number of files and a micro-batch, so rates
-    # cross batches by the state.
-    first, last = t.v_counters.agg(F.min("ts"), F.max("ts")).first()
-    samples = t.spark.readStream.schema(t.v_counters.schema)
+    spark = t.spark
+    # The counters need a batch, as they are a running sum: landed whole, once, then handed on
+    # in four spans of time one after another, each a folder of any number of files and a
+    # micro-batch. The query stops after each span, so rates cross restarts by the state.
+    t.v_counters.write.parquet(f"{path}-landed")
+    landed = spark.read.schema(t.v_counters.schema).parquet(f"{path}-landed")
+    first, last = landed.agg(F.min("ts"), F.max("ts")).first()
+    samples = spark.readStream.schema(t.v_counters.schema)
     for k in range(4 if first else 0):
         begin, end = (first + (last - first) * i / 4 for i in (k, k + 1))
         within = (F.col("ts") >= F.lit(begin)) & ((F.col("ts") < F.lit(end)) | F.lit(k == 3))
-        t.v_counters.filter(within).write.parquet(f"{path}-landed/span={k}")
-        writer = jobs.stream_prate(
-            samples.parquet(f"{path}-landed/span=*"), batch_folders(path), f"{path}-state", f"{path}-checkpoint",
-            ("instance", "name"), "ts", "value", 21_600, ("event_id",),
-        )
-        jobs.run_available(writer)
-    return t.spark.read.parquet(path).select("instance", "name", "ts", "event_id", "value", "rate")
+        landed.filter(within).write.parquet(f"{path}-arrived/span={k}")
+        rates = jobs.stream_prate(samples.parquet(f"{path}-arrived/span=*"), ("instance", "name"), "ts", "value", 21_600, ("event_id",))
+        with jobs.rocksdb_state(spark):
+            jobs.run_available(rates.writeStream.format("parquet").option("path", path).option("checkpointLocation", f"{path}-checkpoint"))
+    if first is None:
+        return landed.select("instance", "name", "ts", "event_id", "value", F.lit(0.0).alias("rate"))
+    return spark.read.parquet(path).select("instance", "name", "ts", "event_id", "value", "rate")
 
 
 query("stream_prate")(stream_prate)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
 from tidegauge import settings
 from tidegauge.operators import metrics as M
@@ -80,52 +81,91 @@ def stream_dedup_executions(current: DataFrame, history: DataFrame, delay: str =
     return known.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["instance", "event_id", "thread_id"])
 
 
+class LastSamples(StatefulProcessor):
+    """Rates of one key's samples; the state is the last sample of each of its series.
+
+    A row is: the key's two columns, the series' others, ``_at``, time, ties, value, ``_copy``.
+    """
+
+    def __init__(self, series: int, ties: int, max_gap: int, state: str, names: Sequence[str], keep_ms: int | None) -> None:
+        self._series, self._ties, self._gap, self._schema, self._keep = series, ties, max_gap * 1_000_000, state, keep_ms
+        self._row = Row(*names)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._last = handle.getListState("last", self._schema, self._keep)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
+        n, end = self._series, self._series + 2 + self._ties
+        place = lambda r: (r[n], *((x is not None, x) for x in r[n + 2 : end]))  # noqa: E731 - nulls first
+        last = {tuple(r[:n]): tuple(r) for r in self._last.get()} if self._last.exists() else {}
+        for row in sorted((tuple(r)[2:] for r in rows), key=place):
+            before = last.get(row[:n])
+            if before is not None and place(row) <= place(before):
+                continue  # out of order
+            last[row[:n]] = row[:-1]
+            if row[-1]:
+                continue
+            us = None if before is None or row[n] - before[n] > self._gap else row[n] - before[n]
+            if us is None:
+                rate = 0.0
+            elif us > 0 and row[end] >= before[end]:
+                rate = float(row[end] - before[end]) / (us / 1e6)
+            else:
+                continue
+            yield self._row(key[0], *row[:n], *row[n + 1 : end + 1], rate)
+        self._last.put(list(last.values()))
+
+    def close(self) -> None:
+        pass
+
+
 def stream_prate(
     samples: DataFrame,
-    sink: Callable[[DataFrame, int], None],
-    state_path: str,
-    checkpoint: str,
     series: Sequence[str] = ("instance", "metric"),
     time: str = "collected_at",
     value: str = "value",
     max_gap: int = settings.DEFAULT_MAX_RATE_GAP_SECONDS,
     tie: Sequence[str] = (),
-) -> DataStreamWriter:
-    """Counter rates over a stream: the batch operator on every micro-batch.
-
-    State is the last sample of each series, a table in two slots: batch n
-    reads slot (n - 1) % 2 and writes slot n % 2, so a batch that is run again
-    finds its input unchanged. A sample not after its series' state, by time and
-    then ``tie``, is out of order and dropped. A series leaves the state when it
-    was silent for ``max_gap`` by the clock of its own first column (the
-    instance): its next sample is a first one anyway, and a host whose clock runs
-    ahead touches no other host. Everything stays on the executors in generated
-    code, and a hot series is cut by time as in the batch form.
+    shards: int = 2,
+    slots: int = 4,
+    keep_ms: int | None = None,
+) -> DataFrame:
+    """Counter rates over a stream: ``series``, ``time``, ``tie``, ``value`` and ``rate``.
+
+    The state store holds the last sample of each series and writes only those
+    that a micro-batch changed; silent ones cost nothing. A key is the series'
+    first column (the instance), a hash of the others and a slot of time: as in
+    the batch form a hot series is cut into time buckets, which take the slots in
+    turn, so a bucket meets in its slot no sample nearer than ``max_gap`` but its
+    own. The state of a series is at most ``slots`` samples.
+
+    A sample not after its key's last one, by time and then ``tie``, is out of
+    order and dropped. No clock of another host matters. ``keep_ms`` lets the
+    state of hosts that are gone run out by the wall clock; Spark then runs
+    micro-batches without end, so leave it out with ``availableNow``. The session
+    needs the RocksDB state store (``rocksdb_state``).
     """
-    columns = [*series, time, *tie, value]
-    place = lambda prefix="": F.struct(*[F.col(prefix + c).alias(c) for c in (time, *tie)])
-
-    def advance(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = batch.filter(F.col(value).isNotNull()).persist()
-        slot = lambda n: f"{state_path}/slot={n % 2}"
-        seed = None
-        if batch_id > 0:
-            seed = spark.read.schema(batch.select(*columns).schema).parquet(slot(batch_id - 1))
-            last = seed.select(*series, *[F.col(c).alias(f"_last_{c}") for c in (time, *tie)])
-            fresh = new.join(last, list(series), "left").filter(F.col(f"_last_{time}").isNull() | (place() > place("_last_")))
-            rows = fresh.select(*new.columns)
-        else:
-            rows = new
-        rows = rows.withColumn("_seed", F.lit(False))
-        if seed is not None:
-            rows = rows.unionByName(seed.withColumn("_seed", F.lit(True)), allowMissingColumns=True)
-        sink(M.rates(rows, series, time, value, max_gap, tie).filter(~F.col("_seed")).drop("_seed"), batch_id)
-        best = rows.groupBy(*series).agg(F.max(F.struct(time, *tie, value)).alias("_last"))
-        best = best.select(*series, *[F.col("_last")[c].alias(c) for c in (time, *tie, value)])
-        newest = best.groupBy(series[0]).agg(F.max(time).alias("_newest"))  # one row for each instance
-        live = F.col(time) >= F.col("_newest") - F.make_dt_interval(secs=F.lit(max_gap))
-        best.join(newest, series[0]).filter(live).select(*columns).write.mode("overwrite").parquet(slot(batch_id))
-        new.unpersist()
-
-    return samples.writeStream.option("checkpointLocation", checkpoint).foreachBatch(advance)
+    first, *rest = series
+    timed = M.time_buckets(samples.filter(F.col(value).isNotNull()), time, max_gap)
+    slot = F.struct(F.pmod(F.xxhash64(*series), F.lit(shards)), F.pmod("_bucket", F.lit(slots)))
+    columns = [*rest, "_at", time, *tie, value]
+    keyed = timed.select(F.col(first), slot.cast("string").alias("_slot"), *columns, "_copy")
+    types = {f.name: f.dataType.simpleString() for f in keyed.schema}
+    typed = lambda names: ", ".join(f"`{c}` {types[c]}" for c in names)
+    shown = [first, *rest, time, *tie, value]
+    processor = LastSamples(len(rest), len(tie), max_gap, typed(columns), [*shown, "rate"], keep_ms)
+    out = typed(shown) + ", rate double"
+    mode = "None" if keep_ms is None else "ProcessingTime"
+    return keyed.groupBy(first, "_slot").transformWithState(processor, out, "Append", mode)
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started within keep their state in RocksDB; the session's own setting comes back after."""
+    name, value = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
