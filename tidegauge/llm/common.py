@@ -28,6 +28,41 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Tables written on the way, below one new shared folder, which the operator removes after their last reader.
+
+    Within `with`, shuffle files go when the job that wrote them has ended: what it made is stored by then.
+    """
+
+    _SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self._spark, self._path, self._paths = spark, shared_folder(spark, name), {}
+
+    def __enter__(self) -> Scratch:
+        self._before = self._spark.conf.get(self._SETTING)
+        self._spark.conf.set(self._SETTING, "true")
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self._spark.conf.set(self._SETTING, self._before)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """df, written and reread."""
+        path = f"{self._path}/{len(self._paths)}"
+        df.write.parquet(path)
+        out = self._spark.read.schema(df.schema).parquet(path)
+        self._paths[path] = out
+        return out
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Remove tables that nothing reads any more."""
+        for path, df in self._paths.items():
+            if any(df is f for f in frames):
+                place = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows in order, in slices of about `most` bytes of `column`; one longer value makes its own slice."""
     for batch in batches:

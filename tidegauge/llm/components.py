@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import Scratch, checkpointed
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -23,18 +23,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v")))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """node, root: every node of edges (u, v) with the smallest node that it reaches.
 
     Self-links and nulls are left out; repeated edges count once; no edges give
     no rows. The minimum of a hub's neighbours is aggregated before it is
     shuffled and joined back, so no task holds a hub's neighbours. Each round is
-    written to the shared folder; rounds end when the edges stay as they are.
+    written to the shared folder, and removed after the next one with `scratch`;
+    rounds end when the edges stay as they are.
     """
-    state = checkpointed(edges.select("u", "v").filter("u <> v").distinct())
+    keep, drop = (scratch.keep, scratch.drop) if scratch else (checkpointed, lambda _: None)
+    state = keep(edges.select("u", "v").filter("u <> v").distinct())
     seen = None
     while True:
-        state = checkpointed(_small_star(_large_star(state).distinct()).filter("u <> v").distinct())
+        earlier = state
+        state = keep(_small_star(_large_star(state).distinct()).filter("u <> v").distinct())
+        drop(earlier)
         mark = state.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))"), F.expr("sum(cast(v as decimal(20, 0)))")).first()
         if mark == seen:
             break
