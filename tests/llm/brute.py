@@ -2,6 +2,7 @@
 
 import re
 from collections import defaultdict
+from html.parser import HTMLParser
 from itertools import combinations
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -80,3 +81,60 @@ def personal_data(text):
             if good:
                 out.append((m.start(), rank, m.end(), kind))
     return sorted(out)
+
+
+class Article(HTMLParser):
+    """Blocks of a page's article elements, but for chrome, widgets and what class or id calls noise, by the library's parser."""
+
+    LEFT_OUT = set("head nav aside footer form dialog menu script style noscript template textarea title svg iframe object select button math canvas".split())
+    INLINE = set("a abbr b code em font i mark q s small span strong sub sup time u".split())
+    EMPTY = set("area base br col embed hr img input link meta param source track wbr".split())
+    NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|banner|promo|sponsor(?:ed)?|sidebar|menu|nav|comments?|cookies?|notice|newsletter|share|social|related|footer|header|popup)(?:$|[\s_-])", re.I)
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.blocks, self.text = [], [], ""
+
+    def shown(self):
+        names = [n for n, _ in self.open]
+        if "article" not in names or any(out for _, out in self.open):
+            return False
+        inside = names[names.index("article") :]
+        return "header" not in inside or any(re.fullmatch("h[1-6]", n) for n in inside)
+
+    def flush(self):
+        text = " ".join(self.text.split())
+        if text:
+            self.blocks.append(text)
+        self.text = ""
+
+    def handle_starttag(self, name, attributes):
+        if name in self.EMPTY:
+            self.text += " " if name == "br" else ""
+            return
+        hints = " ".join(v or "" for k, v in attributes if k in ("class", "id", "role", "aria-label"))
+        out = name in self.LEFT_OUT or bool(self.NOISE.search(hints)) and name not in ("html", "body")
+        if name not in self.INLINE or out:
+            self.flush()
+            if self.open and self.open[-1][0] == "p" and not out:
+                self.open.pop()
+        if name not in self.INLINE or out:
+            self.open.append((name, out))
+
+    def handle_endtag(self, name):
+        if name in (n for n, _ in self.open):
+            self.flush()
+            while self.open.pop()[0] != name:
+                pass
+
+    def handle_data(self, data):
+        if self.shown():
+            self.text += data
+
+
+def main_text(page):
+    parser = Article()
+    parser.feed(page or "")
+    parser.close()
+    parser.flush()
+    return "\n\n".join(parser.blocks)

@@ -216,19 +216,32 @@ PAGES = {
     "<!-- <article>no</article> --><main><p>1 &lt; 2 &amp;&amp; 3 < 4</p></main>": "1 < 2 && 3 < 4",
     "<p>plain<style>p{}</style> page": "plain page",
     "<article><p>unclosed": "unclosed",
+    "<article><p>A one</p><svg class=i /><p>B two</p></article>": "A one\n\nB two",
+    "<article><p>a <button class='x>y'>no</button> b</p><select><option>no</select><svg><title>no</title><svg/><text>no</text></svg><p>c</article>": "a b\n\nc",
+    "<article><p>a</p><button>b<p>c</p><canvas><p>d</p><math/><iframe src=x><object><p>e</p></article>": "a\n\nb\n\nc\n\nd\n\ne",
+    "<article><p>a</p><button>b<p>c</p><button>no</button><p>d</p></article></button>": "a\n\nb\n\nc\n\nd",
+    "<article><p>" + "<div>" * 3_000 + "deep" + "</div>" * 3_000 + "</article>": "deep",
     "": "",
     None: "",
 }
 
 
 def test_pages(spark):
-    rows = [(i, f"http://h{i}.example/x", h, "y") for i, h in enumerate(PAGES)] + [(None, None, "<p>z", "y"), (7, None, "<p>" + "long " * 50_000, "y")]
+    rows = [(i, f"http://h{i}.example/x", h, "y") for i, h in enumerate(PAGES)] + [(None, None, "<p>z", "y"), (70, None, "<p>" + "long " * 50_000, "y")]
     got = html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
-    assert {r["page_id"]: r["text"] for r in got} == {**dict(enumerate(PAGES.values())), None: "z", 7: ("long " * 50_000).strip()}
+    assert {r["page_id"]: r["text"] for r in got} == {**dict(enumerate(PAGES.values())), None: "z", 70: ("long " * 50_000).strip()}
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert html_text.extract_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_pages_like_a_plain_parser_reads_them(spark, sf_dir):
+    """All pages of the tables hold an article, so a plain walk over the markup gives their text."""
+    pages = spark.read.parquet(f"{sf_dir.rsplit('/', 1)[0]}/sf0.01/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in html_text.extract_text(pages).collect()}
+    want = {r["page_id"]: brute.main_text(r["html"]) for r in pages.collect()}
+    assert got == want
+
+
 def test_what_a_host_repeats_is_dropped_from_unmarked_pages(spark):
     draw = random.Random(1)
     words = lambda n: " ".join(f"u{draw.randrange(10**6)}" for _ in range(n))

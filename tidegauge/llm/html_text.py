@@ -40,7 +40,10 @@ GROUP_BYTES = 4 << 20
 BROADCAST_HOSTS = 200_000
 
 OTHER, OPEN, ARTICLE, TOP = 0, 1, 2, 3  # TOP: the header of an article, of which headings are its text
-_RAW = "script|style|noscript|template|textarea|title|svg|iframe|object|select|button|math|canvas"
+_RAW = "script|style|noscript|template|textarea|title"
+#: Left out with all that they hold, without ending the block around them, if they are closed.
+_WIDGETS = frozenset("svg iframe object select button math canvas".split())
+_WIDGET = re.compile(rf"""<(/?)({"|".join(sorted(_WIDGETS))})\b((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.I)
 _TAG = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*+>.*?(?:</\1\s*+>|\Z)|"
     r"""<(/?)([a-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[a-z/!?][^>]*+(?:>|\Z)""",
@@ -73,10 +76,33 @@ def _zone(name: str, attributes: str, above: int) -> int:
     return ARTICLE if name in _BODY or above == ARTICLE else OPEN
 
 
+def closed_widgets(page: str) -> dict[int, int]:
+    """Where each widget with an end tag of its own starts and ends; others hold nothing.
+
+    Drawings, formulas and objects nest; of the others a second one leaves the first without an end.
+    """
+    found: dict[int, int] = {}
+    begun: dict[str, list[int]] = {}
+    for m in _WIDGET.finditer(page):
+        own = begun.setdefault(m[2].lower(), [])
+        if not m[1] and not m[3].endswith("/"):
+            if m[2].lower() not in ("svg", "math", "object"):
+                own.clear()
+            own.append(m.start())
+        elif m[1] and own:
+            found[own.pop()] = m.end()
+    return found
+
+
 def blocks(page: str) -> list[tuple[int, str]]:
-    """(zone, text) of a page's non-empty blocks, in order; white space is one space and references are decoded."""
+    """(zone, text) of a page's non-empty blocks, in order; white space is one space and references are decoded.
+
+    A widget (button, select, drawing and the like) that closes itself, or that nothing closes, holds no text.
+    """
     out: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = []
+    places: dict[str, list[int]] = {}  # where in the stack each name is
+    widgets = closed_widgets(page)
     parts: list[str] = []
     zone, at = OPEN, 0
 
@@ -86,28 +112,39 @@ def blocks(page: str) -> list[tuple[int, str]]:
             out.append((zone, text))
         parts.clear()
 
+    def close(place: int) -> int:
+        """The zone around the element at a place of the stack, which ends with all in it."""
+        around = stack[place][1]
+        while len(stack) > place:
+            places[stack.pop()[0]].pop()
+        return around
+
     for m in _TAG.finditer(page):
-        if m.start() > at:
-            parts.append(page[at : m.start()])
+        if m.start() < at:
+            continue  # within a widget
+        parts.append(page[at : m.start()])
         at = m.end()
         name = m[3].lower() if m[3] else ""
+        if name in _WIDGETS:
+            at = widgets.get(m.start(), at)
+            continue
         if name == "br":
             parts.append(" ")
         if not name or name in _INLINE:
             hidden = name and not m[2] and name not in _VOID and "=" in m[4] and _zone(name, m[4], zone) != zone
-            if not hidden and not (m[2] and any(n == name for n, _ in stack[-1:])):
+            if not hidden and not (m[2] and stack and stack[-1][0] == name):
                 continue
         flush()
         if m[2]:
-            places = [i for i, (n, _) in enumerate(stack) if n == name]
-            if places and (name not in ("p", "li") or places[-1] == len(stack) - 1):
-                zone = stack[places[-1]][1]
-                del stack[places[-1] :]
+            open_ = places.get(name)
+            if open_ and (name not in ("p", "li") or open_[-1] == len(stack) - 1):
+                zone = close(open_[-1])
         elif name and name not in _VOID and not m[4].endswith("/"):
             if name in ("p", "li") and stack and stack[-1][0] == name:
-                zone = stack.pop()[1]  # an open paragraph or item ends where the next begins
+                zone = close(len(stack) - 1)  # an open paragraph or item ends where the next begins
             elif name not in ("p",) and stack and stack[-1][0] == "p" and name not in _INLINE:
-                zone = stack.pop()[1]
+                zone = close(len(stack) - 1)
+            places.setdefault(name, []).append(len(stack))
             stack.append((name, zone))
             zone = _zone(name, m[4], zone)
     parts.append(page[at:])
