@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
 from collections.abc import Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -76,8 +79,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
             stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
-    # A worker goes on to other tasks: what this one held for a while goes back to the system.
+    give_back()
+
+
+def give_back() -> None:
+    """A worker goes on to other tasks: what this one held for a while goes back to the system."""
     pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with suppress(AttributeError):  # a C library without it
+            ctypes.CDLL(None).malloc_trim(0)
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:

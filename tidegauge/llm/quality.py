@@ -18,16 +18,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import checkpointed, slices, texts_of
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, n_lines int, bad_lines int"
-#: Bounds of the sample that the field is fitted on: rows, and per row chains of so many lines.
+#: Bounds of the sample that the field is fitted on: labelled rows, and lines of all of them; a row takes part with all its lines or not at all.
 SAMPLE_ROWS = 6_000
-SAMPLE_CHAINS = 4
-CHAIN_LINES = 64
+SAMPLE_LINES = 250_000
 THRESHOLD = 0.3
 
 _CLASSES = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t\r", ".,;:?'\"-", "!", "|", "#$%&*+/<=>@\\^_`{}~[]()")
@@ -189,29 +188,39 @@ def _held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chains: int = SAMPLE_CHAINS) -> Field | None:
+def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, lines: int = SAMPLE_LINES) -> Field | None:
     """Fit the field on at most `rows` labelled texts that aren't held out, in the order of a hash of doc_id.
 
-    A text gives at most `chains` chains of CHAIN_LINES lines, evenly spread, so
-    what comes to the driver is bounded. Lines carry their text's label.
+    Texts are whole: of those rows, the first that have `lines` lines in all take
+    part, without any that is longer than a tenth of that, so what comes to the
+    driver is bounded. Lines carry their text's label.
     """
     known = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
     sample = known.filter(~_held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    count = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    found = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    # Of at most `rows` rows.
+    sized = checkpointed(found.select("doc_id", "text", "quality", F.coalesce(count, F.lit(1)).alias("lines")).filter(F.col("lines") <= lines // 10))
+    before = F.sum("lines").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    chosen = sized.select("doc_id", "lines").select("doc_id", before.alias("until")).filter(F.col("until") <= lines).select("doc_id")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             features, sizes, at = line_features(texts_of(batch))
-            out: list[tuple] = []
-            for row, label in enumerate(batch.column("quality").to_pylist()):
-                starts = range(at[row], at[row + 1], CHAIN_LINES)
-                for k in sorted({len(starts) * i // chains for i in range(chains)}):
-                    part = slice(starts[k], min(starts[k] + CHAIN_LINES, at[row + 1]))
-                    out.append((label, features[part].astype("<f4").tobytes(), sizes[part].astype("<i8").tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["label", "features", "sizes"])
-
-    picked = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
-    found = picked.select("doc_id", "text", "quality").orderBy("doc_id").select("text", "quality").mapInArrow(describe, "label int, features binary, sizes binary").collect()
-    parts = [(r["label"], np.frombuffer(r["sizes"], "<i8"), np.frombuffer(r["features"], "<f4").astype(float)) for r in found]
+            parts = [slice(a, b) for a, b in zip(at[:-1], at[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("quality").cast(pa.int32()),
+                    pa.array([features[p].astype("<f4").tobytes() for p in parts], pa.binary()),
+                    pa.array([sizes[p].astype("<i8").tobytes() for p in parts], pa.binary()),
+                ],
+                names=["doc_id", "label", "features", "sizes"],
+            )
+
+    picked = sized.join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", "text", "quality")
+    rows_ = picked.mapInArrow(describe, "doc_id long, label int, features binary, sizes binary").orderBy("doc_id").collect()
+    parts = [(r["label"], np.frombuffer(r["sizes"], "<i8"), np.frombuffer(r["features"], "<f4").astype(float)) for r in rows_]
     return fit([(label, x.reshape(len(sizes), -1), sizes) for label, sizes, x in parts])
 
 
