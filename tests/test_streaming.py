@@ -136,3 +136,38 @@ def test_registered_rates_take_four_micro_batches(spark, sf_dir, monkeypatch):
     assert sorted(r["span"] for r in arrived.select("span").distinct().collect()) == [0, 1, 2, 3]
     commits = spark.read.text(f"{paths[0]}-checkpoint/commits").select(F.input_file_name().alias("file")).distinct().collect()
     assert sorted(r["file"].rsplit("/", 1)[1] for r in commits) == ["0", "1", "2", "3"]
+
+
+def test_a_replayed_micro_batch_adds_nothing(spark, tmp_path):
+    """The sink's commit log outlives a lost query commit; what a batch left without its commit is not read."""
+    from tidegauge.sources import sinks
+
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "event_type string, instance string, collected_at timestamp_ntz, payload string"
+    rows = lambda n: [("AB"[i % 2], f"h{i}", t0, f'{{"id":{n * 10 + i},"x.y":"{i}"}}') for i in range(4)]
+    arrived, path = str(tmp_path / "in"), str(tmp_path / "out")
+    run = lambda checkpoint: jobs.run_available(
+        sinks.emit_stream(spark.readStream.schema(schema).parquet(arrived), path, str(tmp_path / checkpoint))
+    )
+    for n in range(2):
+        spark.createDataFrame(rows(n), schema).coalesce(1).write.mode("append").parquet(arrived)
+        run("cp")
+    shown = lambda: sorted(r["payload"] for r in sinks.emitted(spark, path).collect())
+    once = sorted(r[3] for n in range(2) for r in rows(n))
+    assert shown() == once
+    # The query's checkpoint is lost: the same input comes again as batch 0, which is committed.
+    run("another")
+    assert shown() == once
+    # A driver died while it wrote batch 2: its samples are there, its commit is not.
+    spark.createDataFrame(rows(9), schema).write.partitionBy("event_type").parquet(f"{path}/data/batch=2")
+    assert shown() == once
+    spark.createDataFrame(rows(2), schema).coalesce(1).write.mode("append").parquet(arrived)
+    run("cp")
+    assert shown() == sorted([*once, *(r[3] for r in rows(2))])
+    counts = {(r["batch"], r["event_type"]): r["samples"] for r in sinks.committed(spark, path).collect()}
+    assert counts == {(n, e): 2 for n in range(3) for e in "AB"}
+    from pyspark.sql import types as T
+
+    shapes = {"A": T.StructType([T.StructField("id", T.LongType()), T.StructField("x.y", T.StringType())]), "B": T.StructType([T.StructField("id", T.LongType())])}
+    got = {(r["event_type"], r["id"], r["x_y"]) for r in sinks.read_payloads(sinks.emitted(spark, path), shapes).collect()}
+    assert got == {("AB"[i % 2], n * 10 + i, None if i % 2 else str(i)) for n in range(3) for i in range(4)}

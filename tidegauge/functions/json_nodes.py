@@ -1,7 +1,6 @@
-"""Reading JSON of any shape with the built-in parser.
+"""Reading the fields of JSON objects with the built-in parser, kinds told apart.
 
-``from_json`` to ``map<string,string>`` keeps repeated keys and their order,
-and gives nested values back as JSON text. Two things are lost in such text:
+``from_json`` to texts gives nested values back as JSON text. Two things are lost in such text:
 whether a value was a string, and whether a string that looks like an object
 was one. So every string literal of the document is marked first; a value that
 starts with the mark was a string, anything else is a number, boolean, null,
@@ -40,52 +39,20 @@ def mark_strings(document: Column) -> Column:
     return let(whole, lambda read: F.when((read["end"] == 1) & is_object(read["doc"]), read["doc"]))
 
 
-def fields(node: Column) -> Column:
-    """The marked object as a map in document order; repeated keys are kept and
-    a lookup finds the first of them."""
-    return F.from_json(node, "map<string,string>", _STRICT)
-
-
-def items(array: Column) -> Column:
-    """Elements of a marked array, as text."""
-    return F.from_json(array, "array<string>", _STRICT)
+def fields(node: Column, shape: str) -> Column:
+    """The named fields of a marked object as texts; of repeated keys the last one counts."""
+    return F.from_json(node, shape, _STRICT)
 
 
 def is_object(value: Column) -> Column:
     return value.startswith("{")
 
 
-def is_array(value: Column) -> Column:
-    return value.startswith("[")
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def last_wins(node: Column) -> Column:
-    """The map without repeated keys: the last one of each stays.
-
-    Entries are sorted by key and place, so the last of each key is found beside
-    its successor, and then put back in order.
-    """
-    placed = F.transform(F.map_entries(node), lambda e, i: F.struct(e["key"].alias("key"), i.alias("at"), e["value"].alias("value")))
-
-    def kept(entries: Column) -> Column:
-        last = F.filter(entries, lambda e, i: F.coalesce(F.get(entries, i + 1)["key"] != e["key"], F.lit(True)))
-        back = F.array_sort(F.transform(last, lambda e: F.struct(e["at"].alias("at"), e["key"].alias("key"), e["value"].alias("value"))))
-        return F.map_from_entries(F.transform(back, lambda e: F.struct(e["key"], e["value"])))
-
-    repeats = F.size(F.array_distinct(F.map_keys(node))) < F.size(node)
-    return F.when(repeats, let(F.array_sort(placed), kept)).otherwise(node)
-
-
-def field(node: Column, key: str) -> Column:
-    """Marked text of a field; null when absent."""
-    return node[MARK + key]
-
-
 def as_text(value: Column) -> Column:
     """The string; null for any other kind of value."""
     return F.when(value.startswith(MARK), F.substring(value, 2, 2**31 - 1))
@@ -101,14 +68,3 @@ def as_integer(value: Column) -> Column:
     number = as_number(value)
     # The cast to long cuts the fraction off, and is null out of range.
     return let(number.try_cast("long"), lambda cut: F.when(cut.cast("double") == number, cut))
-
-
-def as_boolean(value: Column) -> Column:
-    return F.when(value == "true", True).when(value == "false", False)
-
-
-def as_texts(value: Column) -> Column:
-    """An array of strings; null when any element is of another kind."""
-    elements = F.when(is_array(value), items(value))
-    plain = F.forall(elements, lambda e: e.isNull() | e.startswith(MARK))
-    return F.when(plain, F.transform(elements, lambda e: F.coalesce(as_text(e), F.lit(""))))

@@ -111,11 +111,10 @@ _FIELDS["MysqlSample"] = "\n".join(
     + ["event_type event+!", "port string+"]
 )
 
-SCHEMA = "event_type string, field string, kind string, required boolean, non_empty boolean"
 
 
 def contract_rows() -> list[tuple[str, str, str, bool, bool]]:
-    """One row per event type and field; about 130 rows."""
+    """(event type, field, kind, required, not empty) for each field; about 130 rows."""
     rows = []
     for event, text in _FIELDS.items():
         for line in text.strip().splitlines():
@@ -124,16 +123,42 @@ def contract_rows() -> list[tuple[str, str, str, bool, bool]]:
     return rows
 
 
-def _conforms(value: Column, kind: Column, event: Column) -> Column:
-    text, number = J.as_text(value), J.as_number(value)
-    return (
-        F.when(kind == "number", number.isNotNull())
-        .when(kind == "integer", J.as_integer(value).isNotNull())
-        .when(kind == "count", F.coalesce(J.as_integer(value) >= 0, F.lit(False)))
-        .when(kind == "event", F.coalesce(text == event, F.lit(False)))
-        .when(kind == "date-time", F.coalesce(text.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d"), F.lit(False)))
-        .otherwise(text.isNotNull())
-    )
+def _conforms(value: Column, kind: str, event: str) -> Column:
+    text = J.as_text(value)
+    if kind == "number":
+        return J.as_number(value).isNotNull()
+    if kind == "integer":
+        return J.as_integer(value).isNotNull()
+    if kind == "count":
+        return F.coalesce(J.as_integer(value) >= 0, F.lit(False))
+    if kind == "event":
+        return F.coalesce(text == event, F.lit(False))
+    if kind == "date-time":
+        return F.coalesce(text.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d"), F.lit(False))
+    return text.isNotNull()
+
+
+def _report(payloads: DataFrame, event: str, fields: list[tuple[str, str, bool, bool]]) -> DataFrame:
+    """The counts of one event type: one row of numbers, turned on its side."""
+    shape = ", ".join(f"`{J.MARK}{name}` string" for name, *_ in fields)
+    own = payloads.filter(F.col("event_type") == event)
+    read = own.select("flavor", J.fields(J.mark_strings(F.col("payload")), f"struct<{shape.replace('` ', '`: ')}>").alias("_read"))
+    count = lambda c: F.count(F.when(c, 1))
+    sums = [F.count(F.lit(1)).alias("samples")]
+    rows = []
+    for i, (name, kind, required, non_empty) in enumerate(fields):
+        value = F.col("_read").getField(J.MARK + name)
+        there = value.isNotNull()
+        excused = F.coalesce(F.col("flavor") == "mariadb", F.lit(False)) if name == "avg_cpu_time_ms" else F.lit(False)
+        asked = {
+            "missing": count(~there & ~excused) if required else None,
+            "wrong_type": count(there & ~_conforms(value, kind, event)),
+            "empty": count(value == J.MARK) if non_empty else None,
+        }
+        sums += [c.alias(f"{key}{i}") for key, c in asked.items() if c is not None]
+        shown = [(F.lit(0).cast("long") if c is None else F.col(f"{key}{i}")).alias(key) for key, c in asked.items()]
+        rows.append(F.struct(F.lit(event).alias("event_type"), F.lit(name).alias("field"), F.lit(kind).alias("kind"), F.lit(required).alias("required"), F.col("samples"), *shown))
+    return read.agg(*sums).filter("samples > 0").select(F.inline(F.array(*rows)))
 
 
 def sample_contract(payloads: DataFrame) -> DataFrame:
@@ -142,23 +167,14 @@ def sample_contract(payloads: DataFrame) -> DataFrame:
 
     ``payloads`` has ``event_type`` and the JSON text ``payload``, and may have
     ``flavor``: MariaDB reports no CPU time, so its slow samples may miss it.
-    The contract is a constant of about 130 rows; every sample is read once and
-    reduced before the only shuffle.
+    Every sample is read once, within its event type, and counted in one
+    aggregation that keeps a few numbers for each field; a sample that is no JSON
+    object misses everything.
     """
-    names = [field.split()[0] for field in SCHEMA.split(", ")]
-    rows = J.constant_rows([dict(zip(names, row)) for row in contract_rows()], SCHEMA)
-    contract = payloads.sparkSession.range(1).select(F.inline(rows))
     flavor = F.col("flavor") if "flavor" in payloads.columns else F.lit(None).cast("string")
-    parsed = payloads.select("event_type", flavor.alias("flavor"), J.fields(J.mark_strings(F.col("payload"))).alias("fields"))
-    checked = parsed.join(F.broadcast(contract), "event_type")
-    value = F.try_element_at("fields", F.concat(F.lit(J.MARK), F.col("field")))
-    present = checked.withColumn("value", value)
-    count = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
-    there = F.col("value").isNotNull()
-    excused = (F.col("field") == "avg_cpu_time_ms") & F.coalesce(F.col("flavor") == "mariadb", F.lit(False))
-    return present.groupBy("event_type", "field", "kind", "required").agg(
-        F.count(F.lit(1)).alias("samples"),
-        count(F.col("required") & ~there & ~excused).alias("missing"),
-        count(there & ~_conforms(F.col("value"), F.col("kind"), F.col("event_type"))).alias("wrong_type"),
-        count(F.col("non_empty") & there & (F.col("value") == J.MARK)).alias("empty"),
-    )
+    given = payloads.select("event_type", flavor.alias("flavor"), "payload")
+    out = None
+    for event in _FIELDS:
+        part = _report(given, event, [row[1:] for row in contract_rows() if row[0] == event])
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidegauge.functions import scalars as S
 from tidegauge.functions.typed import typed_value
@@ -29,6 +30,7 @@ from tidegauge.queries.registry import query
 from tidegauge.session import shared_dir
 from tidegauge.sources import sinks
 from tidegauge.sources.relations import scan_relation
+from tidegauge.streaming.jobs import run_available
 
 # --- backups ------------------------------------------------------------
 
@@ -290,22 +292,41 @@ def record_to_metrics(t):
     return SM.record_to_metrics(Q.slow(t), _SLOW_SOURCES, ("instance", "query_id", "database_name"))
 
 
-@query(
-    "publish_batches",
-    """SELECT instance, event_type, event_id, (row_number() OVER (PARTITION BY instance, event_type ORDER BY md5(event_id::varchar)) - 1) // 601
-      AS batch_id FROM (SELECT instance, event_id, CASE WHEN digest IS NULL THEN 'MysqlWaitEventsSample'
-        ELSE 'MysqlIndividualQueriesSample' END AS event_type FROM v_st_history WHERE sql_text IS NOT NULL)""",
-)
-def publish_batches(t):
-    kind = F.when(F.col("digest").isNull(), SM.WAIT_EVENTS_SAMPLE).otherwise(SM.INDIVIDUAL_QUERIES_SAMPLE)
-    samples = t.v_st_history.withColumn("event_type", kind)
-    batched = SM.publish_batches(samples, ("event_id",), model=F.col("sql_text"))
-    return batched.select("instance", "event_type", "event_id", "batch_id")
+# What identifies a sample of each event type that is not an execution's.
+_SAMPLE_KEYS = {
+    SM.SLOW_QUERIES_SAMPLE: ("query_id", "database_name"),
+    SM.BLOCKING_SESSION_SAMPLE: ("blocked_txn_id", "blocking_txn_id", "blocked_pid", "blocking_pid"),
+    SM.SERVER_SAMPLE: ("instance",),
+    SM.QUERY_EXECUTION_SAMPLE: ("event_id", "thread_id", "step_id"),
+}
 
 
-def payloads(t):
-    """All event types of the statement relations as JSON payloads."""
-    sources = {
+def _publish_sql() -> str:
+    history = f"""SELECT instance, collected_at, CASE WHEN digest IS NULL THEN '{SM.WAIT_EVENTS_SAMPLE}' ELSE '{SM.INDIVIDUAL_QUERIES_SAMPLE}' END AS event_type,
+      concat_ws('|', event_id::varchar, thread_id::varchar) AS sample_key FROM v_st_history WHERE sql_text IS NOT NULL"""
+    others = [
+        f"SELECT instance, collected_at, '{event}', concat_ws('|', {', '.join(f'{k}::varchar' for k in keys)}) FROM {_EMITTED[event]}"
+        for event, keys in _SAMPLE_KEYS.items()
+    ]
+    return f"""SELECT instance, event_type, sample_key, (row_number() OVER (PARTITION BY instance, collected_at, event_type ORDER BY md5(sample_key)) - 1) // 601
+      AS batch_id FROM ({" UNION ALL ".join([history, *others])})"""
+
+
+def publish_batches(t):
+    """All six event types: those of executions from the whole history, the others as they are emitted."""
+    kind = F.when(F.col("digest").isNull(), SM.WAIT_EVENTS_SAMPLE).otherwise(SM.INDIVIDUAL_QUERIES_SAMPLE)
+    key = lambda names: F.concat_ws("|", *[F.col(n).cast("string") for n in names]).alias("sample_key")
+    parts = t.v_st_history.select("instance", "collected_at", kind.alias("event_type"), key(("event_id", "thread_id")), F.col("sql_text").alias("model"))
+    own = samples(t)
+    for event, names in _SAMPLE_KEYS.items():
+        parts = parts.union(own[event].select("instance", "collected_at", F.lit(event), key(names), F.lit("")))
+    batched = SM.publish_batches(parts, ("sample_key",), model=F.col("model"))
+    return batched.select("instance", "event_type", "sample_key", "batch_id")
+
+
+def samples(t):
+    """The samples of all six event types, without host and port."""
+    return {
         SM.SLOW_QUERIES_SAMPLE: Q.slow_queries(t),
         SM.INDIVIDUAL_QUERIES_SAMPLE: Q.individual_queries(t),
         SM.WAIT_EVENTS_SAMPLE: Q.wait_events(t),
@@ -313,22 +334,34 @@ def payloads(t):
         SM.SERVER_SAMPLE: M.under_metric_names(MQ.server_sample(t)),
         SM.QUERY_EXECUTION_SAMPLE: PQ.plan_samples(t),
     }
+
+
+def payloads(t):
+    """All event types of the statement relations as JSON payloads."""
     out = None
-    for event, df in sources.items():
+    for event, df in samples(t).items():
         part = sinks.payload(SM.split_instance(df), event)
         out = part if out is None else out.unionByName(part)
     return out
 
 
-# event type, oracle relation, fields of its contract that the relation has
+def shapes(t):
+    """The fields of each event type's payload."""
+    out = {}
+    for event, df in samples(t).items():
+        given = SM.split_instance(df).schema
+        out[event] = StructType([f for f in given if f.name not in ("instance", "collected_at")])
+    return out
+
+
+# event type, oracle relation
 _EMITTED = {
     SM.SLOW_QUERIES_SAMPLE: "(SELECT * FROM o_slow WHERE query_id IS NOT NULL)",
     SM.INDIVIDUAL_QUERIES_SAMPLE: "(SELECT * EXCLUDE (query_sample_text) FROM o_individual)",
     SM.WAIT_EVENTS_SAMPLE: "o_wait_events",
     SM.BLOCKING_SESSION_SAMPLE: "o_blocking",
-    SM.SERVER_SAMPLE: f"(SELECT instance, collected_at, NULL::varchar AS query_id, NULL::varchar AS database_name, {sample_columns()} "
-    "FROM o_sample GROUP BY instance, collected_at)",
-    SM.QUERY_EXECUTION_SAMPLE: "(SELECT *, NULL::varchar AS query_id, NULL::varchar AS database_name FROM o_plan_samples)",
+    SM.SERVER_SAMPLE: f"(SELECT instance, collected_at, {sample_columns()} FROM o_sample GROUP BY instance, collected_at)",
+    SM.QUERY_EXECUTION_SAMPLE: "o_plan_samples",
 }
 _BLOCKING = {
     **METRICS_CTES,
@@ -337,30 +370,61 @@ _BLOCKING = {
 }
 
 
-@query(
-    "emit_samples",
-    " UNION ALL ".join(
-        f"SELECT '{event}' AS event_type, instance, {'query_id' if event != SM.BLOCKING_SESSION_SAMPLE else 'blocked_query_id'} AS query_id, "
-        f"database_name, split_part(instance, ':', 2) AS port FROM {relation}"
-        for event, relation in _EMITTED.items()
-    ),
-    _BLOCKING,
+query("publish_batches", _publish_sql(), _BLOCKING)(publish_batches)
+
+# Whole payloads, every field of every type.
+_PAYLOADS = " UNION ALL BY NAME ".join(
+    f"SELECT '{event}' AS event_type, *, split_part(instance, ':', 1) AS hostname, split_part(instance, ':', 2) AS port FROM {relation}"
+    for event, relation in _EMITTED.items()
 )
+
+
+@query("emit_samples", _PAYLOADS, _BLOCKING)
 def emit_samples(t):
     path = shared_dir(t.spark, "samples")
     sinks.emit_samples(payloads(t), path)
-    written = scan_relation(
-        t.spark, path, "event_type string, instance string, collected_at timestamp_ntz, payload string"
+    written = scan_relation(t.spark, path, "event_type string, instance string, collected_at timestamp_ntz, payload string")
+    return sinks.read_payloads(written, shapes(t))
+
+
+@query("emit_stream", _PAYLOADS, _BLOCKING)
+def emit_stream(t):
+    """The samples arrive in three folders, one after another, and leave in three micro-batches."""
+    path = shared_dir(t.spark, "sample-stream")
+    arriving = payloads(t).withColumn("turn", F.pmod(F.xxhash64("payload"), F.lit(3)))
+    arriving.write.partitionBy("turn").parquet(f"{path}-landed")
+    landed = t.spark.read.parquet(f"{path}-landed")
+    stream = t.spark.readStream.schema(landed.drop("turn").schema)
+    for turn in range(3):
+        landed.filter(F.col("turn") == turn).drop("turn").write.parquet(f"{path}-arrived/turn={turn}")
+        run_available(sinks.emit_stream(stream.parquet(f"{path}-arrived/turn=*").drop("turn"), path, f"{path}-checkpoint"))
+    return sinks.read_payloads(sinks.emitted(t.spark, path), shapes(t))
+
+
+def misprinted(payloads):
+    """Payloads of which some have a field of a wrong kind: a text for a number, a blank in a date, a negative id."""
+    number = lambda key: F.get_json_object("payload", f"$.{key}").cast("long")
+    put = lambda pattern, text: F.regexp_replace("payload", pattern, text)
+    individual, step, slow = SM.INDIVIDUAL_QUERIES_SAMPLE, SM.QUERY_EXECUTION_SAMPLE, SM.SLOW_QUERIES_SAMPLE
+    changed = (
+        F.when((F.col("event_type") == individual) & (number("event_id") % 10 == 3), put(r'"rows_sent":(-?\d+)', '"rows_sent":"$1"'))
+        .when((F.col("event_type") == step) & (number("step_id") == 1), put(r'"thread_id":(\d)', '"thread_id":-$1'))
+        .when((F.col("event_type") == slow) & (number("execution_count") % 10 == 1), put(r'"collection_timestamp":"([^"T]*)T', '"collection_timestamp":"$1 '))
     )
-    body = F.from_json("payload", "query_id string, blocked_query_id string, database_name string, port string")
-    read = written.select("event_type", "instance", body.alias("b"))
-    query_id = F.coalesce("b.query_id", "b.blocked_query_id").alias("query_id")
-    return read.select("event_type", "instance", query_id, "b.database_name", "b.port")
+    return payloads.withColumn("payload", F.coalesce(changed, F.col("payload")))
+
+
+# What `misprinted` does, in the relations' terms.
+_MISPRINTED = {
+    (SM.INDIVIDUAL_QUERIES_SAMPLE, "rows_sent"): "event_id % 10 = 3 AND rows_sent IS NOT NULL",
+    (SM.QUERY_EXECUTION_SAMPLE, "thread_id"): "step_id = 1 AND thread_id > 0",
+    (SM.SLOW_QUERIES_SAMPLE, "collection_timestamp"): "execution_count % 10 = 1",
+}
 
 
 def _contract_sql() -> str:
-    """Counts straight from the relations: their columns are typed, so only
-    missing and empty values can occur."""
+    """Counts straight from the relations: their columns are typed, so besides missing
+    and empty values only the misprinted ones can occur."""
     relation_columns = {
         SM.SLOW_QUERIES_SAMPLE: "avg_cpu_time_ms avg_disk_reads avg_disk_writes avg_elapsed_time_ms collection_timestamp database_name "
         "execution_count has_full_table_scan last_execution_timestamp query_id query_text schema_name statement_type",
@@ -384,6 +448,8 @@ def _contract_sql() -> str:
         value = own.get(field, "'x'" if field in ("event_type", "port", "hostname") else "NULL")
         # JSON has no number for what isn't finite: such a value is written as a text.
         odd = f"count(*) FILTER (NOT isfinite({value}))" if event == SM.SERVER_SAMPLE and kind == "number" and field in own else "0::bigint"
+        if (event, field) in _MISPRINTED:
+            odd = f"count(*) FILTER ({_MISPRINTED[event, field]})"
         lacks = f"{value} IS NULL"
         if field == "avg_cpu_time_ms":
             lacks += " AND instance NOT IN (SELECT instance FROM v_nodes WHERE flavor = 'mariadb')"
@@ -399,4 +465,4 @@ def _contract_sql() -> str:
 @query("sample_contract", _contract_sql(), _BLOCKING)
 def contract(t):
     flavors = F.broadcast(t.v_nodes.select("instance", "flavor"))  # one row for each server
-    return sample_contract(payloads(t).join(flavors, "instance", "left"))
+    return sample_contract(misprinted(payloads(t)).join(flavors, "instance", "left"))
