@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions import json_nodes as J
@@ -123,42 +123,38 @@ def contract_rows() -> list[tuple[str, str, str, bool, bool]]:
     return rows
 
 
-def _conforms(value: Column, kind: str, event: str) -> Column:
-    text = J.as_text(value)
-    if kind == "number":
-        return J.as_number(value).isNotNull()
-    if kind == "integer":
-        return J.as_integer(value).isNotNull()
-    if kind == "count":
-        return F.coalesce(J.as_integer(value) >= 0, F.lit(False))
-    if kind == "event":
-        return F.coalesce(text == event, F.lit(False))
-    if kind == "date-time":
-        return F.coalesce(text.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d"), F.lit(False))
-    return text.isNotNull()
+def _conforms(value: str, kind: str, event: str) -> str:
+    """Whether a marked text is of a kind, as SQL; never null."""
+    number = f"coalesce({value} RLIKE '^-?[0-9]' AND try_cast({value} AS double) IS NOT NULL, false)"
+    whole = f"coalesce({number} AND cast(try_cast(try_cast({value} AS double) AS bigint) AS double) = try_cast({value} AS double), false)"
+    return {
+        "number": number,
+        "integer": whole,
+        "count": f"coalesce({whole} AND try_cast({value} AS double) >= 0, false)",
+        "event": f"{value} = '{J.MARK}{event}'",
+        "date-time": f"{value} RLIKE r'^{J.MARK}[0-9]{{4}}-[0-9][0-9]-[0-9][0-9]T[0-9][0-9]:[0-9][0-9]:[0-9][0-9]'",
+        "string": f"startswith({value}, '{J.MARK}')",
+    }[kind]
 
 
 def _report(payloads: DataFrame, event: str, fields: list[tuple[str, str, bool, bool]]) -> DataFrame:
     """The counts of one event type: one row of numbers, turned on its side."""
-    shape = ", ".join(f"`{J.MARK}{name}` string" for name, *_ in fields)
     own = payloads.filter(F.col("event_type") == event)
-    read = own.select("flavor", J.fields(J.mark_strings(F.col("payload")), f"struct<{shape.replace('` ', '`: ')}>").alias("_read"))
-    count = lambda c: F.count(F.when(c, 1))
-    sums = [F.count(F.lit(1)).alias("samples")]
-    rows = []
+    shape = "struct<" + ", ".join(f"`{J.MARK}{name}`: string" for name, *_ in fields) + ">"
+    read = own.select("flavor", J.fields(J.mark_strings(F.col("payload")), shape).alias("_read"))
+    sums, rows = ["count(*) AS samples"], []
     for i, (name, kind, required, non_empty) in enumerate(fields):
-        value = F.col("_read").getField(J.MARK + name)
-        there = value.isNotNull()
-        excused = F.coalesce(F.col("flavor") == "mariadb", F.lit(False)) if name == "avg_cpu_time_ms" else F.lit(False)
+        value = f"_read.`{J.MARK}{name}`"
+        excused = " AND NOT flavor <=> 'mariadb'" if name == "avg_cpu_time_ms" else ""
         asked = {
-            "missing": count(~there & ~excused) if required else None,
-            "wrong_type": count(there & ~_conforms(value, kind, event)),
-            "empty": count(value == J.MARK) if non_empty else None,
+            "missing": f"{value} IS NULL{excused}" if required else None,
+            "wrong_type": f"{value} IS NOT NULL AND NOT {_conforms(value, kind, event)}",
+            "empty": f"{value} = '{J.MARK}'" if non_empty else None,
         }
-        sums += [c.alias(f"{key}{i}") for key, c in asked.items() if c is not None]
-        shown = [(F.lit(0).cast("long") if c is None else F.col(f"{key}{i}")).alias(key) for key, c in asked.items()]
-        rows.append(F.struct(F.lit(event).alias("event_type"), F.lit(name).alias("field"), F.lit(kind).alias("kind"), F.lit(required).alias("required"), F.col("samples"), *shown))
-    return read.agg(*sums).filter("samples > 0").select(F.inline(F.array(*rows)))
+        sums += [f"count_if({condition}) AS {key}{i}" for key, condition in asked.items() if condition]
+        shown = ", ".join(f"{f'{key}{i}' if condition else '0L'} AS {key}" for key, condition in asked.items())
+        rows.append(f"struct('{event}' AS event_type, '{name}' AS field, '{kind}' AS kind, {str(required).lower()} AS required, samples, {shown})")
+    return read.selectExpr(*sums).filter("samples > 0").selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def sample_contract(payloads: DataFrame) -> DataFrame:

@@ -336,19 +336,19 @@ def samples(t):
     }
 
 
-def payloads(t):
-    """All event types of the statement relations as JSON payloads."""
+def payloads(own):
+    """Samples by event type as JSON payloads."""
     out = None
-    for event, df in samples(t).items():
+    for event, df in own.items():
         part = sinks.payload(SM.split_instance(df), event)
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def shapes(t):
+def shapes(own):
     """The fields of each event type's payload."""
     out = {}
-    for event, df in samples(t).items():
+    for event, df in own.items():
         given = SM.split_instance(df).schema
         out[event] = StructType([f for f in given if f.name not in ("instance", "collected_at")])
     return out
@@ -381,24 +381,24 @@ _PAYLOADS = " UNION ALL BY NAME ".join(
 
 @query("emit_samples", _PAYLOADS, _BLOCKING)
 def emit_samples(t):
-    path = shared_dir(t.spark, "samples")
-    sinks.emit_samples(payloads(t), path)
+    path, own = shared_dir(t.spark, "samples"), samples(t)
+    sinks.emit_samples(payloads(own), path)
     written = scan_relation(t.spark, path, "event_type string, instance string, collected_at timestamp_ntz, payload string")
-    return sinks.read_payloads(written, shapes(t))
+    return sinks.read_payloads(written, shapes(own))
 
 
 @query("emit_stream", _PAYLOADS, _BLOCKING)
 def emit_stream(t):
     """The samples arrive in three folders, one after another, and leave in three micro-batches."""
-    path = shared_dir(t.spark, "sample-stream")
-    arriving = payloads(t).withColumn("turn", F.pmod(F.xxhash64("payload"), F.lit(3)))
+    path, own = shared_dir(t.spark, "sample-stream"), samples(t)
+    arriving = payloads(own).withColumn("turn", F.pmod(F.xxhash64("payload"), F.lit(3)))
     arriving.write.partitionBy("turn").parquet(f"{path}-landed")
     landed = t.spark.read.parquet(f"{path}-landed")
     stream = t.spark.readStream.schema(landed.drop("turn").schema)
     for turn in range(3):
         landed.filter(F.col("turn") == turn).drop("turn").write.parquet(f"{path}-arrived/turn={turn}")
         run_available(sinks.emit_stream(stream.parquet(f"{path}-arrived/turn=*").drop("turn"), path, f"{path}-checkpoint"))
-    return sinks.read_payloads(sinks.emitted(t.spark, path), shapes(t))
+    return sinks.read_payloads(sinks.emitted(t.spark, path), shapes(own))
 
 
 def misprinted(payloads):
@@ -464,5 +464,9 @@ def _contract_sql() -> str:
 
 @query("sample_contract", _contract_sql(), _BLOCKING)
 def contract(t):
+    # The samples as they are emitted, each type a folder that its counts read.
+    path = shared_dir(t.spark, "contract-samples")
+    sinks.emit_samples(misprinted(payloads(samples(t))), path)
+    written = scan_relation(t.spark, path, "event_type string, instance string, payload string")
     flavors = F.broadcast(t.v_nodes.select("instance", "flavor"))  # one row for each server
-    return sample_contract(misprinted(payloads(t)).join(flavors, "instance", "left"))
+    return sample_contract(written.join(flavors, "instance", "left"))
