@@ -112,6 +112,28 @@ def test_windows_close_with_the_watermark(spark, tmp_path):
     ]
 
 
+def test_a_heartbeat_closes_the_last_windows(spark, tmp_path):
+    """Time goes on by heartbeats, also by one that comes while executions do not; none of them is an execution."""
+    base = dt.datetime(2024, 1, 1)
+    columns = (
+        "instance string, collected_at timestamp_ntz, event_id long, thread_id long, digest string, digest_text string, timer_wait long, "
+        "cpu_time long, rows_examined long, rows_affected long, no_index_used long, current_schema string, ts timestamp_ntz"
+    )
+    at = lambda s: base + dt.timedelta(seconds=s)
+    row = lambda s, d: ("a", base, s, 1, d, "SELECT", 10**9 * (s + 1), 0, 1, 1, 0, "db", at(s))
+    arrived, beats, out = (str(tmp_path / x) for x in ("in", "beats", "out"))
+    spark.createDataFrame([row(1, "x"), row(31, "y"), row(200, "z")], columns).write.parquet(arrived)
+    seen = []
+    for beat in ([], [(at(150),)], [(at(330),)], [(jobs.END_OF_INPUT,)]):
+        spark.createDataFrame(beat, "ts timestamp_ntz").write.mode("append").parquet(beats)
+        if beat and beat[0][0] == at(330):
+            spark.createDataFrame([row(320, "w")], columns).write.mode("append").parquet(arrived)
+        streams = [spark.readStream.schema(c).parquet(p) for c, p in ((columns, arrived), ("ts timestamp_ntz", beats))]
+        jobs.run_available(jobs.stream_slow_queries(streams[0], batch_folders(out), str(tmp_path / "cp"), heartbeats=streams[1]))
+        seen.append(sorted(r["query_id"] for r in spark.read.parquet(out).collect()))
+    assert seen == [["x", "y"], ["x", "y"], ["x", "y", "z"], ["w", "x", "y", "z"]]
+
+
 def test_dedup_over_two_streams(spark, tmp_path):
     rows = [("a", i % 7, 1, dt.datetime(2024, 1, 1, 0, 0, i)) for i in range(20)] + [("a", None, 1, dt.datetime(2024, 1, 1))]
     schema = "instance string, event_id long, thread_id long, ts timestamp_ntz"

@@ -59,11 +59,13 @@ GROUP BY instance, window_end, current_schema, digest, digest_text""",
     _WINDOWS,
 )
 def stream_slow_queries(t):
-    path = shared_dir(t.spark, "stream-slow")
-    jobs.run_available(jobs.stream_slow_queries(execution_stream(t), batch_folders(path), f"{path}-checkpoint"))
-    closed = t.spark.read.parquet(path).drop("batch")
-    # The input ends here, so the windows that the watermark left open are reported too.
-    return closed.unionByName(jobs.open_slow_queries(t.v_st_history)).drop("slow_rank")
+    path, spark = shared_dir(t.spark, "stream-slow"), t.spark
+    beat = lambda rows: spark.createDataFrame(rows, "ts timestamp_ntz").write.mode("append").parquet(f"{path}-beats")
+    for rows in ([], [(jobs.END_OF_INPUT,)]):  # the input, and then its end
+        beat(rows)
+        beats = spark.readStream.schema("ts timestamp_ntz").parquet(f"{path}-beats")
+        jobs.run_available(jobs.stream_slow_queries(execution_stream(t), batch_folders(path), f"{path}-checkpoint", heartbeats=beats))
+    return spark.read.parquet(path).drop("batch", "slow_rank")
 
 
 @query(

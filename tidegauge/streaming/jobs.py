@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -14,19 +15,31 @@ from tidegauge.operators import metrics as M
 from tidegauge.operators import statements as ST
 
 
+#: A heartbeat after which no execution can be on time.
+END_OF_INPUT = dt.datetime(9999, 1, 1)
+
+
 def run_available(writer: DataStreamWriter) -> None:
     """Process what has arrived, then stop."""
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
-def digest_windows(executions: DataFrame, seconds: int, delay: str) -> DataFrame:
+def digest_windows(executions: DataFrame, seconds: int, delay: str, heartbeats: DataFrame | None = None) -> DataFrame:
     """Digest summary per closed window; the window end is the collection.
 
     The collection period of the collector is the window length, so windows
-    tumble and every execution is reported once.
+    tumble and every execution is reported once. The watermark also sees the
+    ``ts`` of ``heartbeats``, which belong to no window.
     """
+    since = lambda at: F.lit(at).cast("timestamp").alias("_since")
+    rows = executions.select("*", since(dt.datetime(1, 1, 2)))
+    if heartbeats is not None:
+        rows = rows.unionByName(heartbeats.select("ts", since(END_OF_INPUT + dt.timedelta(days=300))), allowMissingColumns=True)
     # Event time must be an instant: wall clocks are read in the session zone.
-    timed = executions.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+    timed = rows.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+    # No execution is from before year 1, no heartbeat beyond the last one. A condition on event time stays above the
+    # watermark, which so sees them; any other would be applied before it.
+    timed = timed.filter(F.col("ts") > F.col("_since"))
     window = F.window("ts", f"{seconds} seconds").alias("_w")
     grouped = timed.groupBy("instance", window, F.col("current_schema").alias("schema_name"), "digest", "digest_text").agg(
         *ST.summary_columns(), F.max("ts").cast("timestamp_ntz").alias("last_seen")
@@ -42,37 +55,23 @@ def stream_slow_queries(
     delay: str = "1 minute",
     k: int = settings.DEFAULT_TOP_K,
     ceiling: int | None = settings.MAX_TOP_K,
+    heartbeats: DataFrame | None = None,
 ) -> DataStreamWriter:
     """Slowest digests of each window, once it is closed.
 
     A window is closed in one micro-batch with all its digests, so ranking
     inside that batch is exact. ``sink`` gets the ranked rows and the batch id.
+    ``heartbeats`` is a stream of ``ts``: time goes on by them where executions
+    fail to come, and one beyond all windows (END_OF_INPUT) closes the last ones.
     """
 
     def rank(batch: DataFrame, batch_id: int) -> None:
         sink(ST.topk_slow(ST.slow_queries(batch, seconds), k, ceiling), batch_id)
 
-    windows = digest_windows(executions, seconds, delay)
+    windows = digest_windows(executions, seconds, delay, heartbeats)
     return windows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(rank)
 
 
-def open_slow_queries(
-    executions: DataFrame,
-    seconds: int = settings.DEFAULT_LOOKBACK_SECONDS,
-    delay: str = "1 minute",
-    k: int = settings.DEFAULT_TOP_K,
-    ceiling: int | None = settings.MAX_TOP_K,
-) -> DataFrame:
-    """What ``stream_slow_queries`` has not reported of input that has ended.
-
-    ``executions`` is the same input as a batch. The windows that the watermark
-    left open are those that end within ``delay`` of the last execution.
-    """
-    newest = executions.agg((F.max("ts") - F.expr(f"INTERVAL {delay}")).alias("_closed"))  # one row
-    windows = digest_windows(executions, seconds, delay).join(F.broadcast(newest), F.col("collected_at") > F.col("_closed"))
-    return ST.topk_slow(ST.slow_queries(windows.drop("_closed"), seconds), k, ceiling)
-
-
 def stream_dedup_executions(current: DataFrame, history: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Executions seen in either table, once; state is kept for ``delay`` only."""
     both = ST.union_executions(current, history)
