@@ -7,6 +7,7 @@ import sys
 import uuid
 from collections.abc import Iterator
 from contextlib import suppress
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -66,8 +67,18 @@ class Scratch:
                 place.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows in order, in slices of about `most` bytes of `column`; one longer value makes its own slice."""
+def kept_between_tasks() -> ModuleType:
+    """What this process keeps for its next tasks; modules of this package travel with their functions, so it lies beside them."""
+    return sys.modules.setdefault("_tidegauge_kept", ModuleType("_tidegauge_kept"))
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES, keep: bool = False) -> Iterator[pa.RecordBatch]:
+    """The rows in order, in slices of about `most` bytes of `column`; one longer value makes its own slice.
+
+    A worker that goes on to other work gives back what it has kept, but with `keep`.
+    """
+    if not keep:
+        vars(kept_between_tasks()).clear()
     for batch in batches:
         if batch.num_rows == 0:
             continue

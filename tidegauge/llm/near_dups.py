@@ -34,12 +34,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices, texts_of
+from .common import Scratch, give_back, slices, texts_of
 from .components import components
 from .hashed_words import runs, word_hashes
 
 #: What a task takes from each of two blocks of a bucket's size class: members, and bytes of their sets.
-BLOCK, BLOCK_BYTES = 1_000, 8 << 20
+BLOCK, BLOCK_BYTES = 500, 8 << 20
+#: Members of blocks that a task compares by their signatures.
+TASK_MEMBERS = 4_000
 #: Ids beyond this many are joined by a shuffle; fewer (16 MB) are broadcast.
 BROADCAST_IDS = 1_000_000
 
@@ -178,7 +180,9 @@ def _matched(least: int, threshold: int):
                 near = near[(signature[near] == signature[x]).sum(1) >= least]
                 active[near] = True
                 active[x] |= len(near) > 0
-        return members[active].drop(columns="signature")
+        out = members[active].drop(columns="signature")
+        give_back()
+        return out
 
     return match
 
@@ -205,6 +209,7 @@ def _joining(least: int, threshold: int):
                 if 100 * both >= threshold * (n[x] + n[h] - both):
                     found.append((min(ids[x], ids[h]), max(ids[x], ids[h])))
                     label[label == label[h]] = label[x]
+        give_back()
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     return compare
@@ -234,20 +239,23 @@ def _across(members: DataFrame, sketches: DataFrame, texts: DataFrame, roots: Da
     sent = graded.select("key", "doc_id", "root", "n", F.posexplode(F.array("grade", F.col("grade") + 1)).alias("above", "grade"))
     sent = sent.withColumn("own", F.col("above") == 0).drop("above")
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(8 * F.col("n")) / BLOCK_BYTES)).cast("int").alias("_n")
-    sizes = sent.groupBy("key", "grade").agg(blocks, F.max("own").alias("any"), F.min("root").alias("low"), F.max("root").alias("high"))
-    sizes = sizes.filter("any AND low <> high").select("key", "grade", "_n")
-    dealt = sent.join(sizes, ["key", "grade"]).withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_n")).cast("int"))
+    sizes = sent.groupBy("key", "grade").agg(blocks, F.count("*").alias("size"), F.max("own").alias("any"), F.min("root").alias("low"), F.max("root").alias("high"))
+    sizes = scratch.keep(sizes.filter("any AND low <> high").select("key", "grade", "_n", "size"))
+    # Comparing takes its time on few bytes, so tasks are dealt out by members.
+    tasks = 1 + (sizes.agg(F.sum(F.col("_n") * F.col("size"))).first()[0] or 0) // TASK_MEMBERS
+    dealt = sent.join(sizes.drop("size"), ["key", "grade"]).withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_n")).cast("int"))
     # It is in the block pairs (i, j), i <= j, that its own block is part of.
     placed = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     placed = placed.withColumn("_i", F.least("_block", "_other")).withColumn("_j", F.greatest("_block", "_other")).withColumn("_side", (F.col("_block") != F.col("_i")).cast("int"))
     columns = [c.split()[0] for c in _DEALT.split(", ")]
     held = placed.select(*columns).join(sketches.select("doc_id", "signature"), "doc_id").select(*columns, "signature")
-    active = scratch.keep(held.groupBy("key", "grade", "_i", "_j").applyInPandas(_matched(least, threshold), _DEALT))
+    block = ["key", "grade", "_i", "_j"]
+    active = scratch.keep(held.repartition(int(tasks), *block).groupBy(*block).applyInPandas(_matched(least, threshold), _DEALT))
     ids = scratch.keep(active.select("doc_id").distinct())
     sets = _sets(_with_ids(texts, ids), shingle).select("doc_id", "hashes").join(sketches.select("doc_id", "signature"), "doc_id")
-    whole = active.join(sets, "doc_id").groupBy("key", "grade", "_i", "_j")
+    whole = active.join(sets, "doc_id").groupBy(*block)
     links = scratch.keep(whole.applyInPandas(_joining(least, threshold), "a long, b long").distinct())
-    scratch.drop(across, active, ids)
+    scratch.drop(across, sizes, active, ids)
     return links
 
 

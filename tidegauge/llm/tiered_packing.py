@@ -53,7 +53,7 @@ def encoded(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> DataFram
         encoder, task = word_encoder(json), TaskContext.get().partitionId()
         seen: Counter[int] = Counter()
         number = 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", keep=True):
             found, at = encoder.encode(texts_of(batch))
             rows: list[tuple] = []
             for row in range(batch.num_rows):

@@ -107,7 +107,7 @@ def segments(docs: DataFrame, tokenizer: str, end_id: int = 1, segment_ids: int
                 names=["part", "segment", "before", "doc_ids", "lengths", "n_ids", "codes"],
             )
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", keep=True):
             ids, at = encoder.encode(texts_of(batch))
             for row, doc_id in enumerate(batch.column("doc_id").to_pylist()):
                 doc_ids.append(doc_id)

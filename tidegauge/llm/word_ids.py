@@ -16,16 +16,16 @@ from __future__ import annotations
 
 import os
 import re
-import sys
 from array import array
 from itertools import chain
 from pathlib import Path
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import kept_between_tasks
+
 # Latin-1 letters: canonical composition leaves them alone.
 _PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
 _TAIL = r"([a-zß-öø-ÿ])([!-&(-/:-@\[-`{-~]+)( |$)"
@@ -39,12 +39,11 @@ def tokenizer_json(path: str) -> str:
 
 
 def word_encoder(json: str) -> WordEncoder:
-    """This process's encoder: what a worker has learnt serves its next tasks too.
+    """This process's encoder: what a worker has learnt serves its next tasks too, until it does other work.
 
-    Modules of this package travel with their functions, so the encoder is kept
-    beside them, under a name of its own. It holds at most one vocabulary.
+    At most one vocabulary is held.
     """
-    kept = sys.modules.setdefault("_tidegauge_word_encoder", ModuleType("_tidegauge_word_encoder"))
+    kept = kept_between_tasks()
     if getattr(kept, "json", None) != json:
         kept.json, kept.encoder = json, WordEncoder(json)
     return kept.encoder
