@@ -79,6 +79,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
     """
     if not keep:
         vars(kept_between_tasks()).clear()
+    give_back()  # also what earlier tasks of other kinds have left
     for batch in batches:
         if batch.num_rows == 0:
             continue
