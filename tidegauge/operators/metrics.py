@@ -184,15 +184,16 @@ DERIVED = {
 
 
 def _metric_values(entries: DataFrame, max_gap: int) -> DataFrame:
-    """``metric, value`` of gauges, rates and inputs of derived metrics; only
-    the rows of rate metrics go through the pairing."""
-    plain = F.when(F.col("source_type") == "input", _derived_input(F.col("name"), F.col("raw")).cast("double"))
-    number = plain.otherwise(numeric_value(F.col("raw")))
-    rows = entries.select(*KEYS, "metric", "source_type", number.alias("_v")).filter(F.col("_v").isNotNull())
-    is_rate = F.col("source_type") == "prate"
-    changed = rates(rows.filter(is_rate), ("instance", "metric"), "collected_at", "_v", max_gap)
-    as_is = rows.filter(~is_rate).select(*KEYS, "metric", F.col("_v").alias("value"))
-    return as_is.unionByName(changed.select(*KEYS, "metric", F.col("rate").alias("value")))
+    """``metric, value, text`` of gauges, rates, attributes and inputs of derived
+    metrics; only the rows of rate metrics go through the pairing."""
+    kind = F.col("source_type")
+    plain = F.when(kind == "input", _derived_input(F.col("name"), F.col("raw")).cast("double"))
+    number = F.when(kind != "attribute", plain.otherwise(numeric_value(F.col("raw"))))
+    rows = entries.select(*KEYS, "metric", "source_type", number.alias("_v"), F.when(kind == "attribute", F.col("raw")).alias("text"))
+    as_is = rows.filter((kind != "prate") & (F.col("_v").isNotNull() | F.col("text").isNotNull()))
+    changed = rates(rows.filter((kind == "prate") & F.col("_v").isNotNull()), ("instance", "metric"), "collected_at", "_v", max_gap)
+    shown = lambda df, value: df.select(*KEYS, "metric", F.col(value).alias("value"), "text")
+    return shown(as_is, "_v").unionByName(shown(changed, "rate"))
 
 
 def server_sample(
@@ -205,32 +206,29 @@ def server_sample(
 
     ``collections`` has version and node_type. ``groups`` are the switched-on
     parts; only "default" is on by default. Columns are the catalogue's names
-    with underscores for dots. Inputs of derived metrics are pivoted along and
-    the formulas run on the wide row, so a collection without its inputs still
-    gets the ratios (0 without a denominator).
+    with underscores for dots. One aggregation makes the row of a collection, of
+    its numbers, texts and inputs of derived metrics and of the collection itself,
+    so one without any input still gets the ratios (0 without a denominator).
     """
     dims = C.version_flags(collections.select(*KEYS, "version", "node_type")).drop("version")
     chosen = {m.column: m for m in C.METRICS if m.metric_group in groups}
-    landed = [c for c, m in chosen.items() if not m.derived and m.source_type != "attribute"]
-    inputs = [f"_{key}" for key in (*_INTEGER_KEYS, *_STATE_KEYS)]
-
-    wanted = [C.Metric(f"_{key}", key, "input", "default", "any", None) for key in (*_INTEGER_KEYS, *_STATE_KEYS)]
+    inputs = (*_INTEGER_KEYS, *_STATE_KEYS)
+    wanted = [C.Metric(f"_{key}", key, "input", "default", "any", None) for key in inputs]
     catalog = C.metric_catalog(bag.sparkSession, tuple(groups), tuple(wanted))
-    with_dims = bag.join(dims, list(KEYS))
-    numbers = _metric_values(applicable(with_dims, catalog.filter("source_type <> 'attribute'")), max_gap)
-    named = numbers.withColumn("metric", F.replace("metric", F.lit("."), F.lit("_")))
-    # One value per metric and collection: ``first`` only picks it.
-    wide = named.groupBy(*KEYS).pivot("metric", [*landed, *inputs]).agg(F.first("value"))
-    wide = wide.withColumnsRenamed({name: name[1:] for name in inputs})
-
-    texts = attribute_metrics(applicable(with_dims, catalog.filter("source_type = 'attribute'")))
-    described = [m for m in chosen.values() if m.source_type == "attribute" and m.source != "node_type"]
-    texts = texts.groupBy(*KEYS).agg(
-        *[F.max(F.when(F.col("metric") == m.metric, F.col("text"))).alias(m.column) for m in described]
-    )
-
-    sample = dims.join(wide, list(KEYS), "left").join(texts, list(KEYS), "left")
-    values = []
+    values = _metric_values(applicable(bag.join(dims, list(KEYS)), catalog), max_gap)
+
+    own = [c for c in dims.columns if c not in KEYS]
+    known = dims.select(*KEYS, F.struct(*own).alias("_own"))
+    pick = lambda metric, column: F.max(F.when(F.col("metric") == metric, F.col(column)))
+    landed = [
+        pick(m.metric, "text" if m.source_type == "attribute" else "value").alias(column)
+        for column, m in chosen.items()
+        if not m.derived and m.source != "node_type"
+    ]
+    sample = values.unionByName(known, allowMissingColumns=True).groupBy(*KEYS)
+    sample = sample.agg(F.max("_own").alias("_own"), *landed, *[pick(f"_{key}", "value").alias(key) for key in inputs])
+    sample = sample.select("*", *[F.col("_own")[c].alias(c) for c in own])
+    shown = []
     for column, m in chosen.items():
         if m.source == "node_type":
             value = F.col("node_type")
@@ -238,8 +236,8 @@ def server_sample(
             value = F.when(C.metric_applies(m), DERIVED[m.source]())
         else:
             value = F.col(column)
-        values.append(value.alias(column))
-    return sample.select(*KEYS, *values)
+        shown.append(value.alias(column))
+    return sample.select(*KEYS, *shown)
 
 
 def under_metric_names(sample: DataFrame) -> DataFrame:
