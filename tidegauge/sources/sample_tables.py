@@ -32,14 +32,14 @@ STATUS_NAMES = (
 
 # Version strings landed for the customer-derived servers.
 SERVER_VERSIONS = (
-    "8.0.40-0ubuntu0.22.04.1",
+    "8.0.37-1build2",
     "8.4.6-commercial",
     "9.4.0",
     "5.7.44",
     "6",
     "unknown",
     "",
-    "10.2-MariaDB",
+    "10.4-MariaDB",
     "10.1.9-MariaDB",
     "10.11.5-MariaDB",
     "11.8.1-MariaDB-log",
@@ -49,20 +49,20 @@ SERVER_VERSIONS = (
 
 # One version per instance of the status and variables relations.
 NODE_VERSIONS = (
-    "8.0.40-0ubuntu0.22.04.1",
-    "8.4.3-standard",
+    "8.0.37-1build2",
+    "8.4.5-lts",
     "9.1.0",
     "5.7.35",
-    "10.6.12-MariaDB",
+    "10.6.9-MariaDB",
     "5.6.51",
     "invalid",
-    "11.3.2-MariaDB-log",
+    "11.4.1-MariaDB-log",
 )
 
 # Raw variable values that exercise typing.
 ODD_VALUES = (
     "10", "0.12", "true", "Yes", "ON", "", " 5 ", "1d", "1e5", "+7", "text", "F", "TRUE", "tRUE", "99999999999999999999",
-    "1e400", "-12", ".5", "5.", "1_000", "-0", "0x1F", "1.5e-3", "t", "0", "1",
+    "1e400", "-12", ".5", "5.", "1_000", "-0", "0x1F", "1.5e-3", "t", "0", "1", "0x1.8p3", "0x_1Fp-2", "-0X.8P1", "1__0",
 )
 
 
@@ -166,7 +166,7 @@ SELECT concat('db', cast(o_custkey % 4 AS string), ':3306') AS instance, {COLLEC
 FROM orders""",
     # The four servers of the statement, lock and backup relations.
     "v_nodes": f"""
-SELECT instance, {COLLECTED} AS collected_at, flavor, CASE WHEN flavor = 'mysql' THEN '8.0.40' ELSE '10.6.12-MariaDB' END AS version,
+SELECT instance, {COLLECTED} AS collected_at, flavor, CASE WHEN flavor = 'mysql' THEN '8.0.37' ELSE '10.6.9-MariaDB' END AS version,
   has_metadata_locks FROM (
   SELECT concat('db', cast(c_custkey % 4 AS string), ':3306') AS instance,
     max(CASE WHEN c_custkey % 4 < 2 THEN 'mysql' ELSE 'mariadb' END) AS flavor,
