@@ -1,5 +1,8 @@
 """Neighbours against brute force, the registered queries, and the pipeline against a plain version."""
 
+import hashlib
+import zlib
+
 import brute
 import corpus_pipeline
 import numpy as np
@@ -8,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tidegauge.llm import neighbours, queries
-from tidegauge.llm.queries import WORD_BPE
+from tidegauge.llm.queries import BYTE_BPE, WORD_BPE
 
 
 def plain_neighbours(rows, asked, k):
@@ -51,13 +54,107 @@ def test_few_vectors_find_all(spark):
     assert neighbours.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("key", list(queries.QUERIES))
-def test_registered_queries(spark, sf_dir, key):
-    df = queries.QUERIES[key](spark, sf_dir)
-    if key in queries.ORACLES:
-        assert oracle.difference(df, oracle.connect(sf_dir), queries.ORACLES[key]) is None
-    else:
-        assert df.count() >= 1
+def sha(text):
+    return hashlib.sha256(text.encode() if isinstance(text, str) else text).hexdigest()
+
+
+def token_bytes(library, text, end=()):
+    return np.array([*library.encode(text or "", add_special_tokens=False).ids, *end], "<u4").tobytes()
+
+
+def plain_quality(rows, docs, labels):
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) and r["predicted"] == (r["score"] >= 0.3) and 0 <= r["score"] <= 1 for i, r in rows.items())
+    # Nineteen held-out labels at the smallest scale, and some seventy to learn from.
+    assert np.mean([rows[i]["predicted"] == q for i, q in labels.items() if rows[i]["held_out"]]) > 0.85
+
+
+def plain_pii(rows, docs, labels):
+    for i, text in docs.items():
+        spans = brute.personal_data(text)
+        assert rows[i]["base_sha256"] == sha(",".join(f"{kind}:{start}:{stop}" for start, _, stop, kind in spans))
+        assert {k: rows[i][f"n_{k}"] for k in brute.PATTERNS} == {k: sum(s[3] == k for s in spans) for k in brute.PATTERNS}
+
+
+def plain_bpe(rows, docs, labels):
+    library = Tokenizer.from_file(BYTE_BPE)
+    for i, text in docs.items():
+        ids = token_bytes(library, text)
+        decoded = library.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
+        assert (rows[i]["n_tokens"], rows[i]["ids_sha256"], rows[i]["decoded_sha256"]) == (len(ids) // 4, sha(ids), sha(decoded))
+
+
+def plain_files(rows, docs, labels):
+    library, start = Tokenizer.from_file(WORD_BPE), 0
+    for i in sorted(docs):
+        ids = token_bytes(library, docs[i], (1,))
+        assert (rows[i]["start"], rows[i]["n_tokens"], rows[i]["ids_crc32"]) == (start, len(ids) // 4, zlib.crc32(ids))
+        start += len(ids) // 4
+
+
+def plain_fingerprints(rows, docs, labels):
+    order = sorted(docs, reverse=True)
+    same = {}
+    for i, after in zip(order, [*order[1:], order[0]], strict=True):
+        text, other = docs[i] or "", docs[after] or ""
+        n = len(text) // 3
+        edited = text[: len(text) - n] + other[:n]
+        assert (rows[i]["n_chars"], rows[i]["edited_sha256"]) == (len(text), sha(edited))
+        assert same.setdefault(text, rows[i]["fingerprint"]) == rows[i]["fingerprint"]
+        assert (rows[i]["near_edited"] == 1) >= (edited == text) and 0 <= rows[i]["near_next"] <= 1
+
+
+PLAIN = {"op1_quality": plain_quality, "op2_pii": plain_pii, "op6_bpe": plain_bpe, "op7_token_files": plain_files, "op8_fingerprints": plain_fingerprints}
+
+
+@pytest.mark.parametrize("key", list(PLAIN))
+def test_registered_queries_against_plain_versions(spark, sf_dir, key):
+    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet").collect()
+    docs = {r["doc_id"]: r["text"] for r in read("documents")}
+    found = queries.QUERIES[key](spark, sf_dir).collect()
+    rows = {r["doc_id"]: r for r in found}
+    assert len(found) == len(rows) == len(docs)
+    PLAIN[key](rows, docs, {r["doc_id"]: r["quality"] for r in read("labels")})
+
+
+def test_registered_packing_against_the_library(spark, sf_dir):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows, library, bins = queries.QUERIES["op4_packing"](spark, sf_dir).collect(), Tokenizer.from_file(WORD_BPE), {}
+    want = set()
+    for i, text in docs.items():
+        ids = token_bytes(library, text, (0,))
+        want |= {(i, k, at // 4, len(ids[at : at + 8192]) // 4, zlib.crc32(ids[at : at + 8192])) for k, at in enumerate(range(0, len(ids), 8192))}
+    assert {tuple(r[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32")) for r in rows} == want and len(rows) == len(want)
+    for r in rows:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in bins.values():
+        ends = np.cumsum([n for _, n in sorted(parts)])
+        assert [at for at, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 2048
+    assert len(bins) <= 1.02 * sum(r["length"] for r in rows) / 2048 + 1
+
+
+def test_registered_neighbours_against_all_distances(spark, sf_dir):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    want = plain_neighbours(rows, [i for i, _ in rows if i % 100 == 0], 10)
+    got = {}
+    for r in queries.QUERIES["op5_neighbours"](spark, sf_dir).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert np.mean([len(got[q] & set(w)) / 10 for q, w in want.items()]) >= 0.9
+
+
+def test_registered_pages_against_a_plain_parser(spark, sf_dir):
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    got = {r["page_id"]: r["text"] for r in queries.QUERIES["op10_html_text"](spark, sf_dir).collect()}
+    assert got == {i: brute.main_text(page) for i, page in pages.items()}
+
+
+@pytest.mark.parametrize("key", list(queries.ORACLES))
+def test_registered_queries_against_their_sql(spark, sf_dir, key):
+    assert oracle.difference(queries.QUERIES[key](spark, sf_dir), oracle.connect(sf_dir), queries.ORACLES[key]) is None
+
+
+def test_every_registered_query_is_compared():
+    apart = {"op4_packing", "op5_neighbours", "op10_html_text", "op11_periodic_runs", "op13_tiered_packing"}
+    assert set(queries.QUERIES) == {*PLAIN, *queries.ORACLES, *apart}
 
 
 def test_pipeline_keeps_what_a_plain_version_keeps(spark, sf_dir):

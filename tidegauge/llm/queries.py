@@ -108,12 +108,31 @@ SELECT d.doc_id, coalesce(n_tokens, 0)::BIGINT AS n_tokens, round(coalesce(s, 0)
 FROM documents d LEFT JOIN summed USING (doc_id)"""
 
 
+OP3_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\v\f\r]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3]))) END AS s FROM words),
+sizes AS (SELECT doc_id, len(s)::BIGINT AS n FROM sets),
+each AS (SELECT doc_id, unnest(s) AS g FROM sets),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM each a JOIN each b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS node, doc_id AS other FROM sizes
+  UNION SELECT both_ways.a, reach.other FROM reach JOIN both_ways ON both_ways.b = reach.node)
+SELECT doc_id, n AS n_shingles, min(other) AS component_id, min(other) = doc_id AS kept FROM sizes JOIN reach ON node = doc_id GROUP BY doc_id, n"""
+
+
 def _op12_sql() -> str:
     """Rounds of assignment and exact floors, over components as rows."""
     rounds = "".join(f"""
 near{r} AS (
   SELECT vec_id, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
-    SELECT v.vec_id, m.c, list_sum(list_transform(list_zip(v.x, m.x), p -> (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM kept v, means{r} m)
+    SELECT v.vec_id, m.c, list_sum(list_transform(list_zip(v.x, m.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM kept v, means{r} m)
   GROUP BY vec_id),
 summed{r} AS (
   SELECT c, i, sum(x) AS s, count(*) AS n FROM (
@@ -123,13 +142,13 @@ means{r + 1} AS (
     SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS x FROM summed{r} GROUP BY c) s USING (c)),""" for r in range(5))
     return f"""
 WITH kept AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
-  WHERE len(embedding) = 64 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 means0 AS (
   SELECT row_number() OVER (ORDER BY h) - 1 AS c, x FROM (SELECT sha256('2:' || vec_id) AS h, x FROM kept ORDER BY h LIMIT 40)),{rounds}
 last AS (
   SELECT vec_id, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
-    SELECT v.vec_id, m.c, list_sum(list_transform(list_zip(v.x, m.x), p -> (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM kept v, means5 m)
+    SELECT v.vec_id, m.c, list_sum(list_transform(list_zip(v.x, m.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM kept v, means5 m)
   GROUP BY vec_id)
 SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
        sha256(array_to_string(x, ',')) AS centroid_sha256
@@ -152,6 +171,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_tiered_packing": op13_tiered_packing,
 }
 ORACLES: dict[str, str] = {
+    "op3_near_dups": OP3_SQL,
     "op9_lm_scores": OP9_SQL,
     "op12_centroids": _op12_sql(),
 }
