@@ -82,6 +82,15 @@ def test_added_kinds_context_and_masks(documents):
     assert pii.find_spans(overlap).select(pii.masked(F.col("text"), F.col("pii_spans"))).first()[0] == "+[CARD] x"
 
 
+def test_columns_named_like_the_operator_s_own_stay(spark):
+    rows = [(1, "mail a@b.co", "m", 5, [1], "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _match_email string, _BETWEEN_ip int, _start_card array<int>, pii_spans string")
+    found = pii.find_spans(df)
+    assert found.columns == ["doc_id", "text", "_match_email", "_BETWEEN_ip", "_start_card", "pii_spans"]
+    (row,) = found.collect()
+    assert tuple(row[:5]) == rows[0][:5] and [s["kind"] for s in row["pii_spans"]] == ["email"]
+
+
 def test_ibans_before_capitals_digits_and_each_other(documents):
     gb, de, no, mt = "GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00", "NO9386011117947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"
     after = ["Please pay", "BIC COBADEFFXXX", "2024", "A", "OK, B", "é", "x", "\n7", "", "GB82 WEST", "FR12 " * 9]

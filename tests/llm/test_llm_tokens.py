@@ -89,6 +89,19 @@ def test_pieces_and_packing(documents, rows):
         assert [at for at, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 64
 
 
+def test_packing_keeps_columns_named_like_its_own(spark):
+    own = ["_cell", "_in", "_before", "_k", "_from", "_bin", "_offset"]
+    rows = [(i, 0, 1 + i % 9, "s", *[f"{c}{i}" for c in own]) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, piece int, length long, sequence_id string, " + ", ".join(f"{c} string" for c in own))
+    got = packing.pack(df, 10)
+    assert sorted(got.columns) == sorted(["doc_id", "piece", "length", "sequence_id", "offset", *own])
+    bins = {}
+    for r in got.collect():
+        assert [r[c] for c in own] == [f"{c}{r['doc_id']}" for c in own] and r["length"] == 1 + r["doc_id"] % 9
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert sum(map(len, bins.values())) == 30 and all(sum(n for _, n in b) <= 10 for b in bins.values())
+
+
 def test_plan_fills_bins_and_uses_every_piece():
     draw = random.Random(4)
     for size in (10, 64, 2048):

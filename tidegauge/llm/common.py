@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import suppress
 from types import ModuleType
 
@@ -24,6 +24,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def set_apart(df: DataFrame, own: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
+    """df with other names for columns that are named like an operator's own, and the names to give back."""
+    taken = {name.lower() for name in own}
+    names = {c: f"_given_{i}" for i, c in enumerate(df.columns) if c.lower() in taken}
+    return (df.withColumnsRenamed(names) if names else df), {new: old for old, new in names.items()}
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df, computed once and reread from the shared folder, whichever executors are lost."""
     context = df.sparkSession.sparkContext

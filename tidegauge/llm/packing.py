@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, slices, texts_of
+from .common import checkpointed, set_apart, slices, texts_of
 from .word_ids import tokenizer_json, word_encoder
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -115,9 +115,11 @@ def pack(parts: DataFrame, size: int = 2048) -> DataFrame:
     """Place pieces (doc_id, piece, length and any more columns) in bins: adds sequence_id and offset.
 
     Ties between pieces of one length are broken by a hash cell, then doc_id and
-    piece; repeated rows take places of their own; no pieces give no rows.
+    piece; repeated rows take places of their own; no pieces give no rows. Other
+    columns stay whatever their names, but sequence_id and offset are replaced.
     """
     spark = parts.sparkSession
+    parts, given = set_apart(parts.drop("sequence_id", "offset"), ("_cell", "_in", "_before", "_k", "_from", "_to", "_each", "_bin", "_offset"))
     total, counts = 0, {}
     for row in parts.groupBy("length").count().collect():  # at most `size` rows
         counts[row["length"]] = row["count"]
@@ -136,7 +138,7 @@ def pack(parts: DataFrame, size: int = 2048) -> DataFrame:
     placed = numbered.withColumn("_k", k).join(table, "length").filter((F.col("_k") >= F.col("_from")) & (F.col("_k") < F.col("_to")))
     nth = F.col("_k") - F.col("_from")
     return placed.select(
-        *(parts[c] for c in parts.columns if c != "length"),
+        *(F.col(c).alias(given.get(c, c)) for c in parts.columns if c != "length"),
         F.col("length"),
         (F.col("_bin") + F.floor(nth / F.col("_each"))).cast("long").alias("sequence_id"),
         (F.col("_offset") + nth % F.col("_each") * F.col("length")).cast("long").alias("offset"),

@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import set_apart
+
 BLOCK = 256  # matches that one fold of running positions takes
 
 
@@ -158,9 +160,10 @@ def find_spans(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KI
 
     A span is struct(start, rank, stop, kind, score); rank is the kind's place in
     `kinds`. Base kinds stay whatever their score; others need `threshold`. A null
-    text has none. Rows stay as they are, repeated ones too; columns named
-    _match_*, _between_*, _start_* and pii_spans are this function's own.
+    text has none. Rows stay as they are, repeated ones too, with all other columns
+    whatever their names; a column pii_spans is replaced.
     """
+    docs, given = set_apart(docs.drop("pii_spans"), [f"_{x}_{k.name}" for x in ("match", "between", "start") for k in kinds])
     empty = F.array().cast("array<string>")
     out = docs
     for k in kinds:
@@ -180,7 +183,8 @@ def find_spans(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KI
     any_match = F.lit(False)
     for k in kinds:
         any_match |= F.size(f"_match_{k.name}") > 0
-    return out.select(*(docs[c] for c in docs.columns if c != "pii_spans"), F.when(any_match, spans).otherwise(none).alias("pii_spans"))
+    found = out.select(*docs.columns, F.when(any_match, spans).otherwise(none).alias("pii_spans"))
+    return found.withColumnsRenamed(given) if given else found
 
 
 def _joined(spans: Column) -> Column:
