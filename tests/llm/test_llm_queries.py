@@ -8,6 +8,7 @@ import corpus_pipeline
 import numpy as np
 import oracle
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidegauge.llm import neighbours, queries
@@ -182,3 +183,19 @@ def test_pipeline_keeps_what_a_plain_version_keeps(spark, sf_dir):
     assert {i: sum(r["length"] for r in packed if r["doc_id"] == i) for i in sizes} == sizes
     assert len({r["sequence_id"] for r in packed}) <= 1.02 * sum(sizes.values()) / 2048 + 1
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near copies", "personal data", "packing"]
+
+
+def test_pipeline_stages_on_odd_rows(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("_match_email", F.lit("m")).withColumn("label", F.lit(7))
+    good = docs.filter("length(text) > 2000").limit(1).collect()[0].asDict()
+    odd = [{**good, "doc_id": i, "text": t} for i, t in [(None, None), (None, good["text"]), (10**9, ""), (10**9 + 1, "\n\n"), (10**9 + 2, good["text"] + " x@y.org"), (10**9 + 2, good["text"] + " x@y.org"), (10**9 + 3, "word " * 60_000)]]
+    for rows in (docs.unionByName(spark.createDataFrame(odd, docs.schema)), docs.limit(0)):
+        kept, empty = rows, rows.count() == 0
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            before = kept.count()
+            kept = stage(spark, kept, sf_dir)
+            assert kept.schema.names == docs.schema.names and kept.count() <= before, name
+        ids = [r["doc_id"] for r in kept.select("doc_id").collect() if r["doc_id"] is not None]
+        assert len(ids) == len(set(ids)) and not kept.filter("text LIKE '%x@y.org%'").count()
+        packed = corpus_pipeline.STAGES[-1][1](spark, kept, sf_dir)
+        assert packed.filter("start = 0").count() == kept.count() and (packed.count() == 0) == empty
