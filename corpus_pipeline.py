@@ -1,7 +1,13 @@
 """A training corpus from `documents`: reject bad quality, drop near copies, mask personal data, pack.
 
 Each stage takes all rows that its predecessor kept; all but the last return the
-columns of documents.
+columns of documents, whatever else these are called.
+
+A null text counts as empty: it is scored like one, has no near copies and no personal
+data, and packs as the end id alone. Rows without doc_id are never near copies of each
+other. Rows that repeat a doc_id are one document from the second stage on: one of them
+stays. An empty table gives an empty result; without labels of both kinds the first
+stage keeps every row.
 """
 
 from __future__ import annotations
