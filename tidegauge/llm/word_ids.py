@@ -32,6 +32,7 @@ _TAIL = r"([a-zß-öø-ÿ])([!-&(-/:-@\[-`{-~]+)( |$)"
 _WHOLE = "<\\||[\u0300-\u036f]"
 MAX_WORDS = 200_000
 MAX_IDS = 1_000_000
+LEARN_WORDS = 8_192
 
 
 def tokenizer_json(path: str) -> str:
@@ -73,12 +74,14 @@ class WordEncoder:
         plain = [w for w in words if _PLAIN.fullmatch(w)]
         others = [w for w in words if not _PLAIN.fullmatch(w)]
         for tokenizer, own in ((self._bare, plain), (self._full, others)):
-            # One array of ids for all words, and how many each has: the cache holds no lists.
-            ids = [e.ids for e in tokenizer.encode_batch_fast(own, add_special_tokens=False)]
-            first = len(self._count)
-            self._slot.update(zip(own, range(first, first + len(own)), strict=True))
-            self._count.extend(map(len, ids))
-            self._ids.extend(chain.from_iterable(ids))
+            # The library's objects for a word take far more than its ids, so few are held at once.
+            for part in (own[i : i + LEARN_WORDS] for i in range(0, len(own), LEARN_WORDS)):
+                # One array of ids for all words, and how many each has: the cache holds no lists.
+                ids = [e.ids for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                first = len(self._count)
+                self._slot.update(zip(part, range(first, first + len(part)), strict=True))
+                self._count.extend(map(len, ids))
+                self._ids.extend(chain.from_iterable(ids))
 
     def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         flat = pc.replace_substring(pc.ascii_lower(texts), "\n", " ")
