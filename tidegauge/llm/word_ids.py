@@ -30,8 +30,8 @@ from .common import kept_between_tasks
 _PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
 _TAIL = r"([a-zß-öø-ÿ])([!-&(-/:-@\[-`{-~]+)( |$)"
 _WHOLE = "<\\||[\u0300-\u036f]"
-MAX_WORDS = 200_000
-MAX_IDS = 1_000_000
+MAX_WORDS = 400_000
+MAX_IDS = 2_000_000
 LEARN_WORDS = 8_192
 
 
