@@ -127,3 +127,31 @@ def test_deep_documents(spark):
     for _ in range(60):
         text = '{"sub":[' + text + "]}"
     assert [r["table_name"] for r in steps(spark, text)] == ["leaf"]
+
+
+def test_a_plain_reader_is_used_only_where_no_key_repeats():
+    """Colons within texts, escaped quotes and escaped backslashes hide no repeated key; depth is told before parsing."""
+    from tidegauge.plans import steps as P
+
+    read = P.Reader().document
+    assert list(read('{"a":1,"b":{"c":"x\\":"},"a":2}', False).items()) == [("b", {"c": 'x":'}), ("a", 2)]
+    assert list(read('{"a\\\\":1,"b":"\\":","a\\\\":2}', False).items()) == [("b", '":'), ("a\\", 2)]
+    assert read('{"a":1,"b":"t:u"}', False) == {"a": 1, "b": "t:u"}
+    assert read('{"a":[[{"c":1,"d":0,"c":2}]],"b":":"}', False) == {"a": [[{"d": 0, "c": 2}]], "b": ":"}
+    assert list(read('{"a":1,"a":2}', True)) == [("a", 1), ("a", 2)]
+    assert P._nesting('{"a":["[{\\"[", {"b\\\\":[]}]}') == 4
+    assert read('{"a":' * 1000 + "1" + "}" * 1000, False) is not None and read('{"a":' * 1001 + "1" + "}" * 1001, False) is None
+
+
+def test_documents_are_built_without_shuffling_texts(spark, tmp_path):
+    """One exchange, of numbers: texts are made after it. Rows that repeat a line number are one line."""
+    from tidegauge.queries import plans
+    from tidegauge.queries.registry import Sample
+
+    rows = [(2, 1, 7, 3.0), (2, 1, 9, 1.0), (2, 2, 8, 2.0), (3, 1, 5, 4.0), (None, 1, 6, 1.0)]
+    spark.createDataFrame(rows, "l_orderkey bigint, l_linenumber bigint, l_partkey bigint, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = plans.documents(Sample(spark, str(tmp_path)))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Exchange") == 1
+    steps = plans.plan_steps(found).orderBy("event_id", "step_id").collect()
+    assert [(s.event_id, s.step_id, s.table_name, s.rows_examined_per_scan) for s in steps] == [(2, 0, "t9\\`x", 3), (2, 1, "t8\\`x", 2), (3, 0, "t5", 0)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ _MARIADB_TABLE = """concat('"', CASE WHEN l_linenumber % 3 = 2 THEN 'block-nl-jo
   '"filtered":', cast(qty AS string), '.125,"using_index":"true","possible_keys":["PRIMARY"]}', CASE WHEN l_linenumber % 3 = 2 THEN '}' ELSE '' END)"""
 
 
+_FIELD = re.compile(r"\b(l_linenumber|partkey|qty)\b")
+
 #: Documents of a reader's trouble, by order: cut short, followed by text, nested over the limit.
 _UNREAD = "l_orderkey % 50 IN (0, 10, 12)"
 
@@ -38,16 +42,19 @@ def documents(t: Sample) -> DataFrame:
     and arrays around the plan (20), repeated keys outside MariaDB, of which the
     last counts (30), costs of 1e20 (21) and 1e300 (31) in MariaDB.
     """
-    table = F.when(F.col("l_orderkey") % 2 == 1, F.expr(_MARIADB_TABLE)).otherwise(F.expr(_MYSQL_TABLE))
-    lines = t.v_lines.select("l_orderkey", F.struct("l_linenumber", table.alias("text")).alias("line"))
-    per_order = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
-    tables = F.array_join(F.col("lines.text"), ",")
+    # v_lines, with an order's lines in one place from the start: numbers are shuffled once, and texts never.
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber")
+    merged = lines.agg(F.max("l_partkey").alias("partkey"), F.max("l_quantity").cast("long").alias("qty"))
+    line = F.struct("l_linenumber", "partkey", "qty")
+    per_order = merged.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    texts = lambda table: F.array_join(F.expr(f"transform(lines, l -> {_FIELD.sub(r'l.\g<0>', table)})"), ",")
+    tables, blocks = texts(_MYSQL_TABLE), texts(_MARIADB_TABLE)
     order = F.col("l_orderkey").cast("string")
     mysql = F.concat(
         F.lit('{"query_block":{"select_id":1,"cost_info":{"query_cost":"'), order, F.lit('.50"},"nested_loop":['), tables, F.lit("]}}")
     )
     cost = F.when(F.col("l_orderkey") % 50 == 21, "1e20").when(F.col("l_orderkey") % 50 == 31, "1e300").otherwise(F.concat(order, F.lit(".5")))
-    mariadb = F.concat(F.lit('{"query_block":{"select_id":1,"cost":'), cost, F.lit(","), tables, F.lit("}}"))
+    mariadb = F.concat(F.lit('{"query_block":{"select_id":1,"cost":'), cost, F.lit(","), blocks, F.lit("}}"))
     within = lambda n: F.concat(F.lit('{"s":[' * n), mysql, F.lit("]}" * n))
     twice = F.concat(F.lit('{"query_block":{"table":{"table_name":"earlier"}},'), F.substring(mysql, 2, 2**31 - 1))
     rest = F.col("l_orderkey") % 50
