@@ -215,3 +215,33 @@ def test_registered_tiers(spark, sf_dir):
     rows = queries.op13_tiered_packing(spark, sf_dir).collect()
     check_sequences(rows, docs, Tokenizer.from_file(WORD_BPE), 4096)
     assert len(rows) <= 1.5 * len(docs) + sum(r["length"] for r in rows) / 4096 + 12
+
+
+def test_a_large_component_meets_only_the_rest_of_its_bucket(spark, monkeypatch):
+    """One bucket of 200 linked sets and 3 others: rows to compare grow with the members, not with their square, and no link is lost."""
+    import numpy as np
+    from tidegauge.llm import near_dups
+    from tidegauge.llm.common import Scratch
+
+    monkeypatch.setattr(near_dups, "BLOCK", 10)
+    texts = [(i, " ".join(f"w{k}" for k in range(60)) + f" x{i}") for i in range(200)]
+    texts += [(900 + i, " ".join(f"{'w' if k < 56 - 15 * (i > 0) else f'v{i}_'}{k}" for k in range(60)) + f" x{i}y") for i in range(3)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = []
+    keep = Scratch.keep
+
+    def spied(self, df):
+        if "_rest" in df.columns:
+            rows.append(keep(self, df).selectExpr("sum(_rest * (_n + _m) + _most * _n)", "sum(_rest + _most)").first())
+        return keep(self, df)
+
+    monkeypatch.setattr(Scratch, "keep", spied)
+    signature = bytes(np.arange(228, dtype=np.uint8))
+    sketches = spark.createDataFrame([(d, signature, 57) for d, _ in texts], "doc_id long, signature binary, n long")
+    members = sketches.selectExpr("doc_id", "n", "7L AS key")
+    roots = spark.createDataFrame([(i, 0) for i in range(200)], "node long, root long")
+    with Scratch(spark, "test") as scratch:
+        found = near_dups._across(members, sketches, docs, roots, 5, 150, 80, scratch).collect()
+    assert found and all(a < 200 and b == 900 for a, b in found)  # one link from each task at most
+    (made, sent), = rows
+    assert made <= 2.5 * sent

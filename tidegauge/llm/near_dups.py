@@ -223,8 +223,8 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
 
 
 def _across(members: DataFrame, sketches: DataFrame, texts: DataFrame, roots: DataFrame, shingle: int, least: int, threshold: int, scratch: Scratch) -> DataFrame:
-    """Confirmed links (a, b) within a bucket (key, doc_id) that join its components (node, root)."""
-    labelled = members.join(roots, members["doc_id"] == roots["node"], "left").select("key", "doc_id", F.coalesce("root", "doc_id").alias("root"))
+    """Confirmed links (a, b) within a bucket (key, doc_id, n) that join its components (node, root)."""
+    labelled = members.join(roots, members["doc_id"] == roots["node"], "left").select("key", "doc_id", "n", F.coalesce("root", "doc_id").alias("root"))
     # A bucket's members as a set: their number and two sums of hashes.
     marks = [F.count("*").alias("size"), *(F.expr(f"bit_xor(xxhash64(doc_id, {k}))").alias(f"mark{k}") for k in (1, 2))]
     mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), *marks).filter("low <> high")
@@ -232,17 +232,25 @@ def _across(members: DataFrame, sketches: DataFrame, texts: DataFrame, roots: Da
     across = scratch.keep(labelled.join(mixed, "key", "left_semi"))
     # A pair's classes of size are equal or next to each other; a member is also sent to the class above its own.
     grade = F.floor(F.log("n") / -np.log(threshold / 100)).cast("int")
-    graded = across.join(sketches.select("doc_id", "n"), "doc_id").withColumn("grade", grade)
+    graded = across.withColumn("grade", grade)
     sent = graded.select("key", "doc_id", "root", "n", F.posexplode(F.array("grade", F.col("grade") + 1)).alias("above", "grade"))
     sent = sent.withColumn("own", F.col("above") == 0).drop("above")
-    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(8 * F.col("n")) / BLOCK_BYTES)).cast("int").alias("_n")
-    sizes = sent.groupBy("key", "grade").agg(blocks, F.count("*").alias("size"), F.max("own").alias("any"), F.min("root").alias("low"), F.max("root").alias("high"))
-    sizes = scratch.keep(sizes.filter("any AND low <> high").select("key", "grade", "_n", "size"))
+    # Members of a class's main component, which has the most of them, are compared with the rest alone: so the
+    # rest comes in blocks 0, 1, ..., the main component in those that follow, and few others cost few rows.
+    parts = sent.groupBy("key", "grade", "root").agg(F.count("*").alias("size"), F.sum(8 * F.col("n")).alias("bytes"), F.max("own").alias("any"))
+    most = F.max(F.struct("size", "bytes", "root")).alias("main")
+    sizes = parts.groupBy("key", "grade").agg(most, F.sum("size").alias("size"), F.sum("bytes").alias("bytes"), F.max("any").alias("any")).filter("any AND size > main.size")
+    blocks = lambda size, held: F.greatest(F.ceil(size / BLOCK), F.ceil(held / BLOCK_BYTES)).cast("int")
+    rest = F.col("size") - F.col("main.size")
+    sizes = sizes.select("key", "grade", F.col("main.root").alias("_main"), rest.alias("_rest"), F.col("main.size").alias("_most"), blocks(rest, F.col("bytes") - F.col("main.bytes")).alias("_n"), blocks(F.col("main.size"), F.col("main.bytes")).alias("_m"))
+    sizes = scratch.keep(sizes)
     # Comparing takes its time on few bytes, so tasks are dealt out by members.
-    tasks = 1 + (sizes.agg(F.sum(F.col("_n") * F.col("size"))).first()[0] or 0) // TASK_MEMBERS
-    dealt = sent.join(sizes.drop("size"), ["key", "grade"]).withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_n")).cast("int"))
-    # It is in the block pairs (i, j), i <= j, that its own block is part of.
-    placed = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    tasks = 1 + (sizes.agg(F.expr("sum(_rest * (_n + _m) + _most * _n)")).first()[0] or 0) // TASK_MEMBERS
+    dealt = sent.join(sizes.drop("_rest", "_most"), ["key", "grade"]).withColumn("_in", F.col("root") == F.col("_main"))
+    spread = lambda n: F.pmod(F.xxhash64("doc_id"), n).cast("int")
+    dealt = dealt.withColumn("_block", F.when(F.col("_in"), F.col("_n") + spread(F.col("_m"))).otherwise(spread(F.col("_n"))))
+    # It is in the block pairs (i, j), i <= j, that its own block is part of; i is one of the rest.
+    placed = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.when(F.col("_in"), F.col("_n") - 1).otherwise(F.col("_n") + F.col("_m") - 1))))
     placed = placed.withColumn("_i", F.least("_block", "_other")).withColumn("_j", F.greatest("_block", "_other")).withColumn("_side", (F.col("_block") != F.col("_i")).cast("int"))
     columns = [c.split()[0] for c in _DEALT.split(", ")]
     held = placed.select(*columns).join(sketches.select("doc_id", "signature"), "doc_id").select(*columns, "signature")
@@ -283,7 +291,7 @@ def _near_duplicates(docs: DataFrame, shingle: int, threshold: int, bands: int,
     sketches = scratch.keep(sketches)
     scratch.drop(sketched)
     band = F.expr(f"explode(transform(sequence(0, {bands - 1}), i -> xxhash64(i, substring(signature, i * {rows} + 1, {rows}))))")
-    buckets = sketches.select("doc_id", band.alias("key"))
+    buckets = sketches.select("doc_id", "n", band.alias("key"))
     shared = buckets.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("size")).filter("size > 1").drop("size")
     members = scratch.keep(buckets.join(shared, "key"))
     texts = docs.select(F.col("doc_id").cast("long"), "text")
@@ -305,7 +313,7 @@ def _near_duplicates(docs: DataFrame, shingle: int, threshold: int, bands: int,
     links = scratch.keep(links.union(twice))
     scratch.drop(tried)
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch)
-    more = _across(members.select("key", "doc_id"), sketches, texts, roots, shingle, least, threshold, scratch)
+    more = _across(members.select("key", "doc_id", "n"), sketches, texts, roots, shingle, least, threshold, scratch)
     scratch.drop(members, sketches)
     if more.limit(1).count():
         roots = components(links.union(more).select(F.col("a").alias("u"), F.col("b").alias("v")), scratch)
