@@ -38,7 +38,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0) -
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(json)
-        for batch in slices(batches, "text", keep=True):
+        for batch in slices(batches, "text", 1 << 20, keep=True):
             ids, at = encoder.encode(texts_of(batch))
             rows: list[tuple[int, int, int, int]] = []
             for row in range(batch.num_rows):
