@@ -155,3 +155,23 @@ def test_documents_are_built_without_shuffling_texts(spark, tmp_path):
     assert plan.count("Exchange") == 1
     steps = plans.plan_steps(found).orderBy("event_id", "step_id").collect()
     assert [(s.event_id, s.step_id, s.table_name, s.rows_examined_per_scan) for s in steps] == [(2, 0, "t9\\`x", 3), (2, 1, "t8\\`x", 2), (3, 0, "t5", 0)]
+
+
+def test_only_documents_of_reported_executions_are_built(spark, tmp_path):
+    """The executions meet the lines before those are shuffled, merged and made into texts."""
+    from tidegauge.plans.steps import plan_samples
+    from tidegauge.queries import plans
+    from tidegauge.queries.registry import Sample
+
+    lines = [(k, n, k, 1.0) for k in (2, 3, 4, None) for n in (1, 2)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber bigint, l_partkey bigint, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = [(2, "shop", "select 1"), (3, None, "select 1"), (4, "shop", "select 1"), (4, "shop", "with x"), (6, "shop", "select 1"), (None, "shop", "select 1")]
+    executions = spark.createDataFrame(rows, "event_id bigint, database_name string, query_sample_text string").selectExpr(
+        "'a' AS instance", "current_timestamp() AS collected_at", "*", "1L AS thread_id", "'q' AS query_id"
+    )
+    executions.write.parquet(f"{tmp_path}/executions")
+    executions = spark.read.parquet(f"{tmp_path}/executions")
+    found = plan_samples(executions, plans.documents(Sample(spark, str(tmp_path))), ("event_id",))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("RepartitionByExpression") < plan.index("LeftSemi") < plan.rindex("l_orderkey")
+    assert sorted((r.event_id, r.step_id) for r in found.collect()) == [(2, 0), (2, 1), (4, 0), (4, 0), (4, 1), (4, 1)]

@@ -335,4 +335,6 @@ def plan_samples(
     """
     fit = filters.explainable(F.col("query_id"), F.col("query_sample_text"))
     wanted = filters.require_db_and_text(executions).filter(fit).select(*KEYS, "event_id", "thread_id")
-    return plan_steps(wanted.join(documents.select(*on, "flavor", "plan_json"), list(on)))
+    # Where the executions are few enough to broadcast, Spark takes a semi join below the grouping that makes a document.
+    landed = documents.select(*on, "flavor", "plan_json").join(wanted.select(*on), list(on), "left_semi")
+    return plan_steps(wanted.join(landed, list(on)))

@@ -26,7 +26,7 @@ from tidegauge.queries.oracle_text import (
     truncated,
     wait_category,
 )
-from tidegauge.queries.registry import query
+from tidegauge.queries.registry import query, written
 from tidegauge.session import shared_dir
 from tidegauge.sources import sinks
 from tidegauge.sources.relations import scan_relation
@@ -325,7 +325,12 @@ def publish_batches(t):
 
 
 def samples(t):
-    """The samples of all six event types, without host and port."""
+    """The samples of all six event types, without host and port.
+
+    They share steps: the digest summary, the reported executions, the current
+    statements, the bag of metrics. Each is written once.
+    """
+    t = written(t)
     return {
         SM.SLOW_QUERIES_SAMPLE: Q.slow_queries(t),
         SM.INDIVIDUAL_QUERIES_SAMPLE: Q.individual_queries(t),

@@ -23,12 +23,15 @@ def collections(t: Sample) -> DataFrame:
 
 
 def bag(t: Sample) -> DataFrame:
-    return KV.metrics_enrich(
-        t.v_status,
-        t.v_variables,
-        KV.kv_rows_wide(t.v_replica),
-        KV.bag_of(BK.backup_active_auto(t.v_nodes, t.v_metadata_locks, t.v_processlist, t.v_trx)),
-        KV.bag_of(BK.backup_history(t.v_nodes, t.v_st_history)),
+    return t.once(
+        "bag",
+        lambda: KV.metrics_enrich(
+            t.v_status,
+            t.v_variables,
+            KV.kv_rows_wide(t.v_replica),
+            KV.bag_of(BK.backup_active_auto(t.v_nodes, t.v_metadata_locks, t.v_processlist, t.v_trx)),
+            KV.bag_of(BK.backup_history(t.v_nodes, t.v_st_history)),
+        ),
     )
 
 

@@ -11,7 +11,7 @@ from tidegauge.plans import steps as P
 from tidegauge.plans.steps import plan_rejects, plan_steps
 from tidegauge.queries import statements as Q
 from tidegauge.queries.oracle_text import STATEMENTS
-from tidegauge.queries.registry import Sample, query
+from tidegauge.queries.registry import Sample, query, written
 
 # One JSON table object per merged order line. Odd orders are MariaDB.
 _MYSQL_TABLE = """concat('{"table":{"table_name":"t', cast(partkey AS string), '`x","access_type":"',
@@ -47,31 +47,27 @@ def documents(t: Sample) -> DataFrame:
     merged = lines.agg(F.max("l_partkey").alias("partkey"), F.max("l_quantity").cast("long").alias("qty"))
     line = F.struct("l_linenumber", "partkey", "qty")
     per_order = merged.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
-    texts = lambda table: F.array_join(F.expr(f"transform(lines, l -> {_FIELD.sub(r'l.\g<0>', table)})"), ",")
-    tables, blocks = texts(_MYSQL_TABLE), texts(_MARIADB_TABLE)
-    order = F.col("l_orderkey").cast("string")
-    mysql = F.concat(
-        F.lit('{"query_block":{"select_id":1,"cost_info":{"query_cost":"'), order, F.lit('.50"},"nested_loop":['), tables, F.lit("]}}")
+    of_line = lambda table: _FIELD.sub(r"l.\g<0>", table)
+    # An order's lines are read in one place of one expression: a semi join of documents then goes below all this.
+    tables = F.array_join(F.expr(f"transform(lines, l -> IF(l_orderkey % 2 = 1, {of_line(_MARIADB_TABLE)}, {of_line(_MYSQL_TABLE)}))"), ",")
+    order, rest, odd = F.col("l_orderkey").cast("string"), F.col("l_orderkey") % 50, F.col("l_orderkey") % 2 == 1
+    cost = F.when(rest == 21, "1e20").when(rest == 31, "1e300").otherwise(F.concat(order, F.lit(".5")))
+    mariadb = F.concat(F.lit('{"query_block":{"select_id":1,"cost":'), cost, F.lit(","))
+    mysql = F.concat(F.lit('"query_block":{"select_id":1,"cost_info":{"query_cost":"'), order, F.lit('.50"},"nested_loop":['))
+    before = (
+        F.when(rest == 12, '{"s":[' * 600 + "{")
+        .when(rest == 20, '{"s":[' * 150 + "{")
+        .when(rest == 30, '{"query_block":{"table":{"table_name":"earlier"}},')
+        .otherwise("{")
     )
-    cost = F.when(F.col("l_orderkey") % 50 == 21, "1e20").when(F.col("l_orderkey") % 50 == 31, "1e300").otherwise(F.concat(order, F.lit(".5")))
-    mariadb = F.concat(F.lit('{"query_block":{"select_id":1,"cost":'), cost, F.lit(","), blocks, F.lit("}}"))
-    within = lambda n: F.concat(F.lit('{"s":[' * n), mysql, F.lit("]}" * n))
-    twice = F.concat(F.lit('{"query_block":{"table":{"table_name":"earlier"}},'), F.substring(mysql, 2, 2**31 - 1))
-    rest = F.col("l_orderkey") % 50
-    broken = (
-        F.when(rest == 0, F.concat(mysql, F.lit("]")))
-        .when(rest == 10, F.concat(mysql, F.lit(" {}")))
-        .when(rest == 12, within(600))
-        .when(rest == 20, within(150))
-        .when(rest == 30, twice)
-        .otherwise(mysql)
-    )
-    odd = F.col("l_orderkey") % 2 == 1
+    after = F.when(rest == 0, "]").when(rest == 10, " {}").when(rest == 12, "]}" * 600).when(rest == 20, "]}" * 150).otherwise("")
     return per_order.select(
         F.col("l_orderkey").alias("event_id"),
         (F.col("l_orderkey") % 97).alias("thread_id"),
         F.when(odd, "mariadb").otherwise("mysql").alias("flavor"),
-        F.when(odd, mariadb).otherwise(broken).alias("plan_json"),
+        F.concat(
+            F.when(odd, mariadb).otherwise(F.concat(before, mysql)), tables, F.when(odd, "}}").otherwise(F.concat(F.lit("]}}"), after))
+        ).alias("plan_json"),
     )
 
 
@@ -148,5 +144,8 @@ WHERE i.database_name IS NOT NULL AND i.query_id IS NOT NULL AND NOT contains(i.
 
 @query("plan_samples", "SELECT * FROM o_plan_samples", PLAN_SAMPLES)
 def plan_samples(t):
-    """The reported executions' plans; the sample documents are known by their event alone."""
-    return P.plan_samples(Q.individual(t), documents(t), ("event_id",))
+    """The reported executions' plans; the sample documents are known by their event alone.
+
+    The executions are read twice, so they are written first.
+    """
+    return P.plan_samples(Q.individual(written(t)), documents(t), ("event_id",))

@@ -20,7 +20,7 @@ def _as_bigint(df: DataFrame, *names: str) -> DataFrame:
 
 
 def summary(t: Sample) -> DataFrame:
-    return ST.digest_rollup(t.v_st_history)
+    return t.once("summary", lambda: ST.digest_rollup(t.v_st_history))
 
 
 def slow(t: Sample) -> DataFrame:
@@ -33,7 +33,7 @@ def top_slow(t: Sample) -> DataFrame:
 
 
 def individual(t: Sample) -> DataFrame:
-    return ST.individual_queries(t.v_st_current, t.v_st_history, top_slow(t))
+    return t.once("individual", lambda: ST.individual_queries(t.v_st_current, t.v_st_history, top_slow(t)))
 
 
 def waits(t: Sample) -> DataFrame:

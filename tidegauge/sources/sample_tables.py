@@ -11,6 +11,8 @@ from __future__ import annotations
 import hashlib
 import re
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -309,9 +311,23 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     Defined once per application and directory: the definition is only a plan,
     no data is held.
     """
-    prefix = "tg_" + hashlib.md5(sf_dir.encode()).hexdigest()[:8]
     session = spark._jsparkSession.sessionUUID()
-    known = _RELATIONS.setdefault((session, sf_dir), {})
+    return _defined(spark, sf_dir, name, _RELATIONS.setdefault((session, sf_dir), {}), "tg", lambda _, df: df)
+
+
+def view_once(
+    spark: SparkSession, sf_dir: str, name: str, known: dict[str, DataFrame], once: Callable[[str, DataFrame], DataFrame]
+) -> DataFrame:
+    """The same, for a caller with relations of its own, ``known``.
+
+    ``once`` is given each derived relation's name and definition when it is first
+    asked for, and returns what it and the relations over it are read from.
+    """
+    return _defined(spark, sf_dir, name, known, "tg_once", once)
+
+
+def _defined(spark, sf_dir, name, known, label, once) -> DataFrame:
+    prefix = f"{label}_" + hashlib.md5(sf_dir.encode()).hexdigest()[:8]
     if name not in known:
         if name in TABLES:
             df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -319,10 +335,9 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             text = _SPARK_COUNTERS if name == "v_counters" else VIEWS[name].replace("NTZ", "timestamp_ntz")
             for other in _referenced(text, [*VIEWS, *TABLES]):
                 if other != name:
-                    view(spark, sf_dir, other)
+                    _defined(spark, sf_dir, other, known, label, once).createOrReplaceTempView(f"{prefix}_{other}")
                     text = re.sub(rf"\b(FROM|JOIN)(\s+){other}\b", rf"\1\2{prefix}_{other}", text)
-            df = spark.sql(text)
-        df.createOrReplaceTempView(f"{prefix}_{name}")
+            df = once(name, spark.sql(text))
         known[name] = df
     return known[name]
 
