@@ -44,3 +44,8 @@ def test_samples_share_their_steps(spark, sf_dir):
     for event in (SM.SLOW_QUERIES_SAMPLE, SM.INDIVIDUAL_QUERIES_SAMPLE, SM.SERVER_SAMPLE):
         assert not tables(own[event]), event
     assert tables(own[SM.QUERY_EXECUTION_SAMPLE]) == {"lineitem.parquet"}
+
+
+def test_batches_number_samples_that_are_there(spark, sf_dir):
+    """Numbering reads its rows twice, so besides the history it reads keys that were written."""
+    assert tables(fleet.publish_batches(Sample(spark, sf_dir))) == {"events.parquet"}

@@ -317,9 +317,12 @@ def publish_batches(t):
     kind = F.when(F.col("digest").isNull(), SM.WAIT_EVENTS_SAMPLE).otherwise(SM.INDIVIDUAL_QUERIES_SAMPLE)
     key = lambda names: F.concat_ws("|", *[F.col(n).cast("string") for n in names]).alias("sample_key")
     parts = t.v_st_history.select("instance", "collected_at", kind.alias("event_type"), key(("event_id", "thread_id")), F.col("sql_text").alias("model"))
-    own = samples(t)
+    own, found = samples(t), None
     for event, names in _SAMPLE_KEYS.items():
-        parts = parts.union(own[event].select("instance", "collected_at", F.lit(event), key(names), F.lit("")))
+        part = own[event].select("instance", "collected_at", F.lit(event).alias("event_type"), key(names), F.lit("").alias("model"))
+        found = part if found is None else found.union(part)
+    # Numbering reads its rows twice.
+    parts = parts.union(written(t).once("sample_keys", lambda: found))
     batched = SM.publish_batches(parts, ("sample_key",), model=F.col("model"))
     return batched.select("instance", "event_type", "sample_key", "batch_id")
 
