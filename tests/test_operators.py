@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import random
 
 from pyspark.sql import functions as F
@@ -251,3 +252,34 @@ def test_limits_are_defaults_that_a_caller_lifts(spark):
     executions = spark.createDataFrame(rows, EXECUTION)
     assert statements.topk_per_digest(executions, 50).count() == 10
     assert statements.topk_per_digest(executions, 50, ceiling=None).count() == 50
+
+
+def test_texts_are_anonymised_for_sessions_that_can_be_reported(spark):
+    """Of sessions that differ in their texts alone the anonymised texts decide, and others' texts are not read."""
+    df = lambda rows, schema: spark.createDataFrame([("a", NOW, *r) for r in rows], f"instance string, collected_at timestamp_ntz, {schema}")
+    start = lambda hour: dt.datetime(2024, 1, 30, hour)
+    trx = [("t1", 101, start(1), "z = 1"), ("t1", 101, start(1), "b = 2"), ("t2", 102, start(2), "c = 3"), ("t3", 103, start(3), None)]
+    none = {"digest": "string", "digest_text": "string", "timer_wait": "long"}
+    tables = {
+        "nodes": df([("mariadb",)], "flavor string"),
+        "lock_waits": df([], "requesting_thread_id long, blocking_thread_id long"),
+        "trx_lock_waits": df([("t1", "t3"), ("t2", "t3"), ("t2", "t3")], "requesting_trx_id string, blocking_trx_id string"),
+        "threads": df([(n, 100 + n, "h", "d", None) for n in (1, 2, 3)], "thread_id long, processlist_id long, processlist_host string, processlist_db string, processlist_state string"),
+        "trx": df([(i, n, s, s, q) for i, n, s, q in trx], "trx_id string, trx_mysql_thread_id long, trx_started timestamp_ntz, trx_wait_started timestamp_ntz, trx_query string"),
+        "current": df([], ", ".join(["thread_id long", *(f"{c} {kind}" for c, kind in none.items())])),
+        "summary": df([], "digest string, digest_text string"),
+    }
+    shown = lambda k: sorted((r.blocked_txn_id, r.blocked_query) for r in blocking.blocking_sessions(**tables, k=k).collect())
+    # Ids come before texts, and an id of a text is a digest of the raw one.
+    first = min(("z = 1", "b = 2"), key=lambda text: hashlib.md5(text.encode()).hexdigest())
+    assert shown(1) == [("t1", first.replace(first[-1], "?"))]
+    assert shown(2) == [("t1", "b = ?"), ("t1", "z = ?")] and shown(3) == [*shown(2), ("t2", "c = ?")]
+    assert shown(10) == [*shown(3), ("t2", "c = ?")] and shown(0) == []
+    plan = blocking.blocking_sessions(**tables, k=1)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("regexp_replace(") < plan.index(" rank(")
+
+
+def test_rows_that_tie_with_the_last_one_may_be_first(spark):
+    rows = [("a", 1, "x"), ("a", 1, "y"), ("a", 2, "z"), (None, 5, "u"), (None, None, "v")]
+    out = ranking.may_be_top_k(spark.createDataFrame(rows, "g string, n int, t string"), ["g"], [F.asc("n")], 1)
+    assert sorted(r.t for r in out.collect()) == ["v", "x", "y"]

@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from tidegauge import KEYS, settings
 from tidegauge.functions import scalars as S
 from tidegauge.operators import filters
-from tidegauge.operators.ranking import top_k
+from tidegauge.operators.ranking import may_be_top_k, top_k
 
 SYSTEM = settings.SYSTEM_DATABASES
 
+# Longest-blocked first, then ids, then texts.
+_ORDER = ("blocked_txn_start_time", "blocked_txn_id", "blocking_txn_id", "blocked_query_id", "blocking_query_id")
+_TEXTS = ("blocked_query", "blocking_query")
+
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*KEYS, *[F.col(c).alias(f"{prefix}{c}") for c in df.columns if c not in KEYS])
@@ -106,8 +110,13 @@ def blocking_sessions_mariadb(
     current: DataFrame,
     excluded: Sequence[str] = SYSTEM,
     zone: Column | str = "UTC",
+    first: int | None = None,
 ) -> DataFrame:
-    """The same report from transaction ids; raw texts are anonymised."""
+    """The same report from transaction ids; raw texts are anonymised.
+
+    With ``first``, only the sessions that can be among so many of an instance and
+    collection by ``topk_blocking``: texts decide last there, so only theirs are anonymised.
+    """
     waiting = _participants(trx_lock_waits, ("requesting_trx_id", "blocking_trx_id"), "trx_id")
     sessions = (
         trx.join(waiting, [*KEYS, "trx_id"], "left_semi")
@@ -120,13 +129,13 @@ def blocking_sessions_mariadb(
         F.col(f"{side}_digest"), F.md5(F.coalesce(F.col(f"{side}_trx_query"), F.lit("")))
     )
     waited_us = F.timestamp_diff("MICROSECOND", F.col("w_trx_wait_started"), F.col("collected_at"))
-    return _session_report(
+    report = _session_report(
         filters.exclude_databases(joined, "w_processlist_db", excluded),
         {
             "blocked_pid": F.col("w_trx_mysql_thread_id").cast("string"),
             "blocking_pid": F.col("b_trx_mysql_thread_id").cast("string"),
-            "blocked_query": S.anonymize_sql(text("w")),
-            "blocking_query": S.anonymize_sql(text("b")),
+            "blocked_query": text("w"),
+            "blocking_query": text("b"),
             "blocked_query_id": query_id("w"),
             "blocking_query_id": query_id("b"),
             "blocking_status": F.coalesce(F.col("b_processlist_state"), F.lit("Idle in transaction")),
@@ -135,15 +144,16 @@ def blocking_sessions_mariadb(
         },
         zone,
     )
+    if first is not None:
+        report = may_be_top_k(report, KEYS, [F.asc(c) for c in _ORDER], first)
+    return report.withColumns({c: S.anonymize_sql(F.col(c)) for c in _TEXTS})
 
 
 def topk_blocking(
     sessions: DataFrame, k: int = settings.DEFAULT_TOP_K, ceiling: int | None = settings.MAX_TOP_K
 ) -> DataFrame:
     """Longest-blocked first: oldest start in UTC (whole seconds), then ids."""
-    order = ["blocked_txn_start_time", "blocked_txn_id", "blocking_txn_id", "blocked_query_id", "blocking_query_id"]
-    order += ["blocked_query", "blocking_query"]
-    return top_k(sessions, KEYS, [F.asc(c) for c in order], settings.top_k(k, ceiling))
+    return top_k(sessions, KEYS, [F.asc(c) for c in (*_ORDER, *_TEXTS)], settings.top_k(k, ceiling))
 
 
 def blocking_sessions(
@@ -167,5 +177,5 @@ def blocking_sessions(
         nodes.filter(F.col("flavor") == flavor).select(*KEYS), list(KEYS), "left_semi"
     )
     mysql = blocking_sessions_mysql(of(lock_waits, "mysql"), threads, trx, current, summary, excluded, zone)
-    mariadb = blocking_sessions_mariadb(of(trx_lock_waits, "mariadb"), threads, trx, current, excluded, zone)
+    mariadb = blocking_sessions_mariadb(of(trx_lock_waits, "mariadb"), threads, trx, current, excluded, zone, settings.top_k(k, ceiling))
     return topk_blocking(mysql.unionByName(mariadb), k, ceiling)

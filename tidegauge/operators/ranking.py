@@ -22,6 +22,12 @@ def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
     return kept.withColumnRenamed("_rank", rank) if rank else kept.drop("_rank")
 
 
+def may_be_top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
+    """The rows that can be among the first ``k`` of their group by ``order`` and whatever decides after it: ties stay."""
+    ranked = df.withColumn("_rank", F.rank().over(W.partitionBy(*group).orderBy(*order)))
+    return ranked.filter(F.col("_rank") <= k).drop("_rank")
+
+
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
     return top_k(df, key, order, 1)
 
