@@ -283,3 +283,39 @@ def test_rows_that_tie_with_the_last_one_may_be_first(spark):
     rows = [("a", 1, "x"), ("a", 1, "y"), ("a", 2, "z"), (None, 5, "u"), (None, None, "v")]
     out = ranking.may_be_top_k(spark.createDataFrame(rows, "g string, n int, t string"), ["g"], [F.asc("n")], 1)
     assert sorted(r.t for r in out.collect()) == ["v", "x", "y"]
+
+
+def test_only_waits_that_can_be_reported_are_joined(spark):
+    """Sessions after the first are not looked up, and a session takes a place only by a wait that is reported."""
+    df = lambda rows, schema: spark.createDataFrame(rows, f"instance string, collected_at timestamp_ntz, {schema}")
+    both = lambda rows, schema: df([(i, NOW, *r) for i in ("my", "ma") for r in rows], schema)
+    # Thread 1 is excluded by its database, 2 waits for a thread without a session, 5 and 6 started at once.
+    threads = [(n, 100 + n, "h", "mysql" if n == 1 else "d", "s") for n in range(1, 10)]
+    trx = [(f"t{n}", 100 + n, (s := dt.datetime(2024, 1, 30, min(n, 5))), s, f"q{n}") for n in range(1, 10)]
+    waits = [(1, 9), (2, 10), (3, 9), (3, 8), (3, 8), (4, 9), (5, 9), (6, 9), (None, 9), (4, None)]
+    tables = {
+        "nodes": df([("my", NOW, "mysql"), ("ma", NOW, "mariadb")], "flavor string"),
+        "lock_waits": both(waits, "requesting_thread_id long, blocking_thread_id long"),
+        "trx_lock_waits": both([tuple(n and f"t{n}" for n in w) for w in waits], "requesting_trx_id string, blocking_trx_id string"),
+        "threads": both(threads, "thread_id long, processlist_id long, processlist_host string, processlist_db string, processlist_state string"),
+        "trx": both(trx, "trx_id string, trx_mysql_thread_id long, trx_started timestamp_ntz, trx_wait_started timestamp_ntz, trx_query string"),
+        "current": both([(n, f"d{n}", f"text {n}", 10**9) for n in range(1, 10)], "thread_id long, digest string, digest_text string, timer_wait long"),
+        "summary": both([(f"d{n}", f"text {n}") for n in range(1, 10) for _ in range(2)], "digest string, digest_text string"),
+    }
+    steps = {}
+
+    def once(name, step):
+        return steps.setdefault(name, step())
+
+    def shown(k, **how):
+        return [(r.instance, r.blocked_txn_id, r.blocking_txn_id) for r in blocking.blocking_sessions(**tables, k=k, **how).collect()]
+
+    everything = sorted(shown(30))
+    assert {r[1] for r in everything} == {"t3", "t4", "t5", "t6"} and len(everything) == 6 * 4 + 6
+    for k in (0, 1, 4, 13):
+        first = [r for i in ("ma", "my") for r in [x for x in everything if x[0] == i][:k]]
+        assert sorted(shown(k)) == first, k
+    assert sorted(shown(1, once=once)) == [("ma", "t3", "t8"), ("my", "t3", "t8")]
+    assert [r.thread_id for r in steps["blocked_threads"].collect()] == [3]
+    assert sorted(tuple(r)[2:] for r in steps["thread_waits"].collect()) == [(3, 8), (3, 8), (3, 9)]
+    assert sorted(tuple(r)[2:] for r in steps["transaction_waits"].collect()) == [("t3", "t8"), ("t3", "t8"), ("t3", "t9")]

@@ -1,11 +1,13 @@
 """Steps that several samples read are run once."""
 
+import re
 from pathlib import Path
 
 from tidegauge.operators import samples as SM
 from tidegauge.queries import fleet
 from tidegauge.queries import statements as Q
 from tidegauge.queries.registry import Sample, Written
+from tidegauge.sources.sample_tables import VIEWS
 
 
 def tables(df):
@@ -49,3 +51,29 @@ def test_samples_share_their_steps(spark, sf_dir):
 def test_batches_number_samples_that_are_there(spark, sf_dir):
     """Numbering reads its rows twice, so besides the history it reads keys that were written."""
     assert tables(fleet.publish_batches(Sample(spark, sf_dir))) == {"events.parquet"}
+
+
+def test_relations_found_on_numbers_have_the_rows_of_their_text(spark, tmp_path):
+    """Users, customers and orders may be null, negative or come twice."""
+    at = "timestamp_ntz'2024-01-01'"
+    events = [(n, "click", u, n / 4) for n, u in enumerate((7, 7, 8, None, None, -3, -3, 0))] + [(6, "click", -3, 1.5)]
+    df = spark.createDataFrame(events, "event_id bigint, event_type string, user_id bigint, value double")
+    df.selectExpr("*", f"{at} AS ts", "'{}' AS props").write.parquet(f"{tmp_path}/events.parquet")
+    orders = [(n, c) for n in (0, 36, 7, -5, None) for c in (0, 8, 7, -1, None)] * 2
+    df = spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint")
+    df.selectExpr("*", f"{at} AS o_orderdate", "'F' AS o_orderstatus").write.parquet(f"{tmp_path}/orders.parquet")
+    t = Sample(spark, str(tmp_path))
+    for name in ("events", "orders", "v_st_history"):
+        t.table(name).createOrReplaceTempView(f"plain_{name}")
+    for name in ("v_st_current", "v_lock_waits", "v_collections"):
+        text = VIEWS[name].replace("NTZ", "timestamp_ntz")
+        plain = spark.sql(re.sub(r"\bFROM (events|orders|v_st_history)\b", r"FROM plain_\1", text))
+        found = t.table(name)
+        assert found.columns == plain.columns
+        assert found.exceptAll(plain).count() == plain.exceptAll(found).count() == 0, name
+    # Texts are built after rows are sorted, and what is distinct is found on numbers.
+    plan = lambda name: t.table(name)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan("v_st_current").rindex("md5") < plan("v_st_current").index("Window")
+    for name in ("v_collections", "v_lock_waits"):
+        (groups,) = re.findall(r"Aggregate \[(.*?)\]", plan(name))
+        assert re.fullmatch(r"\w+#\d+L, \w+#\d+L", groups), name

@@ -10,7 +10,7 @@ from tidegauge.operators import filters
 from tidegauge.operators import statements as ST
 from tidegauge.operators import waits as W
 from tidegauge.queries.oracle_text import BLOCKING_ORDER, EXCLUDED, STATEMENTS, first_k
-from tidegauge.queries.registry import Sample, query
+from tidegauge.queries.registry import Sample, query, written
 
 LOOKBACK = 864_000
 
@@ -249,6 +249,5 @@ BLOCKING_SQL = first_k(
 
 @query("blocking_sessions", BLOCKING_SQL, STATEMENTS)
 def blocking_sessions(t):
-    return B.blocking_sessions(
-        t.v_nodes, t.v_lock_waits, t.v_trx_lock_waits, t.v_threads, t.v_trx, t.v_st_current, summary(t), zone=F.expr(ZONE)
-    )
+    tables = (t.v_nodes, t.v_lock_waits, t.v_trx_lock_waits, t.v_threads, t.v_trx, t.v_st_current, summary(t))
+    return B.blocking_sessions(*tables, zone=F.expr(ZONE), once=written(t).once)
